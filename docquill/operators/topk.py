@@ -1,0 +1,156 @@
+"""Best k rows of a corpus per query, without forming all pairs.
+
+The corpus is scored in batches against a block of queries; each task keeps k
+rows per query and only those are shuffled and ranked. A query side that is
+measured and found small is broadcast, and the corpus is not shuffled at all.
+A larger one is cut into blocks: every block of queries meets every block of
+the corpus in a task of bounded size.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from typing import Any
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_QUERIES = 4096
+MAX_BROADCAST_BYTES = 32 << 20
+QUERY_BLOCK = 2048
+CORPUS_BLOCK = 8192
+QUERY_TILE = 256
+DECIMALS = 9
+
+
+@dataclass(frozen=True)
+class Scorer:
+    """prepare: rows of queries to whatever score needs. score: that and rows of
+    the corpus to a matrix (queries x rows), larger is better, -inf is no hit."""
+
+    prepare: Callable[[pd.DataFrame], Any]
+    score: Callable[[Any, pd.DataFrame, slice], np.ndarray]
+
+
+class Best:
+    """The best k (query, id, value) seen so far; ties go to the smaller id."""
+
+    def __init__(self, k: int):
+        self.k = k
+        self.q = np.empty(0, dtype=np.int64)
+        self.v = np.empty(0)
+        self.ids = np.empty(0, dtype=object)
+
+    def add(self, first: int, values: np.ndarray, ids: np.ndarray) -> None:
+        values = np.round(values, DECIMALS)
+        keep = np.isfinite(values)
+        n = values.shape[1]
+        if n > self.k:
+            kth = np.partition(values, n - self.k, axis=1)[:, n - self.k]
+            keep &= values >= kth[:, None]
+        q, c = np.nonzero(keep)
+        self._merge(q + first, values[q, c], ids[c])
+
+    def _merge(self, q: np.ndarray, v: np.ndarray, ids: np.ndarray) -> None:
+        q = np.concatenate([self.q, q])
+        v = np.concatenate([self.v, v])
+        ids = np.concatenate([self.ids, ids.astype(object)])
+        if not len(q):
+            return
+        sortable = ids.astype(str) if isinstance(ids[0], str) else ids.astype(np.int64)
+        order = np.lexsort((sortable, -v, q))
+        q, v, ids = q[order], v[order], ids[order]
+        place = np.arange(len(q)) - np.searchsorted(q, q, side="left")
+        keep = place < self.k
+        self.q, self.v, self.ids = q[keep], v[keep], ids[keep]
+
+    def frame(self, names: list[str], qids: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({names[0]: qids[self.q], names[1]: self.ids, "score": self.v})
+
+
+def _score_all(best: Best, scorer: Scorer, ready: Any, n_queries: int, rows: pd.DataFrame, cid: str) -> None:
+    ids = rows[cid].to_numpy()
+    for at in range(0, n_queries, QUERY_TILE):
+        tile = slice(at, min(at + QUERY_TILE, n_queries))
+        best.add(at, scorer.score(ready, rows, tile), ids)
+
+
+def best_k(
+    queries: DataFrame,
+    corpus: DataFrame,
+    k: int,
+    scorer: Scorer,
+    qid: str,
+    cid: str,
+    carry: list[str] | None = None,
+    passages: DataFrame | None = None,
+    max_queries: int = MAX_BROADCAST_QUERIES,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """(qid, cid, score, rank) and the carried columns of `passages`.
+
+    `queries` and `corpus` hold the id and what the scorer reads, no more.
+    """
+    schema = f"{qid} {queries.schema[qid].dataType.simpleString()}, "
+    schema += f"{cid} {corpus.schema[cid].dataType.simpleString()}, score double"
+    size = queries.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
+    ).first()
+    small = size.n <= max_queries and size.bytes <= max_bytes
+    if small:
+        hits = _broadcast_hits(queries, corpus, k, scorer, qid, cid, schema)
+    else:
+        hits = _block_hits(queries, size.n, corpus, k, scorer, qid, cid, schema)
+    order = Window.partitionBy(qid).orderBy(F.desc("score"), cid)
+    ranked = hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    if not carry:
+        return ranked
+    # At most k rows per query, so as small as the queries were found to be.
+    side = F.broadcast(ranked) if small else ranked
+    return passages.select(cid, *carry).join(side, cid).select(qid, cid, "score", "rank", *carry)
+
+
+def _broadcast_hits(queries, corpus, k, scorer, qid, cid, schema) -> DataFrame:
+    rows = queries.toPandas()
+    qids = rows[qid].to_numpy()
+    shared = queries.sparkSession.sparkContext.broadcast((qids, scorer.prepare(rows)))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, ready = shared.value
+        best = Best(k)
+        for batch in batches:
+            if len(batch) and len(ids):
+                _score_all(best, scorer, ready, len(ids), batch, cid)
+        yield best.frame([qid, cid], ids)
+
+    return corpus.mapInPandas(run, schema)
+
+
+def _block_hits(queries, n_queries, corpus, k, scorer, qid, cid, schema) -> DataFrame:
+    q_blocks = -(-n_queries // QUERY_BLOCK)
+    c_blocks = max(1, -(-corpus.count() // CORPUS_BLOCK))
+    left = queries.withColumns(
+        {
+            "_qb": F.pmod(F.xxhash64(qid), F.lit(q_blocks)),
+            "_cb": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(c_blocks - 1).cast("long"))),
+        }
+    )
+    right = corpus.withColumns(
+        {
+            "_cb": F.pmod(F.xxhash64(cid), F.lit(c_blocks)),
+            "_qb": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_blocks - 1).cast("long"))),
+        }
+    )
+
+    def run(q_rows: pd.DataFrame, c_rows: pd.DataFrame) -> pd.DataFrame:
+        ids = q_rows[qid].to_numpy()
+        best = Best(k)
+        if len(ids) and len(c_rows):
+            _score_all(best, scorer, scorer.prepare(q_rows), len(ids), c_rows, cid)
+        return best.frame([qid, cid], ids)
+
+    return left.groupBy("_qb", "_cb").cogroup(right.groupBy("_qb", "_cb")).applyInPandas(run, schema)

@@ -92,3 +92,71 @@ def requests(events: DataFrame) -> DataFrame:
 
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_log_rows(requests(table(spark, sf_dir, "events")))
+
+
+def articles(documents: DataFrame) -> DataFrame:
+    """A markdown text per document: a preamble, then an article per line."""
+    return _markdown(
+        documents,
+        lambda x, i: F.concat(
+            F.lit("\n## Article "), (i + 1).cast("string"), F.lit("\n### Title "), F.col("lang"), F.lit("\n"), x
+        ),
+    )
+
+
+def policies(documents: DataFrame) -> DataFrame:
+    """A markdown text per document: a preamble, then a section per line."""
+    return _markdown(
+        documents,
+        lambda x, i: F.concat(
+            F.lit("\n## Section "), (i + 1).cast("string"), F.lit(": "), F.col("lang"), F.lit(" notes\n"), x
+        ),
+    )
+
+
+def _markdown(documents: DataFrame, section) -> DataFrame:
+    body = F.array_join(F.transform(F.split("text", "\n"), section), "")
+    return documents.select(
+        F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".md")).alias("source_file_name"),
+        F.concat(F.lit("Notes on "), F.col("source"), body).alias("text"),
+    )
+
+
+def parsed(documents: DataFrame) -> DataFrame:
+    """A parsed document (JSON) per document: an element per line, ten to a page."""
+    elements = F.transform(
+        F.split("text", "\n"),
+        lambda x, i: F.struct(
+            (F.floor(i / 10) + 1).cast("int").alias("page_number"), F.lit("text").alias("type"), x.alias("content")
+        ),
+    )
+    pages = F.when(F.col("lang") == "en", F.floor(F.length("text") / 3000).cast("int") + 1)
+    doc = F.struct(F.struct(pages.alias("page_count")).alias("metadata"), elements.alias("elements"))
+    return documents.select(
+        F.concat(F.lit("/vol/doc_"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("path"),
+        F.to_json(F.struct(doc.alias("document"))).alias("content"),
+    )
+
+
+def paragraphs(documents: DataFrame) -> DataFrame:
+    """Documents with a blank line after each line that ends a sentence."""
+    return documents.select("doc_id", F.replace("text", F.lit(".\n"), F.lit(".\n\n")).alias("text"))
+
+
+def drop_vowels(texts: list[str]) -> list[str]:
+    """A stand-in for a translator that shortens texts by an amount of their own."""
+    return [t.translate(str.maketrans("", "", "aeiou")) for t in texts]
+
+
+def snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two states of the documents: labelled ones before, good or unlabelled ones after.
+
+    Good documents labelled toxic have changed text.
+    """
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels")
+    joined = docs.join(labels, "doc_id", "left")
+    old = joined.filter("quality IS NOT NULL").select(*docs.columns)
+    kept = joined.filter("quality IS NULL OR quality = 1")
+    changed = F.when(F.col("toxic") == 1, F.concat("text", F.lit(" (revised)"))).otherwise(F.col("text"))
+    return old, kept.withColumn("text", changed).select(*docs.columns)
