@@ -9,9 +9,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import contains_any, is_blank, ratio, tokens, word_count
+from ..functions.text import contains_any, is_blank, ratio, strip, tokens, word_count
+from ..session import shared_dir
 from .drift import is_keyword
-from .topk import Scorer, best_k
+from .topk import MAX_BROADCAST_BYTES, MAX_BROADCAST_QUERIES, Scorer, best_k, is_small
 
 # BM25 and rank fusion constants, the score a passage must exceed.
 BM25_K1 = 1.2
@@ -19,6 +20,8 @@ BM25_B = 0.75
 FUSION_OFFSET = 60
 SCORE_CUT = 0.35
 FUSION_DEPTH = 50
+QUERY_TILE = 256
+ROW_TILE = 512
 
 
 def _vectors(column: pd.Series) -> np.ndarray:
@@ -29,10 +32,13 @@ def _dense_scorer(qvec: str, cvec: str) -> Scorer:
     def prepare(rows: pd.DataFrame) -> np.ndarray:
         return _vectors(rows[qvec]) if len(rows) else np.empty((0, 0))
 
-    def score(vectors: np.ndarray, rows: pd.DataFrame, tile: slice) -> np.ndarray:
-        q, c = vectors[tile], _vectors(rows[cvec])
-        d2 = (q * q).sum(1)[:, None] + (c * c).sum(1)[None, :] - 2.0 * (q @ c.T)
-        return 1.0 / (1.0 + np.maximum(d2, 0.0))
+    def score(vectors: np.ndarray, rows: pd.DataFrame):
+        c = _vectors(rows[cvec])
+        norms = (c * c).sum(1)[None, :]
+        for at in range(0, len(vectors), QUERY_TILE):
+            q = vectors[at : at + QUERY_TILE]
+            d2 = (q * q).sum(1)[:, None] + norms - 2.0 * (q @ c.T)
+            yield at, slice(None), 1.0 / (1.0 + np.maximum(d2, 0.0))
 
     return Scorer(prepare, score)
 
@@ -45,19 +51,21 @@ def dense_topk(
     cid: str = "chunk_id",
     vector: str = "embedding",
     carry: list[str] | None = None,
-    **bounds: int,
+    max_queries: int = MAX_BROADCAST_QUERIES,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """The k nearest rows per query vector; score is 1 / (1 + squared distance)."""
+    asked = queries.select(qid, vector).filter(F.col(vector).isNotNull())
     return best_k(
-        queries.select(qid, vector).filter(F.col(vector).isNotNull()),
+        asked,
         corpus.select(cid, vector).filter(F.col(vector).isNotNull()),
         k,
         _dense_scorer(vector, vector),
         qid,
         cid,
+        is_small(asked, F.size(vector) * 8, max_queries, max_bytes),
         carry,
         corpus,
-        **bounds,
     )
 
 
@@ -110,14 +118,12 @@ def _bm25_scorer(ctokens: str) -> Scorer:
             out[q] += idf * (tf * (BM25_K1 + 1) / (tf + norm))
         return np.where(out > 0, out, -np.inf)
 
-    def score(ready: tuple, rows: pd.DataFrame, tile: slice) -> np.ndarray:
+    def score(ready: tuple, rows: pd.DataFrame):
         postings, mean, n = ready
-        # All queries are scored at once; the tiles of one batch share the result.
-        memo = rows.attrs.get("bm25")
-        if memo is None:
-            memo = np.stack([one(postings, mean, n, t) for t in rows[ctokens]], axis=1)
-            rows.attrs["bm25"] = memo
-        return memo[tile]
+        texts = rows[ctokens].to_numpy()
+        for at in range(0, len(texts), ROW_TILE):
+            part = slice(at, at + ROW_TILE)
+            yield 0, part, np.stack([one(postings, mean, n, t) for t in texts[part]], axis=1)
 
     return Scorer(prepare, score)
 
@@ -131,7 +137,8 @@ def bm25_topk(
     qtext: str = "question",
     ctext: str = "text",
     carry: list[str] | None = None,
-    **bounds: int,
+    max_queries: int = MAX_BROADCAST_QUERIES,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """The k best rows per question by BM25; rows without any of its terms are no hits."""
     return best_k(
@@ -141,9 +148,9 @@ def bm25_topk(
         _bm25_scorer("_tokens"),
         qid,
         cid,
+        is_small(queries, F.octet_length(qtext), max_queries, max_bytes),
         carry,
         corpus,
-        **bounds,
     )
 
 
@@ -171,26 +178,22 @@ def hybrid_topk(
     qtext: str = "question",
     ctext: str = "text",
     carry: list[str] | None = None,
-    **bounds: int,
+    max_queries: int = MAX_BROADCAST_QUERIES,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Dense and lexical rankings of `depth` rows each, fused."""
+    bounds = {"max_queries": max_queries, "max_bytes": max_bytes}
     dense = dense_topk(queries, corpus, depth, qid, cid, vector, **bounds)
     lexical = bm25_topk(queries, corpus, depth, qid, cid, qtext, ctext, **bounds)
     fused = fuse_ranks(dense, lexical, k=k, qid=qid, cid=cid)
     if not carry:
         return fused
-    # As in best_k, the hits are broadcast only when the queries were few.
-    few = queries.limit(_few(bounds) + 1).count() <= _few(bounds)
-    side = F.broadcast(fused) if few else fused
+    # As in best_k, the hits are broadcast only when the queries are few.
+    small, _ = is_small(queries, F.octet_length(qtext), max_queries, max_bytes)
+    side = F.broadcast(fused) if small else fused
     return corpus.select(cid, *carry).join(side, cid).select(qid, cid, "score", "rank", *carry)
 
 
-def _few(bounds: Mapping[str, int]) -> int:
-    from .topk import MAX_BROADCAST_QUERIES
-
-    return bounds.get("max_queries", MAX_BROADCAST_QUERIES)
-
-
 def score_cut(hits: DataFrame, cut: float = SCORE_CUT) -> DataFrame:
     """Hits with a score over the cut; applied after ranking."""
     return hits.filter(F.col("score") > cut)
@@ -306,7 +309,7 @@ def expand_sources(
     found = _search_sources(asked, indexes, k, cut, qid, query, **bounds)
     old, new = F.coalesce("retrieved_context", F.lit("")), F.coalesce("found", F.lit(""))
     combined = (
-        F.when(is_blank(new), old).when(is_blank(old), new).otherwise(_strip(F.concat(old, F.lit(SEPARATOR), new)))
+        F.when(is_blank(new), old).when(is_blank(old), new).otherwise(strip(F.concat(old, F.lit(SEPARATOR), new)))
     )
     rest = F.filter(
         F.array(*[F.lit(s) for s in QUOTES]), lambda s: ~F.array_contains(F.col("sources_queried"), s)
@@ -325,12 +328,6 @@ def expand_sources(
     )
 
 
-def _strip(c: Column) -> Column:
-    from ..functions.text import strip
-
-    return strip(c)
-
-
 def context_relevance(df: DataFrame, context: str = "retrieved_context") -> DataFrame:
     """Add has_context: the context is more than whitespace."""
     return df.withColumn("has_context", ~is_blank(F.col(context)))
@@ -444,8 +441,6 @@ def retrieval_rounds(
     `search` adds retrieved_context and retrieval_loop_count. Each round is
     checkpointed, so plans do not grow and a lost executor costs one round.
     """
-    from ..session import shared_dir
-
     shared_dir(questions.sparkSession)
     pending = questions.withColumn("retrieval_loop_count", F.lit(0))
     finished: list[DataFrame] = []

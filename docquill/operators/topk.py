@@ -15,24 +15,24 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_QUERIES = 4096
 MAX_BROADCAST_BYTES = 32 << 20
 QUERY_BLOCK = 2048
 CORPUS_BLOCK = 8192
-QUERY_TILE = 256
 DECIMALS = 9
 
 
 @dataclass(frozen=True)
 class Scorer:
     """prepare: rows of queries to whatever score needs. score: that and rows of
-    the corpus to a matrix (queries x rows), larger is better, -inf is no hit."""
+    the corpus to tiles (first query, rows, values); values is a matrix
+    (queries x rows) where larger is better and -inf is no hit."""
 
     prepare: Callable[[pd.DataFrame], Any]
-    score: Callable[[Any, pd.DataFrame, slice], np.ndarray]
+    score: Callable[[Any, pd.DataFrame], Iterator[tuple[int, slice, np.ndarray]]]
 
 
 class Best:
@@ -71,11 +71,18 @@ class Best:
         return pd.DataFrame({names[0]: qids[self.q], names[1]: self.ids, "score": self.v})
 
 
-def _score_all(best: Best, scorer: Scorer, ready: Any, n_queries: int, rows: pd.DataFrame, cid: str) -> None:
+def _score_all(best: Best, scorer: Scorer, ready: Any, rows: pd.DataFrame, cid: str) -> None:
     ids = rows[cid].to_numpy()
-    for at in range(0, n_queries, QUERY_TILE):
-        tile = slice(at, min(at + QUERY_TILE, n_queries))
-        best.add(at, scorer.score(ready, rows, tile), ids)
+    for first, part, values in scorer.score(ready, rows):
+        best.add(first, values, ids[part])
+
+
+def is_small(queries: DataFrame, size: Column, max_queries: int, max_bytes: int) -> tuple[bool, int]:
+    """Whether the queries may be broadcast, and their number; `size` is the bytes of a row."""
+    row = queries.agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size.cast("long")), F.lit(0)).alias("bytes")
+    ).first()
+    return row.n <= max_queries and row.bytes <= max_bytes, row.n
 
 
 def best_k(
@@ -85,26 +92,22 @@ def best_k(
     scorer: Scorer,
     qid: str,
     cid: str,
+    measured: tuple[bool, int],
     carry: list[str] | None = None,
     passages: DataFrame | None = None,
-    max_queries: int = MAX_BROADCAST_QUERIES,
-    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """(qid, cid, score, rank) and the carried columns of `passages`.
 
-    `queries` and `corpus` hold the id and what the scorer reads, no more.
+    `queries` and `corpus` hold the id and what the scorer reads, no more;
+    `measured` is the result of is_small.
     """
     schema = f"{qid} {queries.schema[qid].dataType.simpleString()}, "
     schema += f"{cid} {corpus.schema[cid].dataType.simpleString()}, score double"
-    size = queries.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
-    ).first()
-    small = size.n <= max_queries and size.bytes <= max_bytes
+    small, n_queries = measured
     if small:
         hits = _broadcast_hits(queries, corpus, k, scorer, qid, cid, schema)
     else:
-        hits = _block_hits(queries, size.n, corpus, k, scorer, qid, cid, schema)
+        hits = _block_hits(queries, n_queries, corpus, k, scorer, qid, cid, schema)
     order = Window.partitionBy(qid).orderBy(F.desc("score"), cid)
     ranked = hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     if not carry:
@@ -124,7 +127,7 @@ def _broadcast_hits(queries, corpus, k, scorer, qid, cid, schema) -> DataFrame:
         best = Best(k)
         for batch in batches:
             if len(batch) and len(ids):
-                _score_all(best, scorer, ready, len(ids), batch, cid)
+                _score_all(best, scorer, ready, batch, cid)
         yield best.frame([qid, cid], ids)
 
     return corpus.mapInPandas(run, schema)
@@ -150,7 +153,7 @@ def _block_hits(queries, n_queries, corpus, k, scorer, qid, cid, schema) -> Data
         ids = q_rows[qid].to_numpy()
         best = Best(k)
         if len(ids) and len(c_rows):
-            _score_all(best, scorer, scorer.prepare(q_rows), len(ids), c_rows, cid)
+            _score_all(best, scorer, scorer.prepare(q_rows), c_rows, cid)
         return best.frame([qid, cid], ids)
 
     return left.groupBy("_qb", "_cb").cogroup(right.groupBy("_qb", "_cb")).applyInPandas(run, schema)

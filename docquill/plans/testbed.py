@@ -160,3 +160,62 @@ def snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     kept = joined.filter("quality IS NULL OR quality = 1")
     changed = F.when(F.col("toxic") == 1, F.concat("text", F.lit(" (revised)"))).otherwise(F.col("text"))
     return old, kept.withColumn("text", changed).select(*docs.columns)
+
+
+def queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Questions with a vector: each benchmark text and the embedding of the same number."""
+    items = table(spark, sf_dir, "benchmark")
+    vectors = table(spark, sf_dir, "embeddings")
+    return items.join(vectors, F.col("item_id") == F.col("vec_id")).select(
+        F.col("item_id").alias("query_id"), F.col("text").alias("question"), "embedding"
+    )
+
+
+def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the embedding of the same number, from three sources."""
+    docs = table(spark, sf_dir, "documents")
+    vectors = table(spark, sf_dir, "embeddings")
+    source = F.element_at(
+        F.array(F.lit("policy"), F.lit("legislation"), F.lit("fines")), (F.col("label") % 3 + 1).cast("int")
+    )
+    return docs.join(vectors, F.col("doc_id") == F.col("vec_id")).select(
+        F.col("doc_id").alias("chunk_id"), F.col("lang").alias("label"), "text", "embedding", source.alias("source")
+    )
+
+
+def indexes(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    rows = passages(spark, sf_dir)
+    return {
+        s: rows.filter(F.col("source") == s).select("chunk_id", "label", "text", "embedding")
+        for s in ("policy", "legislation", "fines")
+    }
+
+
+OPENINGS = [
+    "What fines have companies received? ",
+    "What does Article 17 say? ",
+    "How long do we retain customer data? ",
+    "Right to be forgotten requirements and penalties: ",
+    "",
+]
+
+
+def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The questions with an opening sentence per kind; the last kind fits no source."""
+    opening = F.element_at(F.array(*[F.lit(x) for x in OPENINGS]), (F.col("query_id") % 5 + 1).cast("int"))
+    text = F.concat(opening, F.col("question"))
+    return queries(spark, sf_dir).withColumns({"question": text, "original_question": text})
+
+
+def states(events: DataFrame) -> DataFrame:
+    """Rows of question-answering state with counters that follow from the event."""
+    n = F.col("event_id")
+    return requests(events).select(
+        F.col("request_id"),
+        F.col("question").alias("original_question"),
+        F.col("answer").alias("generated_answer"),
+        F.col("context").alias("retrieved_context"),
+        (n % 4).cast("int").alias("retrieval_loop_count"),
+        (F.floor(n / 4) % 4).cast("int").alias("generation_loop_count"),
+        (F.floor(n / 16) % 2 == 1).alias("expanded_search_used"),
+    )
