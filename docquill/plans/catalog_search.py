@@ -92,7 +92,7 @@ QUERIES = {
     "dense_topk_centres": lambda s, d: _scores(_centre_hits(s, d)),
     "bm25_topk": lambda s, d: _scores(_bm25(s, d)),
     "hybrid_topk": lambda s, d: _scores(_hybrid(s, d)),
-    "score_cut": lambda s, d: _scores(retrieval.score_cut(_centre_hits(s, d), 0.55)),
+    "score_cut": lambda s, d: _scores(retrieval.score_cut(_dense(s, d), 0.42)),
     "route_sources": lambda s, d: retrieval.route_sources(testbed.requests(table(s, d, "events"))).select(
         "request_id", "query_policy", "query_legislation", "query_fines"
     ),

@@ -146,8 +146,8 @@ SQL: dict[str, str] = {
   SELECT query_id, chunk_id, round(score, 6) AS score, rank FROM h""",
     "dense_topk_centres": f"""WITH {CENTRES}, {VECTORS}, {dense("q", "c", 10, "h")}
   SELECT query_id, chunk_id, round(score, 6) AS score, rank FROM h""",
-    "score_cut": f"""WITH {CENTRES}, {VECTORS}, {dense("q", "c", 10, "h")}
-  SELECT query_id, chunk_id, round(score, 6) AS score, rank FROM h WHERE score > 0.55""",
+    "score_cut": f"""WITH {QUESTIONS}, {VECTORS}, {dense("q", "c", 3, "h")}
+  SELECT query_id, chunk_id, round(score, 6) AS score, rank FROM h WHERE score > 0.42""",
     "bm25_topk": f"""WITH {QUESTIONS}, c AS (SELECT doc_id AS chunk_id, lang, text FROM documents),
   {bm25("q", "c", 5, "h")}
   SELECT query_id, chunk_id, round(score, 6) AS score, rank, lang FROM h JOIN c USING (chunk_id)""",

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import catalog_docs, catalog_log, catalog_search, oracle_docs, oracle_log, oracle_search
+from . import catalog_docs, catalog_eval, catalog_log, catalog_search
+from . import oracle_docs, oracle_eval, oracle_log, oracle_search
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,9 +23,9 @@ def _in_utc(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    parts = [catalog_log.QUERIES, catalog_docs.QUERIES, catalog_search.QUERIES]
+    parts = [catalog_log.QUERIES, catalog_docs.QUERIES, catalog_search.QUERIES, catalog_eval.QUERIES]
     return {name: _in_utc(q) for part in parts for name, q in part.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**oracle_log.SQL, **oracle_docs.SQL, **oracle_search.SQL}
+    return {**oracle_log.SQL, **oracle_docs.SQL, **oracle_search.SQL, **oracle_eval.SQL}

@@ -219,3 +219,69 @@ def states(events: DataFrame) -> DataFrame:
         (F.floor(n / 4) % 4).cast("int").alias("generation_loop_count"),
         (F.floor(n / 16) % 2 == 1).alias("expanded_search_used"),
     )
+
+
+def _word(n: int):
+    from ..functions.text import words
+
+    return F.get(words(F.col("text")), F.lit(n))
+
+
+def cases(documents: DataFrame) -> DataFrame:
+    """A test case per document: its source, and words 1, 20 and 60 of its text."""
+    present = lambda *xs: F.filter(F.array(*xs), lambda x: x.isNotNull())
+    expected = F.struct(
+        F.array("source").alias("sources"),
+        present(_word(0), _word(19)).alias("must_retrieve_from_articles"),
+        present(_word(59)).alias("must_include_in_answer"),
+    )
+    return documents.select(
+        F.concat(F.lit("case_"), F.col("doc_id").cast("string")).alias("id"),
+        F.concat(F.lit("What does "), F.col("source"), F.lit(" say?")).alias("question"),
+        F.col("lang").alias("category"),
+        expected.alias("expected_behavior"),
+    )
+
+
+def responses(spark: SparkSession, sf_dir: str, ahead: int = 1) -> DataFrame:
+    """Answers to the cases of labelled documents: the text of a later document.
+
+    The context names the source for documents in two of the languages.
+    """
+    docs = table(spark, sf_dir, "documents")
+    labelled = table(spark, sf_dir, "labels").select("doc_id")
+    later = docs.select((F.col("doc_id") - ahead).alias("doc_id"), F.col("text").alias("answer"))
+    asked = docs.select("doc_id", "lang", "source").join(labelled, "doc_id")
+    named = F.when(F.col("lang").isin("en", "de"), F.concat("source", F.lit(" "), "lang")).otherwise(F.col("lang"))
+    return asked.join(later, "doc_id").select(
+        F.concat(F.lit("case_"), F.col("doc_id").cast("string")).alias("id"), "answer", named.alias("context")
+    )
+
+
+def replies(events: DataFrame) -> DataFrame:
+    """A judge's reply per event: some lack a score, some are not JSON."""
+    n = F.col("event_id")
+    score = (n % 5 + 1).cast("int")
+    fields = ["relevance", "accuracy", "completeness", "citation", "clarity", "overall"]
+    parts = [F.format_string(f'"{f}": %d, ', score) for f in fields if f != "clarity"]
+    clarity = F.when(n % 9 == 0, "").otherwise(F.format_string('"clarity": %d, ', score))
+    text = F.concat(F.lit("{"), *parts, clarity, F.lit('"explanation": "ok"}'))
+    return events.select(
+        n.cast("string").alias("request_id"), F.when(n % 13 == 0, "no JSON").otherwise(text).alias("reply")
+    )
+
+
+def golden_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Golden-set files: per document one set with a case per line."""
+    docs = table(spark, sf_dir, "documents")
+    case = F.transform(
+        F.split("text", "\n"),
+        lambda x, i: F.struct(
+            F.concat(F.lit("case_"), F.col("doc_id").cast("string"), F.lit("_"), i.cast("string")).alias("id"),
+            x.alias("question"),
+            F.col("lang").alias("category"),
+            F.when(i % 2 == 0, "medium").otherwise("easy").alias("difficulty"),
+            F.struct(F.array("source").alias("sources")).alias("expected_behavior"),
+        ),
+    )
+    docs.select(case.alias("test_cases")).write.json(path)

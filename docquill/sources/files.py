@@ -34,11 +34,16 @@ def scan_files(
     return reader.load(path)
 
 
-def scan_golden_set(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """Test cases of golden-set files, one row per case; `limit` keeps the first of each file."""
+def scan_golden_set(
+    spark: SparkSession, path: str, limit: int | None = None, multi_line: bool = True
+) -> DataFrame:
+    """Test cases of golden sets, one row per case; `limit` keeps the first of each set.
+
+    A file is one set, or with multi_line=False one set per line.
+    """
     cases = (
         spark.read.schema(CASE_SCHEMA)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .json(path)
         .select(F.posexplode("test_cases").alias("pos", "case"))
     )
