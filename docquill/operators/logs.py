@@ -41,9 +41,15 @@ def since(as_of: dt.date | None, days: int) -> Column:
 def lookback(log: DataFrame, days: int, as_of: dt.date | None = None, column: str = "date") -> DataFrame:
     """Rows dated `days` before as_of or later, without an upper bound.
 
-    On a log partitioned by date this prunes whole partitions.
+    On a log partitioned by date this prunes whole partitions. The date of a
+    log row is that of its timestamp; the same bound on the timestamp reaches
+    the scan of raw requests.
     """
-    return log.filter(F.col(column) >= since(as_of, days))
+    first = since(as_of, days)
+    rows = log.filter(F.col(column) >= first)
+    if column == "date" and "timestamp" in log.columns:
+        rows = rows.filter(F.col("timestamp") >= first.cast("timestamp"))
+    return rows
 
 
 def normalise_requests(df: DataFrame, question: str = "question", error: str = "error") -> DataFrame:
@@ -73,7 +79,7 @@ def build_log_rows(requests: DataFrame, min_length: int = MIN_ANSWER_LENGTH) ->
         return F.col(name) if name in cols else F.lit(None).cast(kind)
 
     base = requests.select(
-        F.coalesce(opt("timestamp", "timestamp"), F.current_timestamp()).alias("timestamp"),
+        (F.col("timestamp") if "timestamp" in cols else F.current_timestamp()).alias("timestamp"),
         F.col("request_id").cast("string").alias("request_id"),
         F.col("question"),
         opt("answer", "string").alias("answer"),

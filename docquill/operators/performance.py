@@ -61,51 +61,44 @@ def summarise_days(daily: DataFrame) -> DataFrame:
 
 
 CELLS = 65536
+FEW_VALUES = 1_000_000
 
 
 def exact_median(df: DataFrame, value: str) -> DataFrame:
     """One row (median, n_values): the exact median of a double column.
 
-    Two rounds of counting narrow the search to the cells that hold the middle
-    ranks: 65,536 cells of the range, then 65,536 of each such cell. No task
-    ever holds more than those counts and the distinct values of the last cell.
+    While many values are left, they are counted in 65,536 cells of their range
+    and only the cells of the two middle ranks are kept. Each round is two
+    scans with map-side counts; the values themselves are never shuffled or
+    sorted before few are left. Every round takes one row to the driver.
     """
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(F.col(value).cast("double").alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    total = F.coalesce(counts.agg(F.sum("n")).scalar(), F.lit(0))
-    low, high = F.floor((total - 1) / 2), F.floor(total / 2)
+    v = F.col("v")
+    values = df.select(F.col(value).cast("double").alias("v")).filter(v.isNotNull())
     # The log scale keeps one huge value from pushing all others into one cell.
-    log_scale = F.signum("v") * F.log1p(F.abs("v"))
-    kept, skipped = _middle_cells(counts, log_scale, F.lit(0), low, high)
-    kept, skipped = _middle_cells(kept, F.col("v"), skipped, low, high)
-    ranked = kept.withColumn("upto", skipped + F.sum("n").over(Window.orderBy("v")))
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto")), F.col("v")))
-
-    return ranked.agg(((at(low) + at(high)) / 2).alias("median"), F.max(total).alias("n")).select(
-        "median", F.coalesce("n", F.lit(0)).alias("n_values")
-    )
+    scales = [F.signum(v) * F.log1p(F.abs(v)), v, v]
+    low = high = skipped = 0
+    for number, key in enumerate(scales):
+        span = values.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(v).alias("n")).first()
+        if number == 0:
+            low, high, total = max(span.n - 1, 0) // 2, span.n // 2, span.n
+        if span.n <= FEW_VALUES or span.lo == span.hi:
+            break
+        cell = F.least(F.floor((key - span.lo) / (span.hi - span.lo) * CELLS), F.lit(CELLS - 1))
+        upto = F.sum("n").over(Window.orderBy("cell")) + skipped
+        counts = values.groupBy(cell.alias("cell")).agg(F.count(v).alias("n")).withColumn("upto", upto)
+        middle = (
+            counts.filter((F.col("upto") > low) & (F.col("upto") - F.col("n") <= high))
+            .agg(F.min("cell").alias("first_cell"), F.max("cell").alias("last_cell"), F.min(F.col("upto") - F.col("n")).alias("skip"))
+            .first()
+        )
+        values, skipped = values.filter(cell.between(middle.first_cell, middle.last_cell)), middle.skip
+    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    ranked = counts.withColumn("upto", F.sum("n").over(Window.orderBy("v")) + skipped)
 
+    def at(rank: int) -> Column:
+        return F.max(F.when((F.col("upto") - F.col("n") <= rank) & (F.col("upto") > rank), v))
 
-def _middle_cells(
-    counts: DataFrame, key: Column, skipped: Column, low: Column, high: Column
-) -> tuple[DataFrame, Column]:
-    """Keep the (v, n) rows in the cells of the two middle ranks; count what lies below."""
-    keyed = counts.withColumn("key", key)
-    lo, hi = keyed.agg(F.min("key")).scalar(), keyed.agg(F.max("key")).scalar()
-    share = F.coalesce(F.try_divide(F.col("key") - lo, hi - lo), F.lit(0.0))
-    celled = keyed.withColumn("cell", F.least(F.floor(share * CELLS), F.lit(CELLS - 1)))
-    upto = skipped + F.sum("n").over(Window.orderBy("cell"))
-    hist = celled.groupBy("cell").agg(F.sum("n").alias("n")).withColumn("upto", upto)
-    middle = hist.filter((F.col("upto") > low) & (F.col("upto") - F.col("n") <= high))
-    below = F.coalesce(middle.agg(F.min(F.col("upto") - F.col("n"))).scalar(), F.lit(0))
-    # At most the two middle cells and empty space between them.
-    kept = celled.join(F.broadcast(middle.select("cell")), "cell").select("v", "n")
-    return kept, below
+    return ranked.agg(((at(low) + at(high)) / 2).alias("median"), F.lit(total).cast("long").alias("n_values"))
 
 
 def summary_stats(df: DataFrame, value: str) -> DataFrame:

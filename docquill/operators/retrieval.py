@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.text import contains_any, is_blank, ratio, strip, tokens, word_count
 from ..session import shared_dir
 from .drift import is_keyword
-from .topk import MAX_BROADCAST_BYTES, MAX_BROADCAST_QUERIES, Scorer, best_k, is_small
+from .topk import Scorer, Size, add_carried, best_k, measure
 
 # BM25 and rank fusion constants, the score a passage must exceed.
 BM25_K1 = 1.2
@@ -51,8 +51,7 @@ def dense_topk(
     cid: str = "chunk_id",
     vector: str = "embedding",
     carry: list[str] | None = None,
-    max_queries: int = MAX_BROADCAST_QUERIES,
-    max_bytes: int = MAX_BROADCAST_BYTES,
+    size: Size | None = None,
 ) -> DataFrame:
     """The k nearest rows per query vector; score is 1 / (1 + squared distance)."""
     asked = queries.select(qid, vector).filter(F.col(vector).isNotNull())
@@ -63,27 +62,40 @@ def dense_topk(
         _dense_scorer(vector, vector),
         qid,
         cid,
-        is_small(asked, F.size(vector) * 8, max_queries, max_bytes),
+        size or measure(asked, F.size(vector) * 8),
         carry,
         corpus,
     )
 
 
-def query_terms(queries: DataFrame, corpus: DataFrame, qid: str, qtext: str, ctext: str) -> DataFrame:
+def query_terms(
+    queries: DataFrame, corpus: DataFrame, qid: str, qtext: str, ctext: str, small: bool = False
+) -> DataFrame:
     """Per query: its distinct terms that occur in the corpus, with idf, and the mean length.
 
-    Terms are counted per task before the shuffle, so a term that is in every
-    document is one row per task. The empty term stands for "any document".
+    One pass over the corpus. Terms are counted per task before the shuffle, so
+    a term that is in every document is one row per task. The empty term stands
+    for "any document". `small` tells that the questions may be broadcast.
     """
-    toks = tokens(F.col(ctext))
-    per_doc = corpus.select(F.size(toks).alias("dl"), F.explode(F.array_append(F.array_distinct(toks), "")).alias("term"))
+    shared_dir(corpus.sparkSession)
+    asked = queries.select(qid, F.explode(F.array_distinct(tokens(F.col(qtext)))).alias("term"))
+    terms = asked.select("term").unionByName(asked.sparkSession.createDataFrame([("",)], "term string")).distinct()
+    # The length is taken before the explode, which then carries one number per row.
+    docs = corpus.filter(F.col(ctext).isNotNull()).select(tokens(F.col(ctext)).alias("toks"))
+    docs = docs.select(F.size("toks").alias("dl"), F.array_append(F.array_distinct("toks"), "").alias("terms"))
+    per_doc = docs.select("dl", F.explode("terms").alias("term"))
+    if small:
+        per_doc = per_doc.join(F.broadcast(terms), "term", "left_semi")
     counts = per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("dl").alias("length"))
+    if not small:
+        counts = counts.join(terms, "term", "left_semi")
+    # Kept, as the counts and the totals in them are used side by side.
+    counts = counts.checkpoint()
     every = counts.filter("term = ''")
     n, total = every.select("df").scalar(), every.select("length").scalar()
-    asked = queries.select(qid, F.explode(F.array_distinct(tokens(F.col(qtext)))).alias("term"))
     df = F.col("df")
     return (
-        asked.join(counts.filter("term <> ''"), "term")
+        asked.join(F.broadcast(counts) if small else counts, "term")
         .withColumn("idf", F.ln(1 + (n - df + 0.5) / (df + 0.5)))
         .groupBy(qid)
         .agg(
@@ -137,18 +149,18 @@ def bm25_topk(
     qtext: str = "question",
     ctext: str = "text",
     carry: list[str] | None = None,
-    max_queries: int = MAX_BROADCAST_QUERIES,
-    max_bytes: int = MAX_BROADCAST_BYTES,
+    size: Size | None = None,
 ) -> DataFrame:
     """The k best rows per question by BM25; rows without any of its terms are no hits."""
+    size = size or measure(queries, F.octet_length(qtext))
     return best_k(
-        query_terms(queries, corpus, qid, qtext, ctext),
+        query_terms(queries, corpus, qid, qtext, ctext, size.small),
         corpus.filter(F.col(ctext).isNotNull()).select(cid, tokens(F.col(ctext)).alias("_tokens")),
         k,
         _bm25_scorer("_tokens"),
         qid,
         cid,
-        is_small(queries, F.octet_length(qtext), max_queries, max_bytes),
+        size,
         carry,
         corpus,
     )
@@ -178,20 +190,13 @@ def hybrid_topk(
     qtext: str = "question",
     ctext: str = "text",
     carry: list[str] | None = None,
-    max_queries: int = MAX_BROADCAST_QUERIES,
-    max_bytes: int = MAX_BROADCAST_BYTES,
+    size: Size | None = None,
 ) -> DataFrame:
     """Dense and lexical rankings of `depth` rows each, fused."""
-    bounds = {"max_queries": max_queries, "max_bytes": max_bytes}
-    dense = dense_topk(queries, corpus, depth, qid, cid, vector, **bounds)
-    lexical = bm25_topk(queries, corpus, depth, qid, cid, qtext, ctext, **bounds)
-    fused = fuse_ranks(dense, lexical, k=k, qid=qid, cid=cid)
-    if not carry:
-        return fused
-    # As in best_k, the hits are broadcast only when the queries are few.
-    small, _ = is_small(queries, F.octet_length(qtext), max_queries, max_bytes)
-    side = F.broadcast(fused) if small else fused
-    return corpus.select(cid, *carry).join(side, cid).select(qid, cid, "score", "rank", *carry)
+    size = size or measure(queries, F.size(vector) * 8 + F.octet_length(qtext))
+    dense = dense_topk(queries, corpus, depth, qid, cid, vector, size=size)
+    lexical = bm25_topk(queries, corpus, depth, qid, cid, qtext, ctext, size=size)
+    return add_carried(fuse_ranks(dense, lexical, k=k, qid=qid, cid=cid), corpus, qid, cid, carry, size)
 
 
 def score_cut(hits: DataFrame, cut: float = SCORE_CUT) -> DataFrame:
@@ -236,7 +241,7 @@ def _search_sources(
     cut: float,
     qid: str,
     query: str,
-    **bounds: int,
+    size: Size,
 ) -> DataFrame:
     """(qid, found): the quoted passages of all sources, policy first, best first."""
     parts = []
@@ -245,9 +250,9 @@ def _search_sources(
             continue
         queries, index = asked[source], indexes[source]
         if source in HYBRID_SOURCES:
-            hits = hybrid_topk(queries, index, k, qid=qid, qtext=query, carry=["label", "text"], **bounds)
+            hits = hybrid_topk(queries, index, k, qid=qid, qtext=query, carry=["label", "text"], size=size)
         else:
-            hits = dense_topk(queries, index, k, qid=qid, carry=["label", "text"], **bounds)
+            hits = dense_topk(queries, index, k, qid=qid, carry=["label", "text"], size=size)
         parts.append(
             score_cut(hits, cut).select(
                 qid, F.struct(F.lit(number).alias("source"), "rank", _quote(source).alias("quote")).alias("hit")
@@ -269,15 +274,16 @@ def multi_source_retrieve(
     cut: float = SCORE_CUT,
     qid: str = "query_id",
     query: str = "question",
-    **bounds: int,
+    size: Size | None = None,
 ) -> DataFrame:
     """Search the routed sources and assemble the context.
 
     `questions` has the query_* flags, the text and the embedding; each index
     has chunk_id, label, text and embedding.
     """
+    size = size or measure(questions, F.size("embedding") * 8 + F.octet_length(query))
     asked = {s: questions.filter(f"query_{s}") for s in QUOTES}
-    found = _search_sources(asked, indexes, k, cut, qid, query, **bounds)
+    found = _search_sources(asked, indexes, k, cut, qid, query, size)
     queried = F.filter(
         F.array(*[F.when(F.col(f"query_{s}"), s) for s in QUOTES]), lambda s: s.isNotNull()
     )
@@ -302,11 +308,12 @@ def expand_sources(
     cut: float = SCORE_CUT,
     qid: str = "query_id",
     query: str = "question",
-    **bounds: int,
+    size: Size | None = None,
 ) -> DataFrame:
     """Search the sources not queried so far and append what they give to the context."""
+    size = size or measure(state, F.size("embedding") * 8 + F.octet_length(query))
     asked = {s: state.filter(~F.array_contains("sources_queried", s)) for s in QUOTES}
-    found = _search_sources(asked, indexes, k, cut, qid, query, **bounds)
+    found = _search_sources(asked, indexes, k, cut, qid, query, size)
     old, new = F.coalesce("retrieved_context", F.lit("")), F.coalesce("found", F.lit(""))
     combined = (
         F.when(is_blank(new), old).when(is_blank(old), new).otherwise(strip(F.concat(old, F.lit(SEPARATOR), new)))

@@ -77,12 +77,34 @@ def _score_all(best: Best, scorer: Scorer, ready: Any, rows: pd.DataFrame, cid:
         best.add(first, values, ids[part])
 
 
-def is_small(queries: DataFrame, size: Column, max_queries: int, max_bytes: int) -> tuple[bool, int]:
-    """Whether the queries may be broadcast, and their number; `size` is the bytes of a row."""
+@dataclass(frozen=True)
+class Size:
+    """The measured number of queries, and whether they may be broadcast."""
+
+    rows: int
+    small: bool
+
+
+def measure(
+    queries: DataFrame,
+    row_bytes: Column,
+    max_queries: int = MAX_BROADCAST_QUERIES,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> Size:
     row = queries.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size.cast("long")), F.lit(0)).alias("bytes")
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes.cast("long")), F.lit(0)).alias("bytes")
     ).first()
-    return row.n <= max_queries and row.bytes <= max_bytes, row.n
+    return Size(row.n, row.n <= max_queries and row.bytes <= max_bytes)
+
+
+def add_carried(
+    hits: DataFrame, corpus: DataFrame, qid: str, cid: str, carry: list[str] | None, size: Size
+) -> DataFrame:
+    """Hits with columns of their rows. At most k hits per query: broadcast if the queries may be."""
+    if not carry:
+        return hits
+    side = F.broadcast(hits) if size.small else hits
+    return corpus.select(cid, *carry).join(side, cid).select(qid, cid, "score", "rank", *carry)
 
 
 def best_k(
@@ -92,29 +114,31 @@ def best_k(
     scorer: Scorer,
     qid: str,
     cid: str,
-    measured: tuple[bool, int],
+    size: Size,
     carry: list[str] | None = None,
     passages: DataFrame | None = None,
 ) -> DataFrame:
     """(qid, cid, score, rank) and the carried columns of `passages`.
 
     `queries` and `corpus` hold the id and what the scorer reads, no more;
-    `measured` is the result of is_small.
+    `size` is the measure of the queries.
     """
     schema = f"{qid} {queries.schema[qid].dataType.simpleString()}, "
     schema += f"{cid} {corpus.schema[cid].dataType.simpleString()}, score double"
-    small, n_queries = measured
-    if small:
-        hits = _broadcast_hits(queries, corpus, k, scorer, qid, cid, schema)
+    if size.small:
+        hits = _broadcast_hits(queries, _few_tasks(corpus, size.rows * k), k, scorer, qid, cid, schema)
     else:
-        hits = _block_hits(queries, n_queries, corpus, k, scorer, qid, cid, schema)
+        hits = _block_hits(queries, size.rows, corpus, k, scorer, qid, cid, schema)
     order = Window.partitionBy(qid).orderBy(F.desc("score"), cid)
     ranked = hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    if not carry:
-        return ranked
-    # At most k rows per query, so as small as the queries were found to be.
-    side = F.broadcast(ranked) if small else ranked
-    return passages.select(cid, *carry).join(side, cid).select(qid, cid, "score", "rank", *carry)
+    return add_carried(ranked, passages, qid, cid, carry, size)
+
+
+def _few_tasks(corpus: DataFrame, hits_per_task: int) -> DataFrame:
+    """Every task gives k rows per query, so with many of those there must not be too many tasks."""
+    if hits_per_task <= 10_000:
+        return corpus
+    return corpus.coalesce(corpus.sparkSession.sparkContext.defaultParallelism * 4)
 
 
 def _broadcast_hits(queries, corpus, k, scorer, qid, cid, schema) -> DataFrame:

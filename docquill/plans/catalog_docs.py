@@ -241,7 +241,7 @@ QUERIES = {
     "hash_embed": _hash_embed,
     "reassemble": lambda s, d: _reassembled(s, d),
     "join_documents": _join_documents,
-    "document_quality": _document_quality,
+    "translation_quality": _document_quality,
     "chunk_quality": _chunk_quality,
     "quality_overview": _quality_overview,
     "preview_sample": _preview,

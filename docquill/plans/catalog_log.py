@@ -125,9 +125,10 @@ QUERIES = {
     "classify_response": lambda s, d: logs.classify_response(_classified(s, d)).select(
         "request_id", "response_classification", "refusal_type", "classification_reason"
     ),
-    "answer_flags": lambda s, d: logs.answer_flags(_classified(s, d)).select(
-        "request_id", "refusal_type", "is_valid_answer", "is_refusal"
+    "is_valid_answer": lambda s, d: logs.answer_flags(_classified(s, d)).select(
+        "request_id", "is_valid_answer", "is_refusal"
     ),
+    "refusal_type": lambda s, d: logs.answer_flags(_classified(s, d)).select("request_id", "refusal_type"),
     "classification_stats": lambda s, d: _stats(
         logs.classification_stats(logs.classify_response(_classified(s, d)))
     ),

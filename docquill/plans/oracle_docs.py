@@ -195,7 +195,7 @@ SQL: dict[str, str] = {
   SELECT f.source_file_name, f.source_page_count, md5(full_document_text) AS raw_md5,
     md5(full_document_text_translated) AS translated_md5
   FROM flat f JOIN docs d ON f.source_file_name = d.source_file_name""",
-    "document_quality": f"""WITH {JOINED}
+    "translation_quality": f"""WITH {JOINED}
   SELECT source_file_name, round(r, 6) AS translation_ratio, 'English' AS target_language,
     coalesce(r < 0.6, false) AS low_quality
   FROM (SELECT *, CAST(length(full_document_text_translated) AS DOUBLE)

@@ -260,7 +260,7 @@ SQL: dict[str, str] = {
     "write_report": f"WITH {RUN}, {CATEGORY} SELECT category, passed, total, pass_total FROM cat",
     "case_mix": "SELECT lang AS category, count(*) AS cases FROM documents GROUP BY lang",
     "validate_cases": "SELECT 'case_' || doc_id AS id, 'question' AS missing_fields FROM documents WHERE lang = 'de'",
-    "profile_titles": f"SELECT DISTINCT article_title AS concept FROM ({ARTICLES})",
+    "profile_concepts": f"SELECT DISTINCT article_title AS concept FROM ({ARTICLES})",
     "profile_mentions": _mention,
     "build_cases": f"""WITH {CONCEPTS}
   SELECT 'case_' || lpad(CAST(number AS VARCHAR), 3, '0') AS id, category, concept,

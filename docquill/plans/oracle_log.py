@@ -324,11 +324,12 @@ SELECT 'MEDIUM', 'insufficient_context', CAST(10 AS DOUBLE), CAST(insufficient_c
         "SELECT request_id, response_classification, refusal_type, classification_reason FROM classed0",
         classify_cte("raw", "classed0"),
     ),
-    "answer_flags": with_raw(
-        """SELECT request_id, refusal_type, response_classification = 'answer' AS is_valid_answer,
+    "is_valid_answer": with_raw(
+        """SELECT request_id, response_classification = 'answer' AS is_valid_answer,
   response_classification <> 'answer' AS is_refusal FROM classed0""",
         classify_cte("raw", "classed0"),
     ),
+    "refusal_type": with_raw("SELECT request_id, refusal_type FROM classed0", classify_cte("raw", "classed0")),
     "classification_stats": with_raw(class_counts("classed0"), classify_cte("raw", "classed0")),
     "log_class_stats": with_log(class_counts("(SELECT * FROM log WHERE response_classification IS NOT NULL)")),
     "build_log_rows": with_log(
