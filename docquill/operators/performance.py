@@ -64,7 +64,7 @@ CELLS = 65536
 FEW_VALUES = 1_000_000
 
 
-def exact_median(df: DataFrame, value: str) -> DataFrame:
+def exact_median(df: DataFrame, value: str, few: int = FEW_VALUES) -> DataFrame:
     """One row (median, n_values): the exact median of a double column.
 
     While many values are left, they are counted in 65,536 cells of their range
@@ -81,7 +81,7 @@ def exact_median(df: DataFrame, value: str) -> DataFrame:
         span = values.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(v).alias("n")).first()
         if number == 0:
             low, high, total = max(span.n - 1, 0) // 2, span.n // 2, span.n
-        if span.n <= FEW_VALUES or span.lo == span.hi:
+        if span.n <= few or span.lo == span.hi:
             break
         cell = F.least(F.floor((key - span.lo) / (span.hi - span.lo) * CELLS), F.lit(CELLS - 1))
         upto = F.sum("n").over(Window.orderBy("cell")) + skipped
