@@ -6,7 +6,7 @@ from docquill.functions.classify import REFUSAL_PATTERNS, VAGUE_PATTERNS, classi
 from docquill.operators import logs
 
 TEXTS = [
-    None, "", "   ", "\n\t", " ", "No.", "no", "MAYBE.", "I don't know", "not sure.", "Seven years.",
+    None, "", "   ", "\n\t", "\u00a0", "no\u00a0enough context here", "\x1c\x1f", "No.", "no", "MAYBE.", "I don't know", "not sure.", "Seven years.",
     "There is not enough information in the records.", "Could you clarify which records you mean?",
     "That is outside my scope, sorry.", "I am unable to retrieve live records.",
     "This is about GDPR Article 17 and the right to erasure.", "It doesn’t say anything in the context here.",
