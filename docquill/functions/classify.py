@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import is_blank, strip
+from .text import SPACE, contains_any, is_blank, let, strip
 
 # The pattern groups, in priority order.
 REFUSAL_PATTERNS: dict[str, list[str]] = {
@@ -42,6 +42,15 @@ REFUSAL_PATTERNS: dict[str, list[str]] = {
         r"(?:i\s+)?(?:cannot|can't)\s+(?:browse|fetch|query)\s+(?:external|live)",
     ],
 }
+# Every match of a group holds one of these words, so most texts need no search for it.
+HINTS: dict[str, list[str]] = {
+    "insufficient_context": ["information", "evidence", "context", "document", "data"],
+    "ambiguous_question": ["question", "clarif", "rephrase", "specific", "details", "mean", "asking"],
+    "out_of_scope": ["scope", "expertise", "knowledge", "help", "assist", "designed", "trained", "gdpr", "data", "domain"],
+    "capability_limitation": [
+        "access", "retrieve", "search", "permission", "ability", "data", "browse", "fetch", "query",
+    ],
+}
 VAGUE_PATTERNS: list[str] = [
     r"^(?:yes|no|maybe|unclear|unknown)\.?$",
     r"^(?:i\s+)?(?:don't|do\s+not)\s+know\.?$",
@@ -51,7 +60,53 @@ MIN_ANSWER_LENGTH = 20
 
 
 def _regex(patterns: list[str]) -> str:
-    return "(?iUd)" + "|".join(patterns)
+    """Letters match in any case and blanks are those of Unicode, as in Python's re."""
+    return "(?iUd)" + "|".join(patterns).replace(r"\s", SPACE)
+
+
+def classify(text: Column, min_length: int = MIN_ANSWER_LENGTH) -> Column:
+    """Struct of response_classification, refusal_type and classification_reason.
+
+    Steps are bound by let, so the whole stays one expression that computes
+    each of them once, also where the optimizer copies it into a filter.
+    """
+
+    def result(kind: str, refusal: Column, reason: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("response_classification"),
+            refusal.cast("string").alias("refusal_type"),
+            reason.cast("string").alias("classification_reason"),
+        )
+
+    def hit(name: str, plain: Column) -> Column:
+        """(name, match) or NULL; no pattern can match the empty string."""
+        found = F.regexp_extract(text, _regex(REFUSAL_PATTERNS[name]), 0)
+        pair = let(found, lambda m: F.when(m != "", F.struct(F.lit(name).alias("name"), m.alias("match"))))
+        return F.when(contains_any(plain, HINTS[name]), pair)
+
+    def first_hit(plain: Column) -> Column:
+        return F.coalesce(*[hit(name, plain) for name in REFUSAL_PATTERNS])
+
+    none = F.lit(None)
+
+    def judged(clean: Column, refusal: Column) -> Column:
+        size = F.length(clean)
+        label = F.replace(refusal["name"], F.lit("_"), F.lit(" "))
+        matched = F.concat(F.lit("Contains "), label, F.lit(" pattern: '"), refusal["match"], F.lit("'"))
+        short = F.when(
+            text.rlike(_regex(VAGUE_PATTERNS)), F.concat(F.lit("Too short and vague: '"), clean, F.lit("'"))
+        ).otherwise(F.concat(F.lit("Response too short ("), size.cast("string"), F.lit(" chars)")))
+        return (
+            F.when(refusal.isNotNull(), result("refusal", refusal["name"], matched))
+            .when(size < min_length, result("vague", none, short))
+            .otherwise(result("answer", none, none))
+        )
+
+    # The long s is the one letter that matches another only beside its lower case.
+    plain = F.translate(F.lower(text), "\u017f", "s")
+    checked = let(strip(text), lambda clean: let(let(plain, first_hit), lambda h: judged(clean, h)))
+    blank = result("empty", none, F.lit("Response is empty or whitespace"))
+    return F.when(is_blank(text), blank).otherwise(checked)
 
 
 def classify_response(
@@ -61,47 +116,8 @@ def classify_response(
 
     Rows for which `only` is not true keep NULL in all three.
     """
-    text = F.col(answer)
-    names = list(REFUSAL_PATTERNS)
-    wanted = F.lit(True) if only is None else F.coalesce(only, F.lit(False))
-    # The matches stay columns of a projection of their own, so that each
-    # pattern runs once per row. No pattern can match the empty string.
-    work = df.withColumns(
-        {
-            "_wanted": wanted,
-            "_clean": strip(text),
-            **{
-                f"_m_{n}": F.when(wanted, F.regexp_extract(text, _regex(p), 0))
-                for n, p in REFUSAL_PATTERNS.items()
-            },
-        }
-    )
-
-    def found(name: str) -> Column:
-        return F.col(f"_m_{name}") != ""
-
-    kind = F.when(~F.col("_wanted"), None).when(is_blank(text), "empty")
-    refusal = F.when(~F.col("_wanted") | is_blank(text), None)
-    reason = F.when(~F.col("_wanted"), None).when(is_blank(text), "Response is empty or whitespace")
-    for name in names:
-        kind = kind.when(found(name), "refusal")
-        refusal = refusal.when(found(name), name)
-        label = name.replace("_", " ")
-        reason = reason.when(
-            found(name), F.concat(F.lit(f"Contains {label} pattern: '"), F.col(f"_m_{name}"), F.lit("'"))
-        )
-    size = F.length("_clean")
-    kind = kind.when(size < min_length, "vague").otherwise("answer")
-    reason = reason.when(
-        (size < min_length) & text.rlike(_regex(VAGUE_PATTERNS)),
-        F.concat(F.lit("Too short and vague: '"), F.col("_clean"), F.lit("'")),
-    ).when(
-        size < min_length, F.concat(F.lit("Response too short ("), size.cast("string"), F.lit(" chars)"))
-    )
-    return work.withColumns(
-        {
-            "response_classification": kind,
-            "refusal_type": refusal.otherwise(None),
-            "classification_reason": reason.otherwise(None),
-        }
-    ).drop("_wanted", "_clean", *[f"_m_{n}" for n in names])
+    found = classify(F.col(answer), min_length)
+    if only is not None:
+        found = F.when(only, found)
+    names = ["response_classification", "refusal_type", "classification_reason"]
+    return df.withColumn("_class", found).withColumns({n: F.col(f"_class.{n}") for n in names}).drop("_class")

@@ -31,30 +31,27 @@ def quality_sample(
     )
 
 
-_JUDGED = ", ".join(f"{s} double" for s in SCORES) + ", explanation string"
-
-
 def validate_scores(df: DataFrame, reply: str = "reply") -> DataFrame:
     """A judge's JSON reply to score columns; zeros and an error when it is unusable."""
     fields = [*SCORES, "explanation"]
-    is_json = F.col(reply).isNotNull() & F.try_parse_json(reply).isNotNull()
-    parsed = F.from_json(reply, _JUDGED)
-    missing = F.filter(
-        F.array(*[F.when(F.get_json_object(reply, f"$.{f}").isNull(), f) for f in fields]), lambda f: f.isNotNull()
+    rows = df.withColumn("_reply", F.try_parse_json(reply))
+    value = F.col("_reply")
+    missing = F.array_compact(
+        F.array(*[F.when(F.try_variant_get(value, f"$.{f}", "variant").isNull(), f) for f in fields])
     )
-    rows = df.withColumns({"_p": parsed, "_json": is_json, "_missing": missing})
-    good = F.col("_json") & (F.size("_missing") == 0)
+    rows = rows.withColumn("_missing", missing)
+    good = value.isNotNull() & (F.size("_missing") == 0)
 
     def score(name: str) -> Column:
-        return F.when(good, F.col(f"_p.{name}")).otherwise(0.0)
+        return F.when(good, F.try_variant_get(value, f"$.{name}", "double")).otherwise(0.0)
 
-    problem = F.when(~F.col("_json"), "JSON parsing error").otherwise(
+    problem = F.when(value.isNull(), "JSON parsing error").otherwise(
         F.concat(F.lit("Missing required fields: "), F.array_join("_missing", ", "))
     )
-    explanation = F.when(good, F.col("_p.explanation")).otherwise(F.concat(F.lit("Error: "), problem))
-    return rows.withColumns({**{s: score(s) for s in SCORES}, "explanation": explanation}).drop(
-        "_p", "_json", "_missing"
+    explanation = F.when(good, F.try_variant_get(value, "$.explanation", "string")).otherwise(
+        F.concat(F.lit("Error: "), problem)
     )
+    return rows.withColumns({**{s: score(s) for s in SCORES}, "explanation": explanation}).drop("_reply", "_missing")
 
 
 def quality_scores(

@@ -21,7 +21,7 @@ FUSION_OFFSET = 60
 SCORE_CUT = 0.35
 FUSION_DEPTH = 50
 QUERY_TILE = 256
-ROW_TILE = 512
+ROW_TILE = 256
 
 
 def _vectors(column: pd.Series) -> np.ndarray:
@@ -83,7 +83,8 @@ def query_terms(
     # The length is taken before the explode, which then carries one number per row.
     docs = corpus.filter(F.col(ctext).isNotNull()).select(tokens(F.col(ctext)).alias("toks"))
     docs = docs.select(F.size("toks").alias("dl"), F.array_append(F.array_distinct("toks"), "").alias("terms"))
-    per_doc = docs.select("dl", F.explode("terms").alias("term"))
+    # No list is empty; the outer form keeps the optimizer from testing that by splitting the text once more.
+    per_doc = docs.select("dl", F.explode_outer("terms").alias("term"))
     if small:
         per_doc = per_doc.join(F.broadcast(terms), "term", "left_semi")
     counts = per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("dl").alias("length"))
@@ -107,35 +108,47 @@ def query_terms(
 
 
 def _bm25_scorer(ctokens: str) -> Scorer:
-    def prepare(rows: pd.DataFrame) -> tuple[dict, float, int]:
-        postings: dict[str, list[tuple[int, float]]] = {}
-        for q, (terms, idfs) in enumerate(zip(rows["terms"], rows["idfs"])):
-            for term, idf in zip(terms, idfs):
-                postings.setdefault(term, []).append((q, idf))
-        arrays = {
-            t: (np.array([q for q, _ in p]), np.array([w for _, w in p])) for t, p in postings.items()
-        }
+    def prepare(rows: pd.DataFrame) -> tuple:
+        """Postings of the terms: term -> number, and per term its queries and idf, end to end."""
+        n_terms = rows["terms"].map(len).to_numpy(dtype=np.int64) if len(rows) else np.empty(0, dtype=np.int64)
+        terms = np.concatenate([*rows["terms"], np.empty(0, dtype=object)]).astype(object)
+        idfs = np.concatenate([*rows["idfs"], np.empty(0)])
+        vocab = {t: i for i, t in enumerate(dict.fromkeys(terms))}
+        numbers = np.array([vocab[t] for t in terms], dtype=np.int64)
+        order = np.argsort(numbers, kind="stable")
+        starts = np.searchsorted(numbers[order], np.arange(len(vocab) + 1))
+        queries = np.repeat(np.arange(len(rows)), n_terms)[order]
         mean = float(rows["mean_length"].iloc[0]) if len(rows) else 1.0
-        return arrays, mean, len(rows)
-
-    def one(postings: dict, mean: float, n: int, toks) -> np.ndarray:
-        out = np.zeros(n)
-        counts: dict[str, int] = {}
-        for t in toks:
-            if t in postings:
-                counts[t] = counts.get(t, 0) + 1
-        norm = BM25_K1 * (1 - BM25_B + BM25_B * len(toks) / mean)
-        for t, tf in counts.items():
-            q, idf = postings[t]
-            out[q] += idf * (tf * (BM25_K1 + 1) / (tf + norm))
+        return vocab, starts, queries, idfs[order], mean, len(rows)
+
+    def tile_scores(ready: tuple, texts: np.ndarray) -> np.ndarray:
+        vocab, starts, queries, idfs, mean, n = ready
+        doc, term, tf = [], [], []
+        for i, toks in enumerate(texts):
+            counts: dict[int, int] = {}
+            for t in toks:
+                number = vocab.get(t)
+                if number is not None:
+                    counts[number] = counts.get(number, 0) + 1
+            doc.extend([i] * len(counts))
+            term.extend(counts)
+            tf.extend(counts.values())
+        doc, term, tf = (np.array(x, dtype=np.int64) for x in (doc, term, tf))
+        norm = BM25_K1 * (1 - BM25_B + BM25_B * np.array([len(t) for t in texts]) / mean)
+        weight = tf * (BM25_K1 + 1) / (tf + norm[doc])
+        # Each (document, term) meets the queries of the term.
+        size = starts[term + 1] - starts[term]
+        pair = np.repeat(np.arange(len(term)), size)
+        at = starts[term][pair] + np.arange(len(pair)) - np.repeat(np.cumsum(size) - size, size)
+        cell = queries[at] * len(texts) + doc[pair]
+        out = np.bincount(cell, idfs[at] * weight[pair], n * len(texts)).reshape(n, len(texts))
         return np.where(out > 0, out, -np.inf)
 
     def score(ready: tuple, rows: pd.DataFrame):
-        postings, mean, n = ready
         texts = rows[ctokens].to_numpy()
         for at in range(0, len(texts), ROW_TILE):
             part = slice(at, at + ROW_TILE)
-            yield 0, part, np.stack([one(postings, mean, n, t) for t in texts[part]], axis=1)
+            yield 0, part, tile_scores(ready, texts[part])
 
     return Scorer(prepare, score)
 

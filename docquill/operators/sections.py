@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import lines, strip
+from ..functions.text import is_blank, lines, strip
 
 
 @dataclass(frozen=True)
@@ -69,7 +69,7 @@ def _split_sections(df: DataFrame, text: str, keep: tuple[str, ...], layout: Lay
     """One row per non-blank section. Each document is split in its own row."""
     start = rf"(?U)(?=\n##\s+{layout.word}\s+\d+)"
     segments = df.select(*keep, F.posexplode(F.split(F.col(text), start)).alias("pos", "segment"))
-    rows = segments.withColumn("lines", lines(F.col("segment"))).filter(F.size("lines") > 0)
+    rows = segments.filter(~is_blank(F.col("segment"))).withColumn("lines", lines(F.col("segment")))
     header = F.get("lines", F.lit(0))
     is_section = F.startswith(header, F.lit(f"## {layout.word}"))
     label, title = labels(header, F.col("lines"))

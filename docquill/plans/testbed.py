@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import words
 from ..operators.logs import build_log_rows
 
 AS_OF = dt.date(2024, 1, 30)
@@ -221,21 +222,18 @@ def states(events: DataFrame) -> DataFrame:
     )
 
 
-def _word(n: int):
-    from ..functions.text import words
-
-    return F.get(words(F.col("text")), F.lit(n))
-
-
 def cases(documents: DataFrame) -> DataFrame:
     """A test case per document: its source, and words 1, 20 and 60 of its text."""
-    present = lambda *xs: F.filter(F.array(*xs), lambda x: x.isNotNull())
+
+    def word(*places: int):
+        return F.array_compact(F.array(*[F.get("words", F.lit(n - 1)) for n in places]))
+
     expected = F.struct(
         F.array("source").alias("sources"),
-        present(_word(0), _word(19)).alias("must_retrieve_from_articles"),
-        present(_word(59)).alias("must_include_in_answer"),
+        word(1, 20).alias("must_retrieve_from_articles"),
+        word(60).alias("must_include_in_answer"),
     )
-    return documents.select(
+    return documents.withColumn("words", words(F.col("text"))).select(
         F.concat(F.lit("case_"), F.col("doc_id").cast("string")).alias("id"),
         F.concat(F.lit("What does "), F.col("source"), F.lit(" say?")).alias("question"),
         F.col("lang").alias("category"),

@@ -13,6 +13,7 @@ TEXTS = [
     "The context doesn't contain it.", "Based on the provided context, I cannot answer that at all.",
     "please be\nmore specific about that", "Article 17 grants the right to erasure to all data subjects.",
     "twenty characters ok", "nineteen characters", "  padded yes.  ", "yes.\n", "😀", "INSUFFICIENT DATA was given to me",
+    "That is outside my \u017fcope and much more", "I cannot a\u017fsi\u017ft with that thing, really", "as\u212aing what",
     "The question is unclear and the context is incomplete", "beyond the scope of this long answer",
 ]
 
@@ -40,6 +41,29 @@ def test_same_as_python(spark):
         assert got[i] == expected(text), text
 
 
+def test_hints_are_in_every_match():
+    """Each way to write out a pattern holds a hint of its group."""
+    from docquill.functions.classify import HINTS
+
+    def spell(pattern):
+        pattern = re.sub(r"\\s\+", " ", pattern)
+        pattern = re.sub(r"\(\?:((?:(?!\(\?:)[^()])*)\)\?", "", pattern).replace(",?", "")
+        group = re.search(r"\(\?:([^()]*)\)", pattern)
+        if not group:
+            return [pattern]
+        return [
+            full
+            for choice in group[1].split("|")
+            for full in spell(pattern[: group.start()] + choice + pattern[group.end() :])
+        ]
+
+    for name, patterns in REFUSAL_PATTERNS.items():
+        for pattern in patterns:
+            for text in spell(pattern):
+                assert re.fullmatch(pattern, text, re.IGNORECASE), (pattern, text)
+                assert any(h in text.lower() for h in HINTS[name]), (name, text)
+
+
 def test_flags(spark):
     rows = spark.createDataFrame(list(enumerate(TEXTS)), "i int, answer string")
     for r in logs.answer_flags(rows).collect():
