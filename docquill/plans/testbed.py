@@ -259,10 +259,10 @@ def responses(spark: SparkSession, sf_dir: str, ahead: int = 1) -> DataFrame:
 def replies(events: DataFrame) -> DataFrame:
     """A judge's reply per event: some lack a score, some are not JSON."""
     n = F.col("event_id")
-    score = (n % 5 + 1).cast("int")
+    score = (n % 5 + 1).cast("string")
     fields = ["relevance", "accuracy", "completeness", "citation", "clarity", "overall"]
-    parts = [F.format_string(f'"{f}": %d, ', score) for f in fields if f != "clarity"]
-    clarity = F.when(n % 9 == 0, "").otherwise(F.format_string('"clarity": %d, ', score))
+    parts = [F.concat(F.lit(f'"{f}": '), score, F.lit(", ")) for f in fields if f != "clarity"]
+    clarity = F.when(n % 9 == 0, "").otherwise(F.concat(F.lit('"clarity": '), score, F.lit(", ")))
     text = F.concat(F.lit("{"), *parts, clarity, F.lit('"explanation": "ok"}'))
     return events.select(
         n.cast("string").alias("request_id"), F.when(n % 13 == 0, "no JSON").otherwise(text).alias("reply")
