@@ -9,13 +9,19 @@ from pyspark.sql import functions as F
 
 from ..functions.text import words
 from ..operators.logs import build_log_rows
+from ..sources.files import scan_spread
 
 AS_OF = dt.date(2024, 1, 30)
 QUALITY_FIELDS = ["relevance", "accuracy", "completeness", "citation", "clarity", "overall"]
 
 
+# Tables whose rows take long to work on.
+HEAVY = ("documents", "events")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return scan_spread(spark, path) if name in HEAVY else spark.read.parquet(path)
 
 
 def requests(events: DataFrame) -> DataFrame:
