@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import ratio
+from ..sources.files import write_report, write_text
 
 # The score of a passed case, the pass rate of a good run.
 PASS_MARK = 0.7
@@ -154,6 +155,9 @@ def gate(results: DataFrame, minimum: float = GATE) -> DataFrame:
     )
 
 
+REPORT_ORDER = ["section", "sort_key", "line_no"]
+
+
 def eval_report(results: DataFrame, generated: dt.datetime | None = None) -> DataFrame:
     """The text report as ordered lines (section, sort_key, line_no, line).
 
@@ -215,7 +219,17 @@ def eval_report(results: DataFrame, generated: dt.datetime | None = None) -> Dat
     out = head
     for part in (categories, failed_head, failed, foot):
         out = out.unionByName(part)
-    return out.orderBy("section", "sort_key", "line_no")
+    return out.orderBy(*REPORT_ORDER)
+
+
+def write_run(results: DataFrame, folder: str, single_file: bool = True) -> dict[str, str]:
+    """Results and failed cases as CSV and the report as text; returns the paths."""
+    failed = failed_cases(results)
+    return {
+        "results": write_report(results, f"{folder}/evaluation_results", single_file),
+        "failed": write_report(failed, f"{folder}/failed_cases", single_file),
+        "report": write_text(eval_report(results), f"{folder}/report", REPORT_ORDER, single_file=single_file),
+    }
 
 
 def case_mix(pool: DataFrame) -> DataFrame:

@@ -116,3 +116,20 @@ def classification_stats(df: DataFrame, column: str = "response_classification")
     return counts.withColumns(
         {f"{c}_rate": F.coalesce(ratio(F.col(f"{c}_count"), F.col("total")), F.lit(0.0)) for c in CLASSES}
     )
+
+
+def log_stats(log: DataFrame) -> DataFrame:
+    """One row over log rows, with unclassified ones in the total; none when the log is empty."""
+    kind = F.col("response_classification")
+    counts = log.agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col("is_valid_answer")).alias("valid_answer_count"),
+        F.count_if(kind == "refusal").alias("refusal_count"),
+        F.count_if(kind == "vague").alias("vague_count"),
+    ).filter("total > 0")
+    return counts.withColumns(
+        {
+            "valid_answer_rate": ratio(F.col("valid_answer_count"), F.col("total")),
+            "refusal_rate": ratio(F.col("refusal_count"), F.col("total")),
+        }
+    )

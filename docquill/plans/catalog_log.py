@@ -132,9 +132,7 @@ QUERIES = {
     "classification_stats": lambda s, d: _stats(
         logs.classification_stats(logs.classify_response(_classified(s, d)))
     ),
-    "log_class_stats": lambda s, d: _stats(
-        logs.classification_stats(log(s, d).filter("response_classification IS NOT NULL"))
-    ),
+    "log_stats": lambda s, d: rounded(logs.log_stats(log(s, d)), 6, "valid_answer_rate", "refusal_rate"),
     "build_log_rows": log,
     "normalise_requests": _normalise,
 }

@@ -331,7 +331,14 @@ SELECT 'MEDIUM', 'insufficient_context', CAST(10 AS DOUBLE), CAST(insufficient_c
     ),
     "refusal_type": with_raw("SELECT request_id, refusal_type FROM classed0", classify_cte("raw", "classed0")),
     "classification_stats": with_raw(class_counts("classed0"), classify_cte("raw", "classed0")),
-    "log_class_stats": with_log(class_counts("(SELECT * FROM log WHERE response_classification IS NOT NULL)")),
+    "log_stats": with_log(
+        """SELECT count(*) AS total, count(*) FILTER (is_valid_answer) AS valid_answer_count,
+  count(*) FILTER (response_classification = 'refusal') AS refusal_count,
+  count(*) FILTER (response_classification = 'vague') AS vague_count,
+  round(CAST(count(*) FILTER (is_valid_answer) AS DOUBLE) / count(*), 6) AS valid_answer_rate,
+  round(CAST(count(*) FILTER (response_classification = 'refusal') AS DOUBLE) / count(*), 6) AS refusal_rate
+  FROM log HAVING count(*) > 0"""
+    ),
     "build_log_rows": with_log(
         """SELECT "timestamp", request_id, question, answer, context, latency_ms, status, error_message, date,
   response_classification, refusal_type, classification_reason, is_valid_answer FROM log"""

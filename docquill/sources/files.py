@@ -81,3 +81,10 @@ def write_report(df: DataFrame, path: str, single_file: bool = True) -> str:
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
     return path
+
+
+def write_text(rows: DataFrame, path: str, order: list[str], line: str = "line", single_file: bool = True) -> str:
+    """Lines in the given order; as several files, the order goes on from one file to the next."""
+    lines = rows.orderBy(*order).select(F.col(line).alias("value"))
+    (lines.coalesce(1) if single_file else lines).write.mode("overwrite").text(path)
+    return path

@@ -72,8 +72,9 @@ def test_flags(spark):
 
 
 def test_stats_of_nothing_are_zero(spark):
-    none = spark.createDataFrame([], "response_classification string")
+    none = spark.createDataFrame([], "response_classification string, is_valid_answer boolean")
     assert set(logs.classification_stats(none).first()) == {0, 0.0}
+    assert logs.log_stats(none).count() == 0
 
 
 def test_log_rows(spark):

@@ -88,6 +88,15 @@ def test_report(spark):
     assert not any(x.startswith("FAILED") for x in clean)
 
 
+def test_written_run(spark, tmp_path):
+    paths = ev.write_run(results(spark, RUN), str(tmp_path / "run"))
+    back = spark.read.option("header", True).csv(paths["results"])
+    assert back.count() == 3 and set(back.columns) == {*results(spark, RUN).columns}
+    assert [r.case_id for r in spark.read.option("header", True).csv(paths["failed"]).collect()] == ["c2"]
+    lines = [r.value for r in spark.read.text(paths["report"]).collect()]
+    assert lines[1] == "Evaluation Report" and lines[-1] == "=" * 80
+
+
 def test_validate(spark):
     rows = spark.createDataFrame([("1", "q", None), (None, "q", "c")], "id string, question string, category string")
     got = {r.id: r.missing_fields for r in ev.validate_cases(rows).collect()}
