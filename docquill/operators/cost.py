@@ -49,10 +49,8 @@ def price_days(per_day: DataFrame) -> DataFrame:
 
 
 def cost_summary(log: DataFrame, days: int = 30, as_of: dt.date | None = None) -> DataFrame:
-    return summarise_cost_days(daily_cost(log, days, as_of))
-
-
-def summarise_cost_days(daily: DataFrame) -> DataFrame:
+    """One row of totals, means and the projection to 30 days; zeros without data."""
+    daily = daily_cost(log, days, as_of)
     zero, none = F.lit(0), F.lit(0.0)
     sums = daily.agg(
         F.coalesce(F.sum("estimated_cost_usd"), none).alias("total_cost_usd"),

@@ -74,10 +74,6 @@ def error_summary(log: DataFrame, days: int = 7, as_of: dt.date | None = None) -
             F.count_if(~status.isin("success", "error", "exception")).alias("other"),
         )
     )
-    return summarise_error_days(per_day)
-
-
-def summarise_error_days(per_day: DataFrame) -> DataFrame:
     kinds = ["http", "agent", "other"]
 
     def total(name: str) -> Column:

@@ -222,7 +222,7 @@ def eval_report(results: DataFrame, generated: dt.datetime | None = None) -> Dat
     return out.orderBy(*REPORT_ORDER)
 
 
-def write_run(results: DataFrame, folder: str, single_file: bool = True) -> dict[str, str]:
+def write_run(results: DataFrame, folder: str, single_file: bool = False) -> dict[str, str]:
     """Results and failed cases as CSV and the report as text; returns the paths."""
     failed = failed_cases(results)
     return {

@@ -45,19 +45,16 @@ def daily_performance(log: DataFrame, days: int = 7, as_of: dt.date | None = Non
 
 
 def performance_summary(log: DataFrame, days: int = 7, as_of: dt.date | None = None) -> DataFrame:
-    """One row over the daily rows; means are unweighted means of daily values."""
-    return summarise_days(daily_performance(log, days, as_of))
-
-
-def summarise_days(daily: DataFrame) -> DataFrame:
+    """One row over the daily rows, none without data; means are unweighted means of daily values."""
+    daily = daily_performance(log, days, as_of)
     return daily.agg(
-        F.coalesce(F.sum("total_requests"), F.lit(0)).alias("total_requests"),
+        F.sum("total_requests").alias("total_requests"),
         F.avg("total_requests").alias("avg_daily_requests"),
         F.avg("avg_latency_seconds").alias("avg_latency_seconds"),
         F.max("max_latency_seconds").alias("max_latency_seconds"),
         F.avg("success_rate_pct").alias("avg_success_rate"),
         F.count(F.lit(1)).alias("days_monitored"),
-    )
+    ).filter("days_monitored > 0")
 
 
 CELLS = 65536

@@ -76,15 +76,15 @@ def scan_golden_set(
     return cases.select("pos", "case.*")
 
 
-def write_report(df: DataFrame, path: str, single_file: bool = True) -> str:
-    """Rows as CSV with a header. A report is small; pass single_file=False for large results."""
-    out = df.coalesce(1) if single_file else df
+def write_report(df: DataFrame, path: str, single_file: bool = False) -> str:
+    """Rows as CSV with a header; single_file is for results known to be small."""
+    out = df.repartition(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
     return path
 
 
-def write_text(rows: DataFrame, path: str, order: list[str], line: str = "line", single_file: bool = True) -> str:
-    """Lines in the given order; as several files, the order goes on from one file to the next."""
-    lines = rows.orderBy(*order).select(F.col(line).alias("value"))
-    (lines.coalesce(1) if single_file else lines).write.mode("overwrite").text(path)
+def write_text(rows: DataFrame, path: str, order: list[str], line: str = "line", single_file: bool = False) -> str:
+    """Lines in the given order, which goes on from one file to the next."""
+    ranged = rows.repartition(1).sortWithinPartitions(*order) if single_file else rows.orderBy(*order)
+    ranged.select(F.col(line).alias("value")).write.mode("overwrite").text(path)
     return path

@@ -89,7 +89,7 @@ def test_report(spark):
 
 
 def test_written_run(spark, tmp_path):
-    paths = ev.write_run(results(spark, RUN), str(tmp_path / "run"))
+    paths = ev.write_run(results(spark, RUN), str(tmp_path / "run"), single_file=True)
     back = spark.read.option("header", True).csv(paths["results"])
     assert back.count() == 3 and set(back.columns) == {*results(spark, RUN).columns}
     assert [r.case_id for r in spark.read.option("header", True).csv(paths["failed"]).collect()] == ["c2"]

@@ -36,6 +36,7 @@ def test_lookback_spans_one_day_more(spark):
 def test_empty_log(spark):
     log = make(spark, [])
     assert performance.daily_performance(log, 7, DAY).count() == 0
+    assert performance.performance_summary(log, 7, DAY).count() == 0
     assert cost.cost_summary(log, 30, DAY).first().total_cost_usd == 0.0
     assert cost.cost_trend(log, 30, DAY).count() == 0
     assert cost.cost_anomalies(log, 30, as_of=DAY).count() == 0
