@@ -64,3 +64,13 @@ def contains_any(c: Column, phrases: list[str]) -> Column:
 def ratio(a: Column, b: Column) -> Column:
     """a / b as a double, NULL when b is zero."""
     return F.try_divide(a.cast("double"), b.cast("double"))
+
+
+def fixed(c: Column, places: int) -> Column:
+    """A number with a fixed number of decimals; halves go to the even digit, as in Python.
+
+    A double lies half-way between two such decimals only if it is a whole
+    number of 2^-(places + 1).
+    """
+    halves = c * F.lit(float(2 ** (places + 1)))
+    return F.format_string(f"%.{places}f", F.when(halves == F.floor(halves), F.bround(c, places)).otherwise(c))

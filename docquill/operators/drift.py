@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import ratio
+from ..functions.text import fixed, ratio
 from .logs import lookback, since
 
 # Words that never count as keywords, smoothing, limits.
@@ -149,10 +149,10 @@ def distribution_drift(
     message = F.when(
         F.col("_enough"),
         F.format_string(
-            "KL divergence: %.3f, New queries: %d, Disappeared: %d",
-            "drift_score",
-            "new_query_count",
-            "disappeared_query_count",
+            "KL divergence: %s, New queries: %d, Disappeared: %d",
+            fixed(F.col("drift_score"), 3),
+            F.col("new_query_count"),
+            F.col("disappeared_query_count"),
         ),
     ).otherwise(INSUFFICIENT)
     drifted = (F.col("drift_score") > threshold) | (F.col("new_query_rate") > NEW_QUERY_LIMIT)

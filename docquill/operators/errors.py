@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import ratio
+from ..functions.text import fixed, ratio
 from .logs import lookback
 
 # Alert limits.
@@ -162,6 +162,6 @@ def error_alerts(
             "error_rate",
             100 - min_success,
             rate,
-            F.format_string("Error rate (%.1f%%) is too high", rate),
+            F.concat(F.lit("Error rate ("), fixed(rate, 1), F.lit("%) is too high")),
         ),
     )

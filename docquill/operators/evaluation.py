@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import ratio
+from ..functions.text import fixed, ratio
 from ..sources.files import write_report, write_text
 
 # The score of a passed case, the pass rate of a good run.
@@ -185,9 +185,9 @@ def eval_report(results: DataFrame, generated: dt.datetime | None = None) -> Dat
         F.lit("OVERALL METRICS"),
         F.lit(dash),
         F.format_string("Total Test Cases: %d", "total_cases"),
-        F.format_string("Passed: %d (%.1f%%)", F.col("passed"), F.col("pass_rate") * 100),
+        F.format_string("Passed: %d (%s%%)", F.col("passed"), fixed(F.col("pass_rate") * 100, 1)),
         F.format_string("Failed: %d", "failed"),
-        F.format_string("Average Score: %.3f", "avg_score"),
+        F.concat(F.lit("Average Score: "), fixed(F.col("avg_score"), 3)),
         F.lit(""),
         F.lit("CATEGORY BREAKDOWN"),
         F.lit(dash),
@@ -196,7 +196,9 @@ def eval_report(results: DataFrame, generated: dt.datetime | None = None) -> Dat
         category_breakdown(results),
         1,
         F.col("category"),
-        F.format_string("%s: %d/%d passed (avg score: %.3f)", "category", "passed", "total", "avg_score"),
+        F.format_string(
+            "%s: %d/%d passed (avg score: %s)", "category", "passed", "total", fixed(F.col("avg_score"), 3)
+        ),
     )
     failed_head = block(
         eval_metrics(results).filter("failed > 0"),
@@ -211,7 +213,7 @@ def eval_report(results: DataFrame, generated: dt.datetime | None = None) -> Dat
         results.filter(~F.col("passed")),
         3,
         F.concat(F.format_string("%.9f ", "score"), F.col("case_id")),
-        F.format_string("• %s | Score: %.2f | %s", "case_id", "score", "category"),
+        F.format_string("• %s | Score: %s | %s", F.col("case_id"), fixed(F.col("score"), 2), F.col("category")),
         F.concat(F.lit("  "), F.coalesce("feedback", F.lit("No feedback"))),
         F.lit(""),
     )

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import ratio
+from ..functions.text import fixed, ratio
 from .errors import alert, alert_rows
 from .logs import lookback
 
@@ -62,7 +62,9 @@ def refusal_alerts(
             "refusal_rate",
             max_rate,
             rate,
-            F.format_string(f"Refusal rate (%.1f%%) exceeds threshold ({max_rate * 100:.1f}%%)", rate * 100),
+            F.concat(
+                F.lit("Refusal rate ("), fixed(rate * 100, 1), F.lit(f"%) exceeds threshold ({max_rate * 100:.1f}%)")
+            ),
         ),
         alert(
             short > max_insufficient,

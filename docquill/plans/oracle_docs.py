@@ -36,11 +36,13 @@ SELECT source_file_name, '{prefix}' || upper(sid) AS chunk_id, sid AS {cols[0]},
   {stripped("seg")} AS text_content, {consts} FROM named"""
 
 
+SECOND_LINE = "replace(ls[2], '###', '')"
+AFTER_COLON = "string_split(raw, ':')[2]"
 ARTICLES = _sections(
     "Article",
     f"{NL} || '## Article ' || i || {NL} || '### Title ' || lang || {NL} || x",
     "replace(raw, ' ', '-')",
-    f"coalesce({stripped(chr(114) + 'eplace(ls[2], ' + chr(39) + '###' + chr(39) + ', ' + chr(39) * 2 + ')')}, 'Statutory Rights')",
+    f"coalesce({stripped(SECOND_LINE)}, 'Statutory Rights')",
     "GDPR-CH3-",
     ("CHAPTER_III_PREAMBLE", "General Modalities Context"),
     "'EU GDPR Official 2016/679' AS legislation_source, 'Chapter 3 - Rights of the Data Subject' AS scope_boundary",
@@ -50,7 +52,7 @@ POLICIES = _sections(
     "Section",
     f"{NL} || '## Section ' || i || ': ' || lang || ' notes' || {NL} || x",
     "lower(replace(string_split(raw, ':')[1], ' ', '_'))",
-    f"coalesce({stripped('string_split(raw, ' + chr(39) + ':' + chr(39) + ')[2]')}, raw)",
+    f"coalesce({stripped(AFTER_COLON)}, raw)",
     "RETAIL-POLICY-",
     ("policy_preamble", "Global Policy Overview"),
     "'Global Retail E-Commerce Corp' AS corporate_owner, 'Internal Data Processing Matrix' AS document_type",
@@ -109,7 +111,10 @@ def est(x: str) -> str:
 
 def paragraph_chunks(budget: int) -> str:
     """CTEs that end in `pchunks`: the same packing, one piece at a time."""
-    piece = "{{'done': CAST([] AS STRUCT(b VARCHAR, n INTEGER)[]), 'cur': CAST([] AS VARCHAR[]), 'n': 0, 'txt': {0}, 't': {1}, 'is_line': {2}, 'first': {3}}}"
+    piece = (
+        "{{'done': CAST([] AS STRUCT(b VARCHAR, n INTEGER)[]), 'cur': CAST([] AS VARCHAR[]), 'n': 0, "
+        "'txt': {0}, 't': {1}, 'is_line': {2}, 'first': {3}}}"
+    )
     line_piece = piece.format("x", est("x"), "true", "i = 1")
     para_piece = piece.format("p", est("p"), "false", "false")
     start = piece.format("''", "0", "false", "false")

@@ -110,7 +110,7 @@ REPORT = " UNION ALL ".join(
         block(
             3,
             "format('{:.9f} ', score) || case_id",
-            ["'• ' || case_id || format(' | Score: {:.2f} | ', score + 1e-12) || category", "'  ' || feedback", "''"],
+            ["'• ' || case_id || format(' | Score: {:.2f} | ', score) || category", "'  ' || feedback", "''"],
             "res WHERE NOT passed",
         ),
         block(4, "''", [RULE], "met"),

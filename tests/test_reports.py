@@ -144,6 +144,16 @@ def test_money(spark):
     assert tuple(row) == (2, 0, 0.0, 0.0, 100.0, 0.0, 75.0)
 
 
+def test_fixed_decimals_are_those_of_python(spark):
+    from docquill.functions.text import fixed
+
+    values = [0.125, 0.375, 0.625, 0.875, 0.5, 1.0, 0.0, 2 / 3, 6.25, 6.75, 0.3, 1e9 + 0.125, -0.625, 80.392572]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    v = F.col("v")
+    for r in rows.select("v", fixed(v, 1).alias("a"), fixed(v, 2).alias("b"), fixed(v, 3).alias("c")).collect():
+        assert (r.a, r.b, r.c) == (f"{r.v:.1f}", f"{r.v:.2f}", f"{r.v:.3f}")
+
+
 def test_thresholds():
     assert monitoring.validate_thresholds(monitoring.THRESHOLDS) == []
     bad = {**monitoring.THRESHOLDS, "max_refusal_rate": 1.5, "max_avg_latency": -1.0, "lookback_days": 0}
