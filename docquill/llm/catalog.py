@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, decontamination, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,9 +32,25 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every whole text inside windows of the benchmark, and the items found."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontamination.find_overlaps(_documents(spark, sf_dir), benchmark, keep=["doc_id"])
+    n_hit = decontamination.words_hit("spans")
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op9_fm_decontamination": op9_fm_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = sql.SQL
