@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, sql
+from . import bpe, decontamination, pii, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,26 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def _joined(spans: Column) -> Column:
+    """kind:start:end of each span, joined by commas."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def _number(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def op3_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every whole text, plain and disguised."""
+    base = F.filter("found", lambda s: ~s["added"])
+    return pii.find_pii(_documents(spark, sf_dir), keep=["doc_id"]).select(
+        "doc_id",
+        *[_number(base, kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"),
+        _joined(F.col("found")).alias("spans"),
+    )
+
+
 def op9_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every whole text inside windows of the benchmark, and the items found."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -48,6 +68,7 @@ def op9_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_deobfuscated_pii": op3_deobfuscated_pii,
     "op9_fm_decontamination": op9_fm_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
 }
