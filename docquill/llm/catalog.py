@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, pii, sql
+from . import bpe, decontamination, language, pii, sql
+from .common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +53,13 @@ def op3_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text, learned from four folds of five."""
+    docs = _documents(spark, sf_dir)
+    model = language.fit(docs.where(~held_out()))
+    return language.identify(docs, model, keep=["doc_id", held_out().alias("held_out")])
+
+
 def op9_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every whole text inside windows of the benchmark, and the items found."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -69,6 +77,7 @@ def op9_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_deobfuscated_pii": op3_deobfuscated_pii,
+    "op5_language_centroids": op5_language_centroids,
     "op9_fm_decontamination": op9_fm_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
 }
