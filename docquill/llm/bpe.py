@@ -28,7 +28,9 @@ from pyspark.sql import types as T
 from .common import pieces
 
 #: Entries of a task's memory of pieces, after which it starts anew, and the longest piece that it keeps.
-MEMORY, LONGEST = 200_000, 64
+MEMORY, LONGEST = 100_000, 64
+#: Text bytes encoded at a time: their pieces are Python objects, some ten times as large.
+BATCH_BYTES = 2 << 20
 
 
 def byte_table() -> list[str]:
@@ -41,25 +43,29 @@ def byte_table() -> list[str]:
     return table
 
 
-@lru_cache(maxsize=4)
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+def shown_tokens(path: str) -> dict[str, int]:
+    """The vocabulary with a printable character for each byte."""
+    table = byte_table()
+    return {"".join(table[b] for b in token): rank for token, rank in read_ranks(path).items()}
+
+
 @lru_cache(maxsize=2)
 def _model(path: str):
     from tokenizers import Tokenizer, models, pre_tokenizers
 
-    ranks, table = read_ranks(path), byte_table()
-    shown = {token: "".join(table[b] for b in token) for token in ranks}
+    vocab = shown_tokens(path)
     merges = [
-        (shown[token[:i]], shown[token[i:]])
-        for token in sorted(ranks, key=ranks.get)
+        (token[:i], token[i:])
+        for token in sorted(vocab, key=vocab.get)
         for i in range(1, len(token))
-        if token[:i] in ranks and token[i:] in ranks
+        if token[:i] in vocab and token[i:] in vocab
     ]
-    model = Tokenizer(models.BPE(vocab={shown[t]: r for t, r in ranks.items()}, merges=merges))
+    model = Tokenizer(models.BPE(vocab=vocab, merges=merges))
     model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
     return model
 
@@ -112,10 +118,8 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", keep: lis
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = Encoder(path, pattern)
-        widths = np.zeros(max(read_ranks(path).values()) + 1, np.int64)
-        for token, rank in read_ranks(path).items():
-            widths[rank] = len(token)
-        for batch in pieces(batches, "_text"):
+        widths = np.array([len(b) for b in token_bytes(path)]) if offsets else None
+        for batch in pieces(batches, "_text", BATCH_BYTES):
             texts = batch.column("_text").to_pylist()
             packed = encoder.encode(texts)
             edges = pa.array(np.cumsum([0, *map(len, packed)]) // 4, pa.int32())
@@ -134,7 +138,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", keep: lis
 def token_bytes(path: str) -> list[bytes]:
     """Bytes of each id, from the vocabulary's printable tokens by the reversed byte table; unused ids have none."""
     back = {shown: b for b, shown in enumerate(byte_table())}
-    vocab = _model(path).get_vocab()
+    vocab = shown_tokens(path)
     table = [b""] * (max(vocab.values()) + 1)
     for shown, i in vocab.items():
         table[i] = bytes(back[c] for c in shown)
