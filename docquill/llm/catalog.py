@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, language, pii, sql
+from . import bpe, decontamination, language, pii, secrets, sql, toxicity
 from .common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,27 @@ def op5_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model, keep=["doc_id", held_out().alias("held_out")])
 
 
+def op6_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learned from four folds of five."""
+    docs = _documents(spark, sf_dir)
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out()))
+    scored = toxicity.score(docs, model, keep=["doc_id", held_out().alias("held_out")])
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op8_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every whole text; wider candidates count where few owners have them."""
+    found = secrets.scan(_documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        *[_number(F.col("base"), kind).alias(f"n_{kind}") for kind in secrets.BASE],
+        F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        _joined(F.array_sort(F.concat("base", "added"))).alias("spans"),
+        "n_live",
+        "n_example",
+    )
+
+
 def op9_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every whole text inside windows of the benchmark, and the items found."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -78,6 +99,8 @@ def op9_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_deobfuscated_pii": op3_deobfuscated_pii,
     "op5_language_centroids": op5_language_centroids,
+    "op6_subword_toxicity": op6_subword_toxicity,
+    "op8_secret_ownership": op8_secret_ownership,
     "op9_fm_decontamination": op9_fm_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
 }
