@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, language, pii, secrets, sql, toxicity
+from . import bpe, decontamination, exact, language, pii, secrets, sql, toxicity
 from .common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,18 @@ def op3_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_perfect_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row that stays for every document, through the history of all distinct digests."""
+    decided = exact.decide(exact.digests(_documents(spark, sf_dir)))
+    return decided.select(
+        F.col("id").alias("doc_id"),
+        "keep_id",
+        F.col("copies").alias("group_size"),
+        "kept",
+        F.lower(F.hex("digest")).alias("text_sha256"),
+    )
+
+
 def op5_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every whole text, learned from four folds of five."""
     docs = _documents(spark, sf_dir)
@@ -98,6 +110,7 @@ def op9_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_deobfuscated_pii": op3_deobfuscated_pii,
+    "op4_perfect_hash_dedup": op4_perfect_hash_dedup,
     "op5_language_centroids": op5_language_centroids,
     "op6_subword_toxicity": op6_subword_toxicity,
     "op8_secret_ownership": op8_secret_ownership,

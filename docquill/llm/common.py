@@ -34,6 +34,11 @@ def size_of(df: DataFrame) -> int:
     return df.sparkSession.read.format("binaryFile").load(folder).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
+def small(df: DataFrame, limit: int = 8 << 20) -> DataFrame:
+    """A settled table, marked for broadcast if its files have at most `limit` bytes; else joins shuffle it."""
+    return F.broadcast(df) if size_of(df) <= limit else df
+
+
 def text_of(column: Column | str) -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
@@ -63,3 +68,20 @@ def mixed(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(27))
     x = x * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+class Bits:
+    """A bit vector with ranks from block counts and popcounts."""
+
+    def __init__(self, bits: np.ndarray):
+        packed = np.packbits(bits, bitorder="little")
+        self.words = np.frombuffer(packed.tobytes().ljust((len(bits) // 64 + 1) * 8, b"\0"), np.uint64)
+        self.before = np.concatenate([[0], np.cumsum(np.bitwise_count(self.words), dtype=np.int64)])
+
+    def ones(self, i: np.ndarray) -> np.ndarray:
+        """Ones before each position."""
+        mask = (np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)
+        return self.before[i >> 6] + np.bitwise_count(self.words[i >> 6] & mask)
+
+    def at(self, i: np.ndarray) -> np.ndarray:
+        return ((self.words[i >> 6] >> (i & 63).astype(np.uint64)) & np.uint64(1)).astype(np.int64)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pieces, text_of
+from .common import Bits, pieces, text_of
 
 #: Text of the test set that one pass over the documents takes: what each task holds of it.
 BLOCK_BYTES = 16 << 20
@@ -61,23 +61,6 @@ def suffix_array(seq: np.ndarray) -> np.ndarray:
         step *= 2
 
 
-class Bits:
-    """A bit vector with ranks from block counts and popcounts."""
-
-    def __init__(self, bits: np.ndarray):
-        packed = np.packbits(bits, bitorder="little")
-        self.words = np.frombuffer(packed.tobytes().ljust((len(bits) // 64 + 1) * 8, b"\0"), np.uint64)
-        self.before = np.concatenate([[0], np.cumsum(np.bitwise_count(self.words), dtype=np.int64)])
-
-    def ones(self, i: np.ndarray) -> np.ndarray:
-        """Ones before each position."""
-        mask = (np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)
-        return self.before[i >> 6] + np.bitwise_count(self.words[i >> 6] & mask)
-
-    def at(self, i: np.ndarray) -> np.ndarray:
-        return ((self.words[i >> 6] >> (i & 63).astype(np.uint64)) & np.uint64(1)).astype(np.int64)
-
-
 class WaveletMatrix:
     """Symbols by bit levels, highest first; at each level zeros go before ones."""
 

@@ -1,5 +1,19 @@
 """DuckDB SQL of the corpus queries that SQL can express; every constant is written out here."""
 
+OP4 = r"""
+with digests as (
+  select doc_id, length(coalesce(text, '')) as chars,
+    sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) as text_sha256
+  from documents
+), ranked as (
+  select *, row_number() over (partition by text_sha256 order by chars desc, doc_id) as place,
+    first_value(doc_id) over (partition by text_sha256 order by chars desc, doc_id) as keep_id,
+    count(*) over (partition by text_sha256) as group_size
+  from digests
+)
+select doc_id, keep_id, group_size, place = 1 as kept, text_sha256 from ranked
+"""
+
 OP9 = r"""
 with words as (
   select doc_id, regexp_extract_all(
@@ -32,4 +46,4 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, c
 from words left join covered using (doc_id) left join named using (doc_id)
 """
 
-SQL = {"op9_fm_decontamination": OP9}
+SQL = {"op4_perfect_hash_dedup": OP4, "op9_fm_decontamination": OP9}
