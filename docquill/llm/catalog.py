@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, exact, language, pii, secrets, sql, toxicity
+from . import bpe, decontamination, exact, language, pii, secrets, similar, sql, toxicity
 from .common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,12 @@ def _number(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
+def op2_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 5-word shingle sets have a Jaccard similarity of 0.8 or more."""
+    groups = similar.similar_groups(_documents(spark, sf_dir))
+    return groups.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op3_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every whole text, plain and disguised."""
     base = F.filter("found", lambda s: ~s["added"])
@@ -109,6 +115,7 @@ def op9_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_parity_sketch_join": op2_parity_sketch_join,
     "op3_deobfuscated_pii": op3_deobfuscated_pii,
     "op4_perfect_hash_dedup": op4_perfect_hash_dedup,
     "op5_language_centroids": op5_language_centroids,

@@ -1,5 +1,31 @@
 """DuckDB SQL of the corpus queries that SQL can express; every constant is written out here."""
 
+OP2 = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+), shingles as materialized (
+  select distinct doc_id, array_to_string(w[i:i + 4], ' ') as s
+  from words, unnest(range(1, greatest(len(w) - 4, 1) + 1)) t(i) where len(w) > 0
+), sizes as materialized (
+  select doc_id, count(*) as n from shingles group by doc_id
+), links as materialized (
+  select x.a, x.b from (
+    select l.doc_id as a, r.doc_id as b, count(*) as same
+    from shingles l join shingles r on l.s = r.s and l.doc_id <> r.doc_id group by all
+  ) x join sizes p on p.doc_id = x.a join sizes q on q.doc_id = x.b
+  where 100 * same >= 80 * (p.n + q.n - same)
+), reach(a, b) as (
+  select doc_id, doc_id from documents
+  union
+  select reach.a, links.b from reach join links on links.a = reach.b
+), least as (
+  select a as doc_id, min(b) as component_id from reach group by a
+)
+select doc_id, coalesce(n, 0) as n_shingles, component_id from least left join sizes using (doc_id)
+"""
+
 OP4 = r"""
 with digests as (
   select doc_id, length(coalesce(text, '')) as chars,
@@ -46,4 +72,4 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, c
 from words left join covered using (doc_id) left join named using (doc_id)
 """
 
-SQL = {"op4_perfect_hash_dedup": OP4, "op9_fm_decontamination": OP9}
+SQL = {"op2_parity_sketch_join": OP2, "op4_perfect_hash_dedup": OP4, "op9_fm_decontamination": OP9}
