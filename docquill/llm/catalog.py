@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, exact, language, pii, secrets, similar, sql, toxicity
+from . import bpe, decontamination, exact, language, pii, secrets, similar, sql, suffixes, toxicity
 from .common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,12 @@ def op6_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op7_linear_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every whole text inside 200-byte strings that start anywhere else too."""
+    cut = suffixes.cut_repeats(_documents(spark, sf_dir))
+    return cut.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op8_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every whole text; wider candidates count where few owners have them."""
     found = secrets.scan(_documents(spark, sf_dir))
@@ -120,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "op4_perfect_hash_dedup": op4_perfect_hash_dedup,
     "op5_language_centroids": op5_language_centroids,
     "op6_subword_toxicity": op6_subword_toxicity,
+    "op7_linear_suffix_dedup": op7_linear_suffix_dedup,
     "op8_secret_ownership": op8_secret_ownership,
     "op9_fm_decontamination": op9_fm_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
