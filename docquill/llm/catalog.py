@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, exact, language, pii, secrets, similar, sql, suffixes, toxicity
+from . import bpe, decontamination, exact, language, pii, secrets, similar, sql, suffixes, toxicity, warc
+from ..session import work_path
 from .common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +43,21 @@ def _number(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
+def op1_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, written to archives, found through their index by the pages' URLs and read back by range."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    folder = warc.write_archive(pages, work_path(spark, "archive"))
+    index = warc.build_index(warc.scan_archive(spark, folder))
+    found = warc.read_records(warc.look_up(index, warc.keys_of(pages)))
+    return found.select(
+        warc.page_of("id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        warc.page_of("refers_to").alias("refers_to"),
+    )
+
+
 def op2_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets have a Jaccard similarity of 0.8 or more."""
     groups = similar.similar_groups(_documents(spark, sf_dir))
@@ -121,6 +137,7 @@ def op9_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_capture_index": op1_capture_index,
     "op2_parity_sketch_join": op2_parity_sketch_join,
     "op3_deobfuscated_pii": op3_deobfuscated_pii,
     "op4_perfect_hash_dedup": op4_perfect_hash_dedup,

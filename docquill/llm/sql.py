@@ -1,5 +1,19 @@
 """DuckDB SQL of the corpus queries that SQL can express; every constant is written out here."""
 
+OP1 = r"""
+with payloads as (
+  select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as payload_digest,
+    strlen(coalesce(html, '')) as payload_bytes
+  from pages
+), groups as (
+  select *, max(page_id) over (partition by payload) as top from payloads
+)
+select page_id, payload_bytes, payload_digest,
+  case when payload_bytes >= 1000 and page_id <> top then 'revisit' else 'response' end as record_type,
+  case when payload_bytes >= 1000 and page_id <> top then top end as refers_to
+from groups
+"""
+
 OP2 = r"""
 with recursive words as (
   select doc_id, regexp_extract_all(
@@ -72,4 +86,4 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, c
 from words left join covered using (doc_id) left join named using (doc_id)
 """
 
-SQL = {"op2_parity_sketch_join": OP2, "op4_perfect_hash_dedup": OP4, "op9_fm_decontamination": OP9}
+SQL = {"op1_capture_index": OP1, "op2_parity_sketch_join": OP2, "op4_perfect_hash_dedup": OP4, "op9_fm_decontamination": OP9}
