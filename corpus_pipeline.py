@@ -1,4 +1,8 @@
-"""From raw documents to token ids, stage by stage."""
+"""From raw documents to token ids, stage by stage.
+
+Every stage but the last returns the columns of its input, whatever further ones it has, and any rows that it keeps
+unchanged. Null and empty texts have no language and go in the first stage; what the operators say on other odd cases holds.
+"""
 
 from __future__ import annotations
 
@@ -6,22 +10,59 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docquill.llm import bpe
+from docquill.llm import bpe, decontamination, exact, language, similar
+from docquill.llm.common import held_out
 from docquill.session import work_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _whole(docs: DataFrame) -> DataFrame:
+    """Rows as one column beside the text, so that no column of theirs clashes with an operator's."""
+    return docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").alias("_read"))
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language of the collection; those too far from all of them go."""
+    model = language.fit(docs.where(~held_out()))
+    return language.identify(_whole(docs), model, text="_read", keep=["_row"]).where("not rejected").select("_row.*")
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts: the longest, then that with the smallest id."""
+    return exact.keep_first(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that similarity links: that with the smallest id."""
+    return similar.keep_one(docs)
+
+
+def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of the benchmark."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontamination.find_overlaps(_whole(docs), benchmark, text="_read", keep=["_row"])
+    return found.where(F.size("spans") == 0).select("_row.*")
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every text, and what they decode to as text."""
+    """Ids of every text, and the text that they decode to."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = bpe.encode(docs, path, public_tokenizers.PATTERN, keep=["doc_id", "lang", "source"])
-    back = bpe.decode(coded, path, keep=["doc_id", "lang", "source", "ids"])
-    return back.select("doc_id", "lang", "source", "ids", bpe.decode_text("decoded").alias("text"))
+    own = ["doc_id", "lang", "source"]
+    coded = bpe.encode(docs.select(*own, "text"), path, public_tokenizers.PATTERN, keep=own)
+    back = bpe.decode(coded, path, keep=[*own, "ids"])
+    return back.select(*own, F.size("ids").cast("long").alias("n_tokens"), "ids", bpe.decode_text("decoded").alias("text"))
 
 
-STAGES: list[tuple[str, Stage]] = [("byte_bpe", tokens)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language", known_language),
+    ("exact_copies", exact_copies),
+    ("near_copies", near_copies),
+    ("decontamination", clean_of_benchmark),
+    ("byte_bpe", tokens),
+]
 
 #: The stages learn models and search whole texts, which SQL can't express.
 ORACLE_SQL = None

@@ -89,7 +89,7 @@ def most_different(n: int, hi: int) -> int:
 
 def words_of(tokens: np.ndarray, hi: int) -> np.ndarray:
     """Words of the sketch's segments that are not empty; tokens are sorted."""
-    salt = np.uint64(hi) * _MULTIPLY[1]
+    salt = np.uint64(hi * int(_MULTIPLY[1]) % 2**64)
     bits = mixed(tokens ^ salt)
     if hi <= SINGLE:
         return bits
@@ -101,7 +101,7 @@ def words_of(tokens: np.ndarray, hi: int) -> np.ndarray:
     return mixed(words[set_] + place[first][set_] * _MULTIPLY[2])
 
 
-_SKETCHES = "kind string, id long, n int, cid long, unit long, most int, rest int, bucket long, words binary, units binary, heavy binary, counts binary"
+_SKETCHES = "kind string, id long, mark long, n int, cid long, unit long, most int, rest int, bucket long, words binary, units binary, heavy binary, counts binary"
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -111,10 +111,10 @@ def _signed(x: np.ndarray) -> np.ndarray:
 def sketch(docs: DataFrame, text: str, key: str) -> DataFrame:
     """All that is needed of the documents, in rows of four kinds, written once.
 
-    doc: id, n, cid. unit (a class in a band): unit, cid, n, most, rest (words less most). bucket: words and units
+    doc: id, mark (of its text), n, cid. unit (a class in a band): unit, cid, n, most, rest (words less most). bucket: words and units
     in step, and heavy words with counts. heavy: a word (bucket, n) and a unit that has it.
     """
-    rows = docs.select(F.col(key).cast("long").alias("id"), text_of(text).cast("binary").alias("_text"))
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(text_of(text)).alias("mark"), text_of(text).cast("binary").alias("_text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
     # A document has about a word for every 12 bytes of its text.
     buckets = max(1, size // (12 * BUCKET))
@@ -128,7 +128,7 @@ def sketch(docs: DataFrame, text: str, key: str) -> DataFrame:
 
 
 _ARROW = pa.schema(
-    [("kind", pa.string()), ("id", pa.int64()), ("n", pa.int32()), ("cid", pa.int64()), ("unit", pa.int64()), ("most", pa.int32()), ("rest", pa.int32()), ("bucket", pa.int64())]
+    [("kind", pa.string()), ("id", pa.int64()), ("mark", pa.int64()), ("n", pa.int32()), ("cid", pa.int64()), ("unit", pa.int64()), ("most", pa.int32()), ("rest", pa.int32()), ("bucket", pa.int64())]
     + [(c, pa.binary()) for c in ("words", "units", "heavy", "counts")]
 )
 
@@ -143,7 +143,7 @@ def _sketched(batch: pa.RecordBatch, seen: _Hashes, buckets: int) -> Iterator[pa
     sets = [shingles(t, seen) for t in batch.column("_text").to_pylist()]
     n = np.array([len(s) for s in sets], np.int32)
     cid = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64)
-    yield _rows("doc", len(sets), id=batch.column("id"), n=n, cid=_signed(cid))
+    yield _rows("doc", len(sets), id=batch.column("id"), mark=batch.column("mark"), n=n, cid=_signed(cid))
     first = np.unique(cid, return_index=True)[1]
     chosen = [(i, hi) for i in first.tolist() if n[i] for hi in bands(int(n[i]))]
     if not chosen:
@@ -265,9 +265,9 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Per document: id, n_shingles, cid (of its set), component_id (smallest id of its component)."""
+    """Per document: id, mark (hash of its text), n_shingles, cid (of its set), root (least cid of its component), component_id (its smallest id)."""
     sketches = sketch(docs, text, key)
-    members = sketches.where("kind = 'doc'").select("id", "n", "cid")
+    members = sketches.where("kind = 'doc'").select("id", "mark", "n", "cid")
     words = prefixes(sketches)
     leaders = words.groupBy("word").agg(F.min(F.struct("n", "cid")).alias("a"), F.count("*").alias("m")).where("m > 1").select("word", "a")
     near = lambda less, more: 5 * F.col(less) >= 4 * F.col(more)
@@ -297,7 +297,31 @@ def _named(members: DataFrame, roots: DataFrame) -> DataFrame:
     classes = members.where("n > 0").groupBy("cid").agg(F.min("id").alias("id"))
     classes = classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     names = classes.groupBy("root").agg(F.min("id").alias("component_id"))
-    names = settled(classes.join(names, "root").select("cid", "component_id"), "names")
+    names = settled(classes.join(names, "root").select("cid", "root", "component_id"), "names")
     out = members.join(names, "cid", "left")
     own = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id"))
-    return out.select("id", F.col("n").cast("long").alias("n_shingles"), "cid", own.alias("component_id"))
+    return out.select("id", "mark", F.col("n").cast("long").alias("n_shingles"), "cid", "root", own.alias("component_id"))
+
+
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The documents without all but one of each component, all columns; the smallest id stays, ids before null.
+
+    Documents without a set stay. Of rows that share an id and text, one stays.
+    """
+    own = ["_id", "_mark"]
+    members = settled(similar_groups(docs, text, key).where("n_shingles > 0").select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), "root"), "members")
+    place = F.struct(F.col("_id").isNull().alias("none"), "_id", "_mark")
+    best = members.groupBy("root").agg(F.min(place).alias("best"), F.count("*").alias("m")).where("m > 1").select("root", "best")
+    best = settled(best, "best")
+    crowd = members.join(small(best), "root").withColumn("stays", place == F.col("best"))
+    keys = settled(crowd.groupBy(*own).agg(F.max("stays").alias("stays"), F.count("*").alias("n")).where("not stays or n > 1"), "dropped")
+    tagged = docs.withColumns({"_id": F.col(key).cast("long"), "_mark": F.xxhash64(text_of(text))})
+
+    def joined(rows: DataFrame, how: str) -> DataFrame:
+        return tagged.alias("l").join(small(rows).alias("r"), [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in own], how)
+
+    rest = joined(keys, "left_anti").select(docs.columns)
+    again = keys.where("stays")
+    if again.isEmpty():
+        return rest
+    return rest.unionByName(joined(again, "left_semi").dropDuplicates(own).select(docs.columns))

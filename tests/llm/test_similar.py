@@ -88,3 +88,14 @@ def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, j) for j in range(101, 140)] + [(139, 200), (7, 7), (300, 301), (301, 300)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 140), 100), 200: 100, 300: 300, 301: 300}
+
+
+def test_one_of_each_group_stays(spark):
+    long = " ".join(f"w{i}" for i in range(100))
+    rows = [(5, long), (3, long + " x"), (3, long + " x"), (9, "other words that are all alone here"), (1, None), (2, ""), (None, long), (4, "One two"), (6, "one two")]
+    df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, n int")
+    kept = similar.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, None), (2, ""), (3, long + " x"), (4, "One two"), (9, "other words that are all alone here")]
+    nameless = spark.createDataFrame([(None, long), (None, long + " x"), (None, "a b")], "doc_id long, text string")
+    assert similar.keep_one(nameless).count() == 2
