@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import SPACE, contains_any, is_blank, let, strip
+from .text import SPACE, is_blank, let, strip
 
 # The pattern groups, in priority order.
 REFUSAL_PATTERNS: dict[str, list[str]] = {
@@ -42,15 +42,7 @@ REFUSAL_PATTERNS: dict[str, list[str]] = {
         r"(?:i\s+)?(?:cannot|can't)\s+(?:browse|fetch|query)\s+(?:external|live)",
     ],
 }
-# Every match of a group holds one of these words, so most texts need no search for it.
-HINTS: dict[str, list[str]] = {
-    "insufficient_context": ["information", "evidence", "context", "document", "data"],
-    "ambiguous_question": ["question", "clarif", "rephrase", "specific", "details", "mean", "asking"],
-    "out_of_scope": ["scope", "expertise", "knowledge", "help", "assist", "designed", "trained", "gdpr", "data", "domain"],
-    "capability_limitation": [
-        "access", "retrieve", "search", "permission", "ability", "data", "browse", "fetch", "query",
-    ],
-}
+# Short answers without content.
 VAGUE_PATTERNS: list[str] = [
     r"^(?:yes|no|maybe|unclear|unknown)\.?$",
     r"^(?:i\s+)?(?:don't|do\s+not)\s+know\.?$",
@@ -78,14 +70,10 @@ def classify(text: Column, min_length: int = MIN_ANSWER_LENGTH) -> Column:
             reason.cast("string").alias("classification_reason"),
         )
 
-    def hit(name: str, plain: Column) -> Column:
+    def hit(name: str) -> Column:
         """(name, match) or NULL; no pattern can match the empty string."""
         found = F.regexp_extract(text, _regex(REFUSAL_PATTERNS[name]), 0)
-        pair = let(found, lambda m: F.when(m != "", F.struct(F.lit(name).alias("name"), m.alias("match"))))
-        return F.when(contains_any(plain, HINTS[name]), pair)
-
-    def first_hit(plain: Column) -> Column:
-        return F.coalesce(*[hit(name, plain) for name in REFUSAL_PATTERNS])
+        return let(found, lambda m: F.when(m != "", F.struct(F.lit(name).alias("name"), m.alias("match"))))
 
     none = F.lit(None)
 
@@ -102,9 +90,8 @@ def classify(text: Column, min_length: int = MIN_ANSWER_LENGTH) -> Column:
             .otherwise(result("answer", none, none))
         )
 
-    # The long s is the one letter that matches another only beside its lower case.
-    plain = F.translate(F.lower(text), "\u017f", "s")
-    checked = let(strip(text), lambda clean: let(let(plain, first_hit), lambda h: judged(clean, h)))
+    first = F.coalesce(*[hit(name) for name in REFUSAL_PATTERNS])
+    checked = let(strip(text), lambda clean: let(first, lambda h: judged(clean, h)))
     blank = result("empty", none, F.lit("Response is empty or whitespace"))
     return F.when(is_blank(text), blank).otherwise(checked)
 

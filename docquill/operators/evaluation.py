@@ -284,6 +284,7 @@ FIRST_FINES_CONCEPT = "largest GDPR fines"
 MULTI_SUFFIX = " compliance alignment"
 
 
+# The concepts used where a source has none.
 DEFAULT_CONCEPTS = {
     "legislation": ["General Modalities Context", "Right of access"],
     "fines": ["Facebook", "Google"],
@@ -316,7 +317,7 @@ def build_cases(
 ) -> DataFrame:
     """Cases by a mix of categories, going round the concepts of each.
 
-    `mix` rows have count, cat, ctx, src (list) and type; `concepts` maps the
+    `mix` rows have category, number, about, sources (list) and kind; `concepts` maps the
     first source of a category to a DataFrame with a concept column. A written
     question (concept, question) that quotes its concept is replaced by the
     fallback. Only the first `count` concepts by name are ever needed. A source
@@ -326,7 +327,7 @@ def build_cases(
     parts = []
     first_id = 1
     for entry in mix:
-        kind, count, main = entry["cat"], int(entry["count"]), entry["src"][-1]
+        category, count, main = entry["category"], int(entry["number"]), entry["sources"][-1]
         known = concepts[main].select("concept").distinct()
         if defaults.get(main):
             spare = spark.createDataFrame([(c,) for c in defaults[main]], "concept string")
@@ -338,17 +339,17 @@ def build_cases(
         slots = spark.range(count).select(F.col("id").alias("idx"), (F.col("id") + first_id).alias("number"))
         rows = slots.withColumn("no", F.pmod("idx", F.greatest(total, F.lit(1)))).join(F.broadcast(numbered), "no")
         concept = F.col("concept")
-        if main == "fines" and len(entry["src"]) == 1:
+        if main == "fines" and len(entry["sources"]) == 1:
             concept = F.when(F.col("idx") == 0, FIRST_FINES_CONCEPT).otherwise(concept)
-        if len(entry["src"]) > 1:
+        if len(entry["sources"]) > 1:
             concept = F.concat(concept, F.lit(MULTI_SUFFIX))
         parts.append(
             rows.select(
                 "number",
-                F.lit(kind).alias("category"),
-                F.lit(entry["ctx"]).alias("context"),
-                F.lit(entry["type"]).alias("kind"),
-                F.array(*[F.lit(s) for s in entry["src"]]).alias("expected_sources"),
+                F.lit(category).alias("category"),
+                F.lit(entry["about"]).alias("context"),
+                F.lit(entry["kind"]).alias("kind"),
+                F.array(*[F.lit(s) for s in entry["sources"]]).alias("expected_sources"),
                 concept.alias("concept"),
             )
         )
@@ -363,7 +364,7 @@ def build_cases(
     leaks = F.contains(F.lower("_written"), F.lower("concept"))
     fallback = fallback_question(F.col("concept"), F.col("context"), F.col("kind"))
     return out.select(
-        F.concat(F.lit(prefix), F.lpad(F.col("number").cast("string"), digits, "0")).alias("id"),
+        F.format_string(f"{prefix.replace('%', '%%')}%0{digits}d", "number").alias("id"),
         F.when(F.col("_written").isNull() | leaks, fallback).otherwise(F.col("_written")).alias("question"),
         "category",
         "concept",

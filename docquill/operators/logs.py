@@ -29,8 +29,6 @@ LOG_SCHEMA = T.StructType(
     ]
 )
 
-MAX_ERROR_CHARS = 500
-
 
 def since(as_of: dt.date | None, days: int) -> Column:
     """First date of a look-back of `days`; the as-of day itself comes on top."""
@@ -71,13 +69,21 @@ def normalise_requests(df: DataFrame, question: str = "question", error: str = "
     return df.withColumns(new)
 
 
-def build_log_rows(requests: DataFrame, min_length: int = MIN_ANSWER_LENGTH) -> DataFrame:
-    """Requests to log rows. Only non-empty answers of successful requests get a class."""
+def build_log_rows(
+    requests: DataFrame, min_length: int = MIN_ANSWER_LENGTH, max_error: int | None = None
+) -> DataFrame:
+    """Requests to log rows. Only non-empty answers of successful requests get a class.
+
+    max_error cuts messages to so many characters.
+    """
     cols = requests.columns
 
     def opt(name: str, kind: str) -> Column:
         return F.col(name) if name in cols else F.lit(None).cast(kind)
 
+    message = opt("error_message", "string")
+    if max_error is not None:
+        message = F.substring(message, 1, max_error)
     base = requests.select(
         (F.col("timestamp") if "timestamp" in cols else F.current_timestamp()).alias("timestamp"),
         F.col("request_id").cast("string").alias("request_id"),
@@ -86,7 +92,7 @@ def build_log_rows(requests: DataFrame, min_length: int = MIN_ANSWER_LENGTH) ->
         opt("context", "string").alias("context"),
         F.coalesce(opt("latency_ms", "double"), F.lit(0.0)).alias("latency_ms"),
         F.col("status"),
-        F.substring(opt("error_message", "string"), 1, MAX_ERROR_CHARS).alias("error_message"),
+        message.alias("error_message"),
     ).withColumn("date", F.to_date("timestamp"))
     scored = classify_response(
         base, "answer", min_length, only=(F.col("answer") != "") & (F.col("status") == "success")

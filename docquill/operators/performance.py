@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import ratio
+from ..session import shared_dir
 from .logs import lookback
 
 
@@ -57,45 +58,32 @@ def performance_summary(log: DataFrame, days: int = 7, as_of: dt.date | None = N
     ).filter("days_monitored > 0")
 
 
-CELLS = 65536
-FEW_VALUES = 1_000_000
+def exact_median(df: DataFrame, value: str) -> DataFrame:
+    """One row (median, n_values): the exact median of a double column; NaN ranks highest.
 
-
-def exact_median(df: DataFrame, value: str, few: int = FEW_VALUES) -> DataFrame:
-    """One row (median, n_values): the exact median of a double column.
-
-    While many values are left, they are counted in 65,536 cells of their range
-    and only the cells of the two middle ranks are kept. Each round is two
-    scans with map-side counts; the values themselves are never shuffled or
-    sorted before few are left. Every round takes one row to the driver.
+    Equal values are counted first, so a value that dominates is one row. The counts are dealt out by
+    ranges of values and written; one row per range tells in which ranges the two middle ranks lie, and only
+    those are ranked, each in a task of its own.
     """
     v = F.col("v")
     values = df.select(F.col(value).cast("double").alias("v")).filter(v.isNotNull())
-    # The log scale keeps one huge value from pushing all others into one cell.
-    scales = [F.signum(v) * F.log1p(F.abs(v)), v, v]
-    low = high = skipped = 0
-    for number, key in enumerate(scales):
-        span = values.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(v).alias("n")).first()
-        if number == 0:
-            low, high, total = max(span.n - 1, 0) // 2, span.n // 2, span.n
-        if span.n <= few or span.lo == span.hi:
-            break
-        cell = F.least(F.floor((key - span.lo) / (span.hi - span.lo) * CELLS), F.lit(CELLS - 1))
-        upto = F.sum("n").over(Window.orderBy("cell")) + skipped
-        counts = values.groupBy(cell.alias("cell")).agg(F.count(v).alias("n")).withColumn("upto", upto)
-        middle = (
-            counts.filter((F.col("upto") > low) & (F.col("upto") - F.col("n") <= high))
-            .agg(F.min("cell").alias("first_cell"), F.max("cell").alias("last_cell"), F.min(F.col("upto") - F.col("n")).alias("skip"))
-            .first()
-        )
-        values, skipped = values.filter(cell.between(middle.first_cell, middle.last_cell)), middle.skip
     counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    ranked = counts.withColumn("upto", F.sum("n").over(Window.orderBy("v")) + skipped)
-
-    def at(rank: int) -> Column:
+    shared_dir(df.sparkSession)
+    ranges = counts.repartitionByRange("v").withColumn("part", F.spark_partition_id()).checkpoint()
+    # One row per range.
+    parts = ranges.groupBy("part").agg(F.sum("n").alias("size"), F.min("v").alias("least"))
+    parts = parts.withColumn("before", F.sum("size").over(Window.orderBy("least")) - F.col("size"))
+    total = parts.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("total"))
+    low, high = F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)
+    middle = parts.crossJoin(F.broadcast(total)).filter((F.col("before") <= high) & (F.col("before") + F.col("size") > low))
+    upto = F.sum("n").over(Window.partitionBy("part").orderBy("v")) + F.col("before")
+    ranked = ranges.join(F.broadcast(middle), "part").withColumn("upto", upto)
+
+    def at(rank: Column) -> Column:
         return F.max(F.when((F.col("upto") - F.col("n") <= rank) & (F.col("upto") > rank), v))
 
-    return ranked.agg(((at(low) + at(high)) / 2).alias("median"), F.lit(total).cast("long").alias("n_values"))
+    found = ranked.agg(((at(low) + at(high)) / 2).alias("median"))
+    return found.crossJoin(F.broadcast(total)).select("median", F.col("total").alias("n_values"))
 
 
 def summary_stats(df: DataFrame, value: str) -> DataFrame:

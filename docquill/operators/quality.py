@@ -10,25 +10,40 @@ from pyspark.sql import functions as F
 from .logs import lookback, since
 
 SCORES = ["relevance", "accuracy", "completeness", "citation", "clarity", "overall"]
-# The sampled share and its cap.
+# Fixed value: the sampled share.
 SAMPLE_SHARE = 0.1
-SAMPLE_CAP = 20
+#: Hex digits of the hash that make a cell; 65,536 cells are counted, whatever the log's size.
+CELL_DIGITS = 4
 
 
 def quality_sample(
-    log: DataFrame, days: int = 7, cap: int = SAMPLE_CAP, seed: int = 0, as_of: dt.date | None = None
+    log: DataFrame,
+    days: int = 7,
+    share: float = SAMPLE_SHARE,
+    cap: int | None = None,
+    seed: int = 0,
+    as_of: dt.date | None = None,
 ) -> DataFrame:
-    """A tenth of the valid answers, at least one, at most `cap`, in hash order."""
+    """A share of the valid answers, at least one and at most `cap` if that is given, first in hash order.
+
+    Answers are counted by the first digits of their hash. Whole cells are taken without sorting; only the rows of the
+    cell where the sample ends are put in order.
+    """
     valid = lookback(log, days, as_of).filter("status = 'success' AND is_valid_answer")
-    total = valid.agg(F.count(F.lit(1))).scalar()
-    size = F.greatest(F.least(F.floor(total * SAMPLE_SHARE), F.lit(cap)), F.lit(1))
     place = F.md5(F.concat(F.col("request_id"), F.lit(f":{seed}")))
-    # Only `cap` rows are left when they are numbered.
-    first = valid.withColumn("_place", place).orderBy("_place", "request_id").limit(cap)
-    numbered = first.withColumn("_no", F.row_number().over(Window.orderBy("_place", "request_id")))
-    return numbered.filter(F.col("_no") <= size).select(
-        "date", "request_id", "timestamp", "question", "answer", "context"
-    )
+    rows = valid.withColumn("_place", place).withColumn("_cell", F.substring("_place", 1, CELL_DIGITS))
+    counts = rows.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
+    upto = counts.withColumn("_upto", F.sum("_n").over(Window.orderBy("_cell")))
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    size = max(1, int(total * share))
+    size = size if cap is None else min(size, cap)
+    last = upto.filter(F.col("_upto") >= min(size, total)).orderBy("_cell").first()
+    names = ["date", "request_id", "timestamp", "question", "answer", "context"]
+    if last is None:
+        return rows.select(*names).limit(0)
+    whole = rows.filter(F.col("_cell") < last["_cell"])
+    rest = rows.filter(F.col("_cell") == last["_cell"]).orderBy("_place", "request_id")
+    return whole.select(*names).unionByName(rest.limit(size - (last["_upto"] - last["_n"])).select(*names))
 
 
 def validate_scores(df: DataFrame, reply: str = "reply") -> DataFrame:

@@ -205,7 +205,8 @@ def hybrid_topk(
     carry: list[str] | None = None,
     size: Size | None = None,
 ) -> DataFrame:
-    """Dense and lexical rankings of `depth` rows each, fused."""
+    """Dense and lexical rankings of `depth` rows each, or of k if that is more, fused."""
+    depth = max(depth, k)
     size = size or measure(queries, F.size(vector) * 8 + F.octet_length(qtext))
     dense = dense_topk(queries, corpus, depth, qid, cid, vector, size=size)
     lexical = bm25_topk(queries, corpus, depth, qid, cid, qtext, ctext, size=size)

@@ -160,7 +160,7 @@ _prompt = JUDGE_TEMPLATE
 for _name, _value in {
     "question": "question",
     "answer": "coalesce(answer, '')",
-    "context": "CASE WHEN coalesce(context, '') = '' THEN 'Not provided' ELSE substr(context, 1, 500) END",
+    "context": "CASE WHEN coalesce(context, '') = '' THEN 'Not provided' ELSE context END",
 }.items():
     _prompt = _prompt.replace("{" + _name + "}", f"\x00{_value}\x00")
 PROMPT = " || ".join(

@@ -26,7 +26,7 @@ def results(name: str, ahead: int) -> str:
     return f"""{name}_r AS (
   SELECT 'case_' || d.doc_id AS id, n.text AS answer,
     CASE WHEN d.lang IN ('en', 'de') THEN d.source || ' ' || d.lang ELSE d.lang END AS context
-  FROM documents d JOIN labels l ON d.doc_id = l.doc_id JOIN documents n ON n.doc_id = d.doc_id + {ahead}),
+  FROM documents d JOIN documents n ON n.doc_id = d.doc_id + {ahead} WHERE d.doc_id % 50 <> 7),
 {name}_j AS (
   SELECT c.*, lower(coalesce(context, '')) AS ctx,
     lower(coalesce(answer, '') || ' ' || coalesce(context, '')) AS txt, list_concat(articles, included) AS items
@@ -129,10 +129,10 @@ polc AS (SELECT DISTINCT section_title AS concept FROM ({POLICIES})),
 finc AS ({_mention}),
 mix AS (
   SELECT * FROM (VALUES
-    (0, 8, 0, 'single_source_legislation', 'GDPR legislation', 'legislation', 'single'),
-    (1, 8, 8, 'single_source_fines', 'GDPR enforcement cases', 'fines', 'single'),
-    (2, 8, 16, 'single_source_policy', 'internal corporate policy', 'policy', 'single'),
-    (3, 6, 24, 'multi_source_fines_legislation', 'legislation and fines', 'fines,legislation', 'multi'))
+    (0, 700, 0, 'statute', 'the statutes', 'legislation', 'single'),
+    (1, 40, 700, 'decision', 'the regulators'' decisions', 'fines', 'single'),
+    (2, 300, 740, 'handbook', 'our handbook', 'policy', 'single'),
+    (3, 160, 1040, 'decision_by_statute', 'statutes and decisions', 'fines,legislation', 'multi'))
   AS t(m, n, before, category, ctx, src, kind)),
 slots AS (SELECT *, unnest(range(0, n)) AS idx FROM mix),
 allc AS (
@@ -263,7 +263,7 @@ SQL: dict[str, str] = {
     "profile_concepts": f"SELECT DISTINCT article_title AS concept FROM ({ARTICLES})",
     "profile_mentions": _mention,
     "build_cases": f"""WITH {CONCEPTS}
-  SELECT 'case_' || lpad(CAST(number AS VARCHAR), 3, '0') AS id, category, concept,
+  SELECT 'case_' || printf('%03d', number) AS id, category, concept,
     CASE WHEN number % 2 = 0 THEN 'medium' ELSE 'easy' END AS difficulty, src AS expected_sources,
     CASE WHEN kind <> 'single' THEN {sql_str(FALLBACK_MULTI)}
          WHEN contains(concept, 'Article') OR contains(concept, 'Context')
@@ -274,7 +274,7 @@ SQL: dict[str, str] = {
     "quality_sample": with_log(
         f"""SELECT date, request_id, "timestamp", question, answer, context FROM log
   WHERE status = 'success' AND is_valid_answer AND {since(7)} ORDER BY md5(request_id || ':0'), request_id
-  LIMIT (SELECT greatest(least(CAST(floor(count(*) * 0.1) AS BIGINT), 20), 1) FROM log
+  LIMIT (SELECT greatest(CAST(floor(count(*) * 0.1) AS BIGINT), 1) FROM log
          WHERE status = 'success' AND is_valid_answer AND {since(7)})"""
     ),
     "validate_scores": f"WITH {REPLIES} SELECT * FROM judged",

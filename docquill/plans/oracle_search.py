@@ -19,7 +19,7 @@ q AS (SELECT label AS query_id, list(x ORDER BY pos) AS v FROM means GROUP BY la
 PASSAGES = """p AS (
   SELECT d.doc_id AS chunk_id, d.lang AS label, d.text, CAST(e.embedding AS DOUBLE[]) AS v,
     CASE e.label % 3 WHEN 0 THEN 'policy' WHEN 1 THEN 'legislation' ELSE 'fines' END AS source
-  FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id)"""
+  FROM documents d JOIN embeddings e ON d.doc_id % (SELECT count(*) FROM embeddings) = e.vec_id)"""
 
 
 def toks(x: str) -> str:

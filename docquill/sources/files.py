@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,28 +34,6 @@ def scan_files(
     return reader.load(path)
 
 
-SMALL_TABLE_BYTES = 64 << 20
-
-
-@cache
-def _table_bytes(spark: SparkSession, path: str) -> int:
-    sizes = spark.read.format("binaryFile").load(path).select("length")
-    return sizes.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-
-
-def scan_spread(spark: SparkSession, path: str, limit: int = SMALL_TABLE_BYTES) -> DataFrame:
-    """A Parquet table; one of at most `limit` bytes has its rows spread over all cores.
-
-    A small file is one row group, so one task, however many cores wait for
-    the work on its rows. Larger tables have splits of their own and are read
-    as they are: nothing large is ever shuffled here.
-    """
-    df = spark.read.parquet(path)
-    if _table_bytes(spark, path) > limit:
-        return df
-    return df.repartition(spark.sparkContext.defaultParallelism)
-
-
 def scan_golden_set(
     spark: SparkSession, path: str, limit: int | None = None, multi_line: bool = True
 ) -> DataFrame:

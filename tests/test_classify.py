@@ -41,27 +41,30 @@ def test_same_as_python(spark):
         assert got[i] == expected(text), text
 
 
-def test_hints_are_in_every_match():
-    """Each way to write out a pattern holds a hint of its group."""
-    from docquill.functions.classify import HINTS
-
-    def spell(pattern):
-        pattern = re.sub(r"\\s\+", " ", pattern)
-        pattern = re.sub(r"\(\?:((?:(?!\(\?:)[^()])*)\)\?", "", pattern).replace(",?", "")
-        group = re.search(r"\(\?:([^()]*)\)", pattern)
-        if not group:
-            return [pattern]
-        return [
-            full
-            for choice in group[1].split("|")
-            for full in spell(pattern[: group.start()] + choice + pattern[group.end() :])
-        ]
-
-    for name, patterns in REFUSAL_PATTERNS.items():
+def spell(pattern):
+    """Ways to write out a pattern."""
+    pattern = re.sub(r"\\s\+", " ", pattern)
+    pattern = re.sub(r"\(\?:((?:(?!\(\?:)[^()])*)\)\?", "", pattern).replace(",?", "")
+    group = re.search(r"\(\?:([^()]*)\)", pattern)
+    if not group:
+        return [pattern]
+    return [
+        full
+        for choice in group[1].split("|")
+        for full in spell(pattern[: group.start()] + choice + pattern[group.end() :])
+    ]
+
+
+def test_case_variants_of_every_pattern(spark):
+    """Dotted and dotless i and the long s match in any case, as in Python."""
+    texts = ["INSUFFİCİENT INFORMATİON was given", "there was insufficient ınformatıon", "please clarıfy what", "I am only desıgned for that"]
+    for patterns in REFUSAL_PATTERNS.values():
         for pattern in patterns:
-            for text in spell(pattern):
-                assert re.fullmatch(pattern, text, re.IGNORECASE), (pattern, text)
-                assert any(h in text.lower() for h in HINTS[name]), (name, text)
+            for text in spell(pattern)[:3]:
+                texts += [text, text.upper(), text.replace("i", "İ"), text.replace("i", "ı"), text.replace("s", "ſ")]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, answer string")
+    got = {r.i: tuple(r)[2:] for r in classify_response(rows).collect()}
+    assert [got[i] for i in range(len(texts))] == [expected(t) for t in texts]
 
 
 def test_flags(spark):
@@ -91,7 +94,9 @@ def test_log_rows(spark):
     got = {r.request_id: r for r in logs.build_log_rows(rows).collect()}
     assert [got[i].response_classification for i in "12345"] == [None, "empty", None, "answer", None]
     assert [got[i].is_valid_answer for i in "12345"] == [False, False, False, True, False]
-    assert len(got["3"].error_message) == 500
+    assert len(got["3"].error_message) == 700
+    cut = logs.build_log_rows(rows, max_error=500).filter("request_id = '3'").first()
+    assert len(cut.error_message) == 500
     assert got["2"].latency_ms == 0.0
     assert str(got["1"].date) == "2024-01-30"
     assert logs.build_log_rows(rows).columns == logs.LOG_SCHEMA.names

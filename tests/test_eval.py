@@ -104,12 +104,19 @@ def test_validate(spark):
 
 
 MIX = [
-    {"count": 3, "cat": "law", "ctx": "GDPR legislation", "src": ["legislation"], "type": "single"},
-    {"count": 2, "cat": "fines", "ctx": "GDPR enforcement cases", "src": ["fines"], "type": "single"},
-    {"count": 1, "cat": "both", "ctx": "x", "src": ["fines", "legislation"], "type": "multi"},
+    {"category": "law", "number": 3, "about": "statutes", "sources": ["legislation"], "kind": "single"},
+    {"category": "cases", "number": 2, "about": "decisions", "sources": ["fines"], "kind": "single"},
+    {"category": "both", "number": 1, "about": "x", "sources": ["fines", "legislation"], "kind": "multi"},
 ]
 
 
+def test_many_cases_have_ids_of_their_own(spark):
+    tables = {"legislation": spark.createDataFrame([("A",)], "concept string")}
+    mix = [{"category": "law", "number": 1200, "about": "x", "sources": ["legislation"], "kind": "single"}]
+    ids = {r.id for r in ev.build_cases(mix, tables).collect()}
+    assert len(ids) == 1200 and {"case_001", "case_100", "case_1000"} <= ids
+
+
 def test_build_cases(spark):
     def concepts(*names):
         return spark.createDataFrame([(n,) for n in names], "concept string")

@@ -1,3 +1,4 @@
+import math
 import datetime as dt
 import statistics
 
@@ -119,12 +120,18 @@ def test_keywords_drop_words_with_punctuation(spark):
     assert got == {"records": (3, 2)}
 
 
-@pytest.mark.parametrize("values", [[1.0], [3.0, 1.0], [5.0, 1.0, 3.0], [1e300, -1e300, 0.0, 7.0, 7.0], list(range(1000)), [2.5] * 9 + [1e9]])
+@pytest.mark.parametrize("values", [[1.0], [3.0, 1.0], [5.0, 1.0, 3.0], [1e300, -1e300, 0.0, 7.0, 7.0], list(range(1000)), [2.5] * 9 + [1e9], [math.inf, -math.inf, 1.0]])
 def test_exact_median(spark, values):
     rows = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double")
-    for few in (0, 2, 1_000_000):
-        row = performance.exact_median(rows, "x", few).first()
-        assert row.median == pytest.approx(statistics.median(values)) and row.n_values == len(values)
+    row = performance.exact_median(rows, "x").first()
+    assert row.median == pytest.approx(statistics.median(values)) and row.n_values == len(values)
+
+
+def test_median_with_nan_and_one_dominant_value(spark):
+    rows = spark.createDataFrame([(math.nan,)] * 3 + [(5.0,)] * 900 + [(float(i),) for i in range(800)], "x double")
+    row = performance.exact_median(rows, "x").first()
+    assert (row.median, row.n_values) == (5.0, 1703)
+    assert math.isnan(performance.exact_median(rows.limit(3), "x").first().median)
 
 
 def test_stats_of_nothing(spark):
