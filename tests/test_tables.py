@@ -54,6 +54,14 @@ def test_change_feed_of_nothing(spark):
     assert changes.change_feed(snapshot(spark, some), snapshot(spark, none), "k").first()._change_type == "delete"
 
 
+def test_a_value_that_moves_beside_a_null_is_a_change(spark):
+    old = spark.createDataFrame([(1, "h", "a", None)], "k int, record_hash string, x string, y string")
+    new = spark.createDataFrame([(1, "h", None, "a")], old.schema)
+    assert changes.change_feed(old, new, "k").count() == 2
+    assert tuple(changes.index_sync(old, new, "k", ["x", "y"]).first()) == (1, "h", None, "a")
+    assert not changes.index_status(old, new, "k").first().ready
+
+
 def test_big_change_is_not_broadcast(spark):
     from docquill.operators.sizes import settle
 
