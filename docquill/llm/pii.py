@@ -14,7 +14,8 @@ each piece where it came from:
    a leading plus; lone digit words stay.
 
 The base scanners run over the result, and one more for at/dot disguises of e-mail
-addresses. A bare "at" counts only if the domain has a disguised dot. What is found is
+addresses. A bare "at" counts only if the domain has a disguised dot,
+or if what stands before it has a digit or a mark inside, as names of accounts have. What is found is
 mapped back to source characters and added if no base span of its kind overlaps it.
 
 Cases: null and empty text have no spans; texts of any length are read whole; repeated rows
@@ -100,12 +101,19 @@ _D = "(?:" + "|".join(sorted(VALUE, key=len, reverse=True)) + ")"
 _GAP = r"[ ,-]{1,3}"
 _SPELLED = re.compile(rf"(?<!\w)(?:plus {{1,2}})?{_D}(?!\w)(?:{_GAP}(?:(?:{DOT_WORDS}){_GAP})?{_D}(?!\w))+", re.I)
 _SPELLED_PART = re.compile(rf"plus {{1,2}}|{_GAP}(?:{DOT_WORDS}){_GAP}|{_GAP}|{_D}", re.I)
-_MOSTLY_DIGITS = re.compile(r"(?<![0-9A-Za-z])[0-9OoIl|](?:[ -]?[0-9OoIl|]){12,18}(?![0-9A-Za-z])")
+# Shapes of a card, a phone number and an address whose digits may be letters; at least so many must be digits.
+_MOSTLY_DIGITS = (
+    (re.compile(r"(?<![0-9A-Za-z])[0-9OoIl|](?:[ -]?[0-9OoIl|]){12,18}(?![0-9A-Za-z])"), 9),
+    (re.compile(r"\+[0-9OoIl|][ ().0-9OoIl|-]{7,20}[0-9OoIl|](?![0-9A-Za-z])"), 6),
+    (re.compile(r"(?<![\w.])[0-9OoIl]{1,3}(?:\.[0-9OoIl]{1,3}){3}(?![\w.])"), 4),
+)
 _AT = re.compile(r"\s?[\[({<]\s?(?:at|arroba|@)\s?[\])}>]\s?|\s{1,2}(?:at|arroba)\s{1,2}|\s{0,2}@\s{0,2}", re.I)
 _DOT = rf"(?:\.|\s?[\[({{<]\s?(?:{DOT_WORDS}|\.)\s?[\])}}>]\s?|\s{{1,2}}(?:{DOT_WORDS})\s{{1,2}})"
 _HIDDEN_DOMAIN = re.compile(rf"[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+", re.I)
+_HIDDEN_IP = re.compile(rf"(?<![0-9.])[0-9]{{1,3}}(?:{_DOT}[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
+_MAY_HIDE_IP = re.compile(r"[0-9]\s?(?:[\[({<]\s?)?(?:\.|[dD][oO][tT]|[pP][uUoO][nNiI])")
 _DOTTED_BEFORE = re.compile(rf"[A-Za-z0-9_%+-]+(?:\s?[\[({{<]\s?(?:{DOT_WORDS})\s?[\])}}>]\s?|\s{{1,2}}(?:{DOT_WORDS})\s{{1,2}})\Z", re.I)
-_MAY_HIDE = re.compile(r"@|[\[({<]\s?(?:at|arroba)\s?[\])}>]|\s(?:at|arroba)\s[\s]?[A-Za-z0-9-]+[^A-Za-z0-9-]{1,4}(?:dot|punkt|point|punto)", re.I)
+_MAY_HIDE = re.compile(r"@|[\[({<]\s?(?:at|arroba)\s?[\])}>]|\s(?:at|arroba)\s[\s]?[A-Za-z0-9-]+(?:[^A-Za-z0-9-]{1,4}(?:dot|punkt|point|punto)|\.[A-Za-z0-9])", re.I)
 
 
 @cache
@@ -201,25 +209,34 @@ def _hidden_emails(text: str) -> Iterator[Span]:
         m = _HIDDEN_DOMAIN.match(text, at.end()) if start < at.start() else None
         while m and (more := _DOTTED_BEFORE.search(text, max(done, start - 80), start)):
             start = more.start()
-        if m and (at[0].strip().lower() not in ("at", "arroba") or re.search(r"[^A-Za-z0-9.-]", m[0])):
+        plain = at[0].strip().lower() in ("at", "arroba") and not re.search(r"[^A-Za-z0-9.-]", m[0] if m else "")
+        if m and (not plain or re.search(r"[0-9]|\w[._%+-]\w", text[start : at.start()])):
             yield "email", start, m.end()
             done = m.end()
 
 
+def _hidden_addresses(text: str) -> Iterator[Span]:
+    for m in _HIDDEN_IP.finditer(text):
+        if all(int(p) <= 255 for p in re.findall(r"[0-9]+", m[0])):
+            yield "ip", *m.span()
+
+
 def added_spans(text: str, base: list[Span]) -> list[Span]:
     """Spans found in the normalised text only."""
     norm = Normalised(text)
     norm.rewrite(_plain_edits(text))
-    edits = []
-    for run in _MOSTLY_DIGITS.finditer(norm.text):
-        odd = [i for i in range(*run.span()) if norm.text[i] in "OoIl|"]
-        if odd and sum(c.isdigit() for c in run[0]) >= 9:
-            edits += [(i, i + 1, "0" if norm.text[i] in "Oo" else "1") for i in odd]
-    norm.rewrite(edits)
+    odd: set[int] = set()
+    for shape, least in _MOSTLY_DIGITS:
+        for run in shape.finditer(norm.text):
+            if sum("0" <= c <= "9" for c in run[0]) >= least:
+                odd.update(i for i in range(*run.span()) if norm.text[i] in "OoIl|")
+    norm.rewrite([(i, i + 1, "0" if norm.text[i] in "Oo" else "1") for i in sorted(odd)])
     norm.rewrite(_spelled_edits(norm.text))
     found = base_spans(norm.text) if norm.steps else []
     if norm.steps or _MAY_HIDE.search(text):
         found += list(_hidden_emails(norm.text))
+    if _MAY_HIDE_IP.search(norm.text):
+        found += list(_hidden_addresses(norm.text))
     taken = {k: sorted((a, b) for kind, a, b in base if kind == k) for k in KINDS}
     out = []
     for kind, a, b in found:
