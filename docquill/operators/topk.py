@@ -23,6 +23,7 @@ MAX_BROADCAST_BYTES = 32 << 20
 QUERY_BLOCK = 2048
 CORPUS_BLOCK = 8192
 DECIMALS = 9
+MERGE_GROUPS = 64
 
 
 @dataclass(frozen=True)
@@ -126,21 +127,18 @@ def best_k(
     schema = f"{qid} {queries.schema[qid].dataType.simpleString()}, "
     schema += f"{cid} {corpus.schema[cid].dataType.simpleString()}, score double"
     if size.small:
-        hits = _broadcast_hits(queries, _few_tasks(corpus, size.rows * k), k, scorer, qid, cid, schema)
+        hits = _broadcast_hits(queries, corpus, k, scorer, qid, cid, schema)
     else:
         hits = _block_hits(queries, size.rows, corpus, k, scorer, qid, cid, schema)
+    # Every task gives k rows per query: groups of tasks are merged first, so no query's hits of all tasks meet at once.
+    hits = hits.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)))
+    some = Window.partitionBy(qid, "_group").orderBy(F.desc("score"), cid)
+    hits = hits.withColumn("rank", F.row_number().over(some)).filter(F.col("rank") <= k).drop("rank", "_group")
     order = Window.partitionBy(qid).orderBy(F.desc("score"), cid)
     ranked = hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return add_carried(ranked, passages, qid, cid, carry, size)
 
 
-def _few_tasks(corpus: DataFrame, hits_per_task: int) -> DataFrame:
-    """Every task gives k rows per query, so with many of those there must not be too many tasks."""
-    if hits_per_task <= 10_000:
-        return corpus
-    return corpus.coalesce(corpus.sparkSession.sparkContext.defaultParallelism * 4)
-
-
 def _broadcast_hits(queries, corpus, k, scorer, qid, cid, schema) -> DataFrame:
     rows = queries.toPandas()
     qids = rows[qid].to_numpy()

@@ -218,7 +218,14 @@ def _query_sql(s, d):
     )
 
 
+def _columns(s, d):
+    docs = table(s, d, "documents")
+    tables.validate_columns(docs, ["doc_id", "text", "lang"])
+    return docs.select("doc_id", "lang", F.length("text").alias("chars"))
+
+
 QUERIES = {
+    "validate_columns": _columns,
     "scan_whole_text": _scan_whole_text,
     "scan_files": _scan_files,
     "scan_table": _scan_table,

@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import REQUEST_OVERHEAD_TOKENS, estimate_cost
 from ..functions.text import ratio
-from ..operators.drift import distribution_drift
+from ..operators.cost import cost_anomalies
+from ..operators.drift import distribution_drift, keyword_distribution, top_queries
+from ..operators.errors import error_alerts, error_patterns
 from ..operators.logs import lookback
 from ..operators.quality import quality_summary
+from ..operators.refusals import refusal_alerts
 
 # Alert limits.
 THRESHOLDS: dict[str, float] = {
@@ -44,6 +49,16 @@ def validate_thresholds(values: Mapping[str, float]) -> list[str]:
     return problems
 
 
+def threshold_violations(thresholds: DataFrame) -> DataFrame:
+    """Rows (name, value) of a thresholds table that lie outside their range, with the problem; unknown names have no range."""
+    rows = [(n, low, high, f"{n} must be " + (f">= {low:g}" if high is None else f"{low:g}-{high:g}")) for n, (low, high) in RANGES.items()]
+    ranges = thresholds.sparkSession.createDataFrame(rows, "name string, low double, high double, problem string")
+    # One row per known limit: a broadcast of a fixed size.
+    joined = thresholds.join(F.broadcast(ranges), "name")
+    outside = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high")) | F.isnan("value")
+    return joined.filter(outside).select(*thresholds.columns, "problem")
+
+
 def thresholds_table(like: DataFrame, values: Mapping[str, float] = THRESHOLDS) -> DataFrame:
     return like.sparkSession.createDataFrame([(k, float(v)) for k, v in values.items()], "name string, value double")
 
@@ -130,6 +145,58 @@ def _long(row: DataFrame) -> DataFrame:
     return long.select(name[0].alias("section"), name[1].alias("metric"), "value").filter("value IS NOT NULL")
 
 
+DETAIL = "section string, place int, item string, value double"
+
+
+def _listed(rows: DataFrame, section: str, item: Column, value: Column, *order: Column) -> DataFrame:
+    """Rows of a short list, numbered in their order."""
+    place = F.row_number().over(Window.orderBy(*order))
+    return rows.select(F.lit(section).alias("section"), place.alias("place"), item.alias("item"), value.cast("double").alias("value"))
+
+
+def isolated(section: str, build: Callable[[], DataFrame], like: DataFrame) -> DataFrame:
+    """A part of a report, or one row that says why it can't be made, such as a missing table or column.
+
+    A part is put together when the report is, so what fails later, on the rows themselves, fails the report.
+    """
+    try:
+        return build().select("section", "place", "item", "value")
+    except (AnalysisException, KeyError, ValueError) as problem:
+        return like.sparkSession.createDataFrame([(section, 0, f"failed: {problem}", None)], DETAIL)
+
+
+def monitoring_details(
+    log: DataFrame, quality: Callable[[], DataFrame], days: int = 7, as_of: dt.date | None = None, top_n: int = 10
+) -> DataFrame:
+    """(section, place, item, value): alerts, error patterns, cost anomalies, top questions, keywords, judged quality.
+
+    Every part stands alone; one that can't be made is a row with place 0. `quality` gives the quality table, which may be missing.
+    """
+
+    def alerts(rows: DataFrame, section: str) -> DataFrame:
+        return _listed(rows, section, F.col("message"), F.col("actual"), F.col("metric"))
+
+    def scores() -> DataFrame:
+        return _listed(quality_summary(quality(), days, as_of), "quality", F.lit("avg_overall"), F.col("avg_overall"), F.lit(0))
+
+    error = F.concat_ws(": ", "question", "error_message")
+    parts: dict[str, Callable[[], DataFrame]] = {
+        "refusal_alerts": lambda: alerts(refusal_alerts(log, 1, as_of), "refusal_alerts"),
+        "error_alerts": lambda: alerts(error_alerts(log, 1, as_of), "error_alerts"),
+        "error_patterns": lambda: _listed(
+            error_patterns(log, days, top_n, as_of), "error_patterns", error, F.col("occurrence_count"), F.desc("occurrence_count"), F.col("question"), F.col("error_message")
+        ),
+        "cost_anomalies": lambda: _listed(
+            cost_anomalies(log, 30, as_of=as_of), "cost_anomalies", F.col("date").cast("string"), F.col("estimated_cost_usd"), F.col("date")
+        ),
+        "top_questions": lambda: _listed(top_queries(log, days, top_n, as_of), "top_questions", F.col("question"), F.col("frequency"), F.desc("frequency"), F.col("question")),
+        "keywords": lambda: _listed(keyword_distribution(log, days, top_n, as_of), "keywords", F.col("keyword"), F.col("frequency"), F.desc("frequency"), F.col("keyword")),
+        "quality": scores,
+    }
+    made = [isolated(section, build, log) for section, build in parts.items()]
+    return reduce(DataFrame.unionByName, made)
+
+
 # section, metric, limit, whether the value must stay above it, alert
 CRITICAL = [
     ("quality", "avg_overall", "min_quality_score", True, "Low quality score"),

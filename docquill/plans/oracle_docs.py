@@ -168,6 +168,7 @@ PROMPT = " || ".join(
 )
 
 SQL: dict[str, str] = {
+    "validate_columns": "SELECT doc_id, lang, length(text) AS chars FROM documents",
     "scan_whole_text": f"""SELECT line, count(*) AS n FROM (SELECT unnest(string_split(text, {NL})) AS line FROM documents)
   WHERE line <> '' GROUP BY line""",
     "scan_files": """SELECT CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes,

@@ -12,6 +12,7 @@ from ..operators.evaluation import (
 )
 from ..operators.quality import SCORES
 from .oracle_docs import ARTICLES, NL, POLICIES, SNAP
+from .oracle_log import SQL as LOG_SQL
 from .oracle_log import DRIFT, PERF, cost, errors, refusal, since, sql_str, with_log
 
 WORDS = "list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')"
@@ -311,3 +312,30 @@ SQL: dict[str, str] = {
     ),
     "stream_sync": f"WITH {SNAP} SELECT doc_id, record_hash, lang, source, n_chars FROM news",
 }
+
+
+def _numbered(section: str, source: str, item: str, value: str, order: str, where: str = "true") -> str:
+    return f"""SELECT * FROM (SELECT '{section}' AS section, row_number() OVER (ORDER BY {order}) AS place,
+  {item} AS item, round(CAST({value} AS DOUBLE), 6) AS value FROM ({LOG_SQL[source]}) WHERE {where}) WHERE place <= 10"""
+
+
+SQL["monitoring_details"] = " UNION ALL ".join(
+    [
+        _numbered("refusal_alerts", "refusal_alerts", "message", "actual", "metric"),
+        _numbered("error_alerts", "error_alerts", "message", "actual", "metric"),
+        _numbered(
+            "error_patterns", "error_patterns", "concat_ws(': ', question, error_message)", "occurrence_count", "occurrence_count DESC, question, error_message"
+        ),
+        _numbered("cost_anomalies", "cost_anomalies", "CAST(date AS VARCHAR)", "estimated_cost_usd", "date", "deviation_from_mean > 2"),
+        _numbered("top_questions", "top_queries", "question", "frequency", "frequency DESC, question"),
+        _numbered("keywords", "keyword_distribution", "keyword", "frequency", "frequency DESC, keyword"),
+        "SELECT 'quality', 0, 'failed', NULL",
+    ]
+)
+SQL["validate_thresholds"] = """WITH ranges AS (
+  SELECT * FROM (VALUES (1, 'min_quality_score', 0, 5, '0-5'), (2, 'min_success_rate', 0, 100, '0-100'),
+    (3, 'max_avg_latency', 0, NULL, '>= 0'), (4, 'max_refusal_rate', 0, 1, '0-1'), (5, 'lookback_days', 1, NULL, '>= 1'),
+    (6, 'sample_size', 1, NULL, '>= 1')) AS t(no, name, low, high, bounds)),
+limits AS (SELECT event_id, event_id % 7 + 1 AS no, round(value, 2) * 10 AS value FROM events)
+SELECT event_id, name, round(value, 6) AS value, name || ' must be ' || bounds AS problem
+FROM limits JOIN ranges USING (no) WHERE value < low OR value > high"""

@@ -1,5 +1,5 @@
-import math
 import datetime as dt
+import math
 import statistics
 
 import pytest
@@ -189,3 +189,21 @@ def test_known_values_at_small_scale(spark, sf):
     assert (row.baseline_unique_queries, row.recent_unique_queries) == (3832, 2055)
     assert (row.new_query_count, row.disappeared_query_count, row.drift_detected) == (483, 2260, True)
     log.unpersist()
+
+
+def test_report_goes_on_without_a_part(spark):
+    log = make(spark, [ok(0, "What about records?")])
+
+    def missing():
+        return spark.read.parquet("/no/such/table")
+
+    rows = monitoring.monitoring_details(log, missing, as_of=DAY).collect()
+    by = {r.section: r for r in rows}
+    assert by["quality"].place == 0 and "failed" in by["quality"].item
+    assert by["top_questions"].item == "What about records?" and by["top_questions"].value == 1.0
+
+
+def test_threshold_violations(spark):
+    rows = [("min_quality_score", 6.0), ("min_quality_score", 5.0), ("lookback_days", 0.0), ("other", -1.0), ("max_refusal_rate", math.nan), ("sample_size", None)]
+    found = monitoring.threshold_violations(spark.createDataFrame(rows, "name string, value double")).collect()
+    assert sorted(r.problem for r in found) == ["lookback_days must be >= 1", "max_refusal_rate must be 0-1", "min_quality_score must be 0-5"]
