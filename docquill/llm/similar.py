@@ -13,9 +13,10 @@ that is up to 1.25 times larger than a band goes into it too, so each linked pai
 Join. All words of a band meet in buckets, where words of only one class fall out; those of a class are
 mostly gone with them. A class that keeps fewer than its words less D has no partner. The others
 order their words by how many classes have them, rarest first: among the first D + 1, counting those that nobody
-shares, a linked pair has a word in common (pigeonhole). Per word, all classes are held against the smallest
-one; what that links is one component, and pairs between components that still share a word are tested
-in a second turn. So a group of g copies gives some g pairs, and every pair that could join components
+shares, a linked pair has a word in common (pigeonhole). Per word, all classes are held against the one
+with the fewest words of its own, which the others were likely made from; what that links is one component, and pairs between components that still share a word are held
+against each other by a short sketch of parity bits: if its Hamming distance is over the pair's D, they
+can't link. The others are tested in a second turn. So a group of g copies gives some g pairs, and every pair that could join components
 is tested. Tests are exact on the sets, which are made again for the classes in question only.
 
 A word that many classes of a batch have isn't sent to its bucket row by row but as a count; its rows stay outside and
@@ -101,7 +102,17 @@ def words_of(tokens: np.ndarray, hi: int) -> np.ndarray:
     return mixed(words[set_] + place[first][set_] * _MULTIPLY[2])
 
 
-_SKETCHES = "kind string, id long, mark long, n int, cid long, unit long, most int, rest int, bucket long, words binary, units binary, heavy binary, counts binary"
+def bits_of(tokens: np.ndarray, hi: int) -> np.ndarray:
+    """The short sketch of a band: 4 * hi bits, each the parity of the tokens hashed to it, in 64-bit numbers."""
+    place = mixed(tokens + np.uint64(hi * int(_MULTIPLY[3]) % 2**64)) & np.uint64(4 * hi - 1)
+    odd = (np.bincount(place.astype(np.int64), minlength=4 * hi) & 1).astype(bool)
+    return np.frombuffer(np.packbits(odd, bitorder="little").tobytes(), np.int64)
+
+
+_SKETCHES = (
+    "kind string, id long, mark long, n int, cid long, unit long, most int, rest int, hi int, bits array<long>, "
+    "bucket long, words binary, units binary, heavy binary, counts binary"
+)
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -111,7 +122,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
 def sketch(docs: DataFrame, text: str, key: str) -> DataFrame:
     """All that is needed of the documents, in rows of four kinds, written once.
 
-    doc: id, mark (of its text), n, cid. unit (a class in a band): unit, cid, n, most, rest (words less most). bucket: words and units
+    doc: id, mark (of its text), n, cid. unit (a class in a band): unit, cid, n, hi, most, rest (words less most), bits. bucket: words and units
     in step, and heavy words with counts. heavy: a word (bucket, n) and a unit that has it.
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(text_of(text)).alias("mark"), text_of(text).cast("binary").alias("_text"))
@@ -128,7 +139,8 @@ def sketch(docs: DataFrame, text: str, key: str) -> DataFrame:
 
 
 _ARROW = pa.schema(
-    [("kind", pa.string()), ("id", pa.int64()), ("mark", pa.int64()), ("n", pa.int32()), ("cid", pa.int64()), ("unit", pa.int64()), ("most", pa.int32()), ("rest", pa.int32()), ("bucket", pa.int64())]
+    [("kind", pa.string()), ("id", pa.int64()), ("mark", pa.int64()), ("n", pa.int32()), ("cid", pa.int64()), ("unit", pa.int64()), ("most", pa.int32()), ("rest", pa.int32())]
+    + [("hi", pa.int32()), ("bits", pa.list_(pa.int64())), ("bucket", pa.int64())]
     + [(c, pa.binary()) for c in ("words", "units", "heavy", "counts")]
 )
 
@@ -155,7 +167,7 @@ def _sketched(batch: pa.RecordBatch, seen: _Hashes, buckets: int) -> Iterator[pa
     most = np.array([most_different(int(n[i]), hi) for i, hi in chosen], np.int32)
     if (sizes <= most).any():
         raise ValueError("a sketch is too full for its band")
-    yield _rows("unit", len(chosen), n=n[own], cid=_signed(cid[own]), unit=_signed(unit), most=most, rest=(sizes - most).astype(np.int32))
+    yield _rows("unit", len(chosen), n=n[own], cid=_signed(cid[own]), unit=_signed(unit), most=most, rest=(sizes - most).astype(np.int32), hi=[hi for _, hi in chosen], bits=[bits_of(sets[i], hi) for i, hi in chosen])
     word, place = np.concatenate(words), np.repeat(np.arange(len(chosen)), sizes)
     order = np.argsort(word, kind="stable")
     word, place = word[order], place[order]
@@ -207,7 +219,7 @@ def _count(table: pa.Table) -> pa.Table:
 
 
 def prefixes(sketches: DataFrame) -> DataFrame:
-    """(word, cid, n): the words under which each class that may have a partner looks for one."""
+    """(word, cid, n, hi, own): the words under which each class that may have a partner looks for one; own: words that nobody shares."""
     met = sketches.where("kind = 'bucket'").groupBy("bucket").applyInArrow(_count, "word long, unit long, n long")
     met = settled(met, "words")
     totals = met.where("unit is null").select("word", F.col("n").alias("total"))
@@ -215,11 +227,13 @@ def prefixes(sketches: DataFrame) -> DataFrame:
     heavy = heavy.join(small(settled(totals, "totals")), "word").select("word", "unit", F.col("total").alias("n"))
     shared = met.where("unit is not null").unionByName(heavy)
     shared = shared.groupBy("unit").agg(F.collect_set(F.struct("n", "word")).alias("words"))
-    units = sketches.where("kind = 'unit'").groupBy("unit").agg(F.first("cid").alias("cid"), F.first("n").alias("n"), F.first("most").alias("most"), F.first("rest").alias("rest"))
+    units = sketches.where("kind = 'unit'").groupBy("unit").agg(F.first("cid").alias("cid"), F.first("n").alias("n"), F.first("most").alias("most"), F.first("rest").alias("rest"), F.first("hi").alias("hi"))
     found = shared.join(units, "unit").where(F.size("words") >= F.col("rest"))
     # Of the first most + 1 words those that nobody shares come first: there are rest + most less the shared ones.
     look = F.slice(F.array_sort("words"), F.lit(1), F.size("words") - F.col("rest") + 1)
-    return settled(found.select("cid", "n", F.explode(look).alias("w")).select("cid", "n", F.col("w.word").alias("word")).distinct(), "prefixes")
+    own = F.col("rest") + F.col("most") - F.size("words")
+    found = found.select("cid", "n", "hi", own.alias("own"), F.explode(look).alias("w"))
+    return settled(found.select("cid", "n", "hi", "own", F.col("w.word").alias("word")), "prefixes")
 
 
 def _sets(docs: DataFrame, text: str, key: str, wanted: DataFrame) -> DataFrame:
@@ -269,9 +283,9 @@ def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     sketches = sketch(docs, text, key)
     members = sketches.where("kind = 'doc'").select("id", "mark", "n", "cid")
     words = prefixes(sketches)
-    leaders = words.groupBy("word").agg(F.min(F.struct("n", "cid")).alias("a"), F.count("*").alias("m")).where("m > 1").select("word", "a")
+    leaders = words.groupBy("word").agg(F.min(F.struct("own", "n", "cid")).alias("a"), F.count("*").alias("m")).where("m > 1").select("word", "a")
     near = lambda less, more: 5 * F.col(less) >= 4 * F.col(more)
-    first = words.join(leaders, "word").where((F.col("cid") != F.col("a.cid")) & near("a.n", "n"))
+    first = words.join(leaders, "word").where((F.col("cid") != F.col("a.cid")) & near("a.n", "n") & near("n", "a.n"))
     first = settled(first.select(F.col("a.cid").alias("a"), F.col("cid").alias("b")).distinct(), "pairs")
     asked = words.join(leaders, "word").select("cid").distinct()
     some = members.where("n > 0").groupBy("cid").agg(F.min("id").alias("id"))
@@ -281,9 +295,12 @@ def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     # Words that more than one component still shares: every pair between components that may link.
     left = words.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     open_ = left.groupBy("word").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("word")
-    left = settled(left.join(open_, "word", "left_semi"), "open")
-    right = left.select("word", F.col("cid").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
-    more = left.join(right, "word").where((F.col("root") < F.col("other")) & near("n", "m") & near("m", "n"))
+    bits = sketches.where("kind = 'unit'").groupBy("cid", "hi").agg(F.first("bits").alias("bits"))
+    left = settled(left.join(open_, "word", "left_semi").join(bits, ["cid", "hi"]), "open")
+    right = left.select("word", F.col("cid").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"), F.col("bits").alias("against"))
+    apart = F.aggregate(F.zip_with("bits", "against", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    may = near("n", "m") & near("m", "n") & (9 * apart <= F.col("n") + F.col("m"))
+    more = left.join(right, (left["word"] == right["word"]) & (F.col("root") < F.col("other")) & may)
     more = more.select(F.least("cid", "b").alias("a"), F.greatest("cid", "b").alias("b")).distinct()
     done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     again = settled(linked(settled(more.join(done, ["a", "b"], "left_anti"), "pairs"), sets), "links")

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from docquill.llm import similar
@@ -78,6 +79,8 @@ def test_sketch_bound_holds():
         for hi in set(similar.bands(len(a))) & set(similar.bands(len(b))):
             x, y = (set(similar.words_of(s, hi).tolist()) for s in (a, b))
             assert max(len(x - y), len(y - x)) <= different
+            x, y = (similar.bits_of(s, hi).view(np.uint64) for s in (a, b))
+            assert np.bitwise_count(x ^ y).sum() <= different
 
 
 def test_empty_table(spark):
