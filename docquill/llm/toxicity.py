@@ -21,7 +21,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -29,23 +28,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pieces, text_of
+from .common import mixed, pieces, text_of
 
 BUCKETS, DIM, WINDOW, EARLY_WINDOW = 1 << 16, 4, 2, 32
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _EDGE = ".,;:!?\"'()[]{}|<>*_~-"
 #: Words whose score a task remembers before it starts anew.
 MEMORY = 200_000
+#: Text bytes scored at a time.
+BATCH_BYTES = 2 << 20
 
 
 def words(text: str) -> list[str]:
     return [w for raw in text.lower().split() if (w := raw.strip(_EDGE))]
 
 
-def subwords(word: str) -> list[int]:
-    """Buckets of the word and its 3- to 5-grams, with marks at its ends."""
-    marked = f"<{word}>"
-    grams = {marked[i : i + n] for n in (3, 4, 5) for i in range(len(marked) - n + 1)}
-    return [crc32(g.encode("utf-8", "replace")) % BUCKETS for g in sorted(grams | {marked})]
+def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the words and of their 3- to 5-grams, with marks at a word's ends; for each the word's place."""
+    length = np.fromiter((len(w) + 2 for w in words), np.int64, len(words))
+    codes = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    first = np.cumsum(length) - length
+    word = np.repeat(np.arange(len(words)), length)
+    whole = mixed(codes + (np.arange(len(codes)) - first[word]).astype(np.uint64) * _ODD)
+    buckets, places = [mixed(np.add.reduceat(whole, first))], [np.arange(len(words))]
+    gram = codes
+    for n in (2, 3, 4, 5):
+        gram = gram[: len(codes) - n + 1] * _ODD + codes[n - 1 :]
+        if n > 2:
+            inside = word[: len(gram)] == word[n - 1 :]
+            buckets.append(mixed(gram[inside] + np.uint64(n)))
+            places.append(word[: len(gram)][inside])
+    return (np.concatenate(buckets) % np.uint64(BUCKETS)).astype(np.int32), np.concatenate(places).astype(np.int32)
 
 
 @dataclass
@@ -56,8 +69,10 @@ class Model:
     bias: float
     learned: bool
 
-    def word(self, word: str) -> float:
-        return float(self.odds[subwords(word)].mean())
+    def of(self, words: list[str]) -> np.ndarray:
+        """The words' log odds, means over their buckets."""
+        buckets, word = subwords(words)
+        return np.bincount(word, self.odds[buckets], len(words)) / np.bincount(word, minlength=len(words))
 
 
 class Scorer:
@@ -65,16 +80,19 @@ class Scorer:
         self.model, self.seen = model, {}
 
     def score(self, text: str) -> float:
-        own = words(text)
-        if not own or not self.model.learned:
-            return 0.0
+        return self.scores([text])[0]
+
+    def scores(self, texts: list[str]) -> list[float]:
+        """The texts' scores; words that are new to the task are looked up together."""
+        if not self.model.learned:
+            return [0.0] * len(texts)
+        split = [words(t) for t in texts]
         if len(self.seen) > MEMORY:
             self.seen = {}
-        seen = self.seen
-        for w in set(own).difference(seen):
-            seen[w] = self.model.word(w)
-        odds = stretch_means(np.array([seen[w] for w in own])).max() + self.model.bias
-        return float(1 / (1 + np.exp(-np.clip(odds, -30, 30))))
+        if new := list({w for own in split for w in own}.difference(self.seen)):
+            self.seen.update(zip(new, self.model.of(new).tolist(), strict=True))
+        worst = [stretch_means(np.array([self.seen[w] for w in own])).max() + self.model.bias if own else -np.inf for own in split]
+        return (1 / (1 + np.exp(-np.clip(worst, -30, 30))) * np.isfinite(worst)).tolist()
 
 
 def stretch_means(x: np.ndarray) -> np.ndarray:
@@ -95,10 +113,8 @@ def train(texts: list[str], labels: np.ndarray, early: int = 20, late: int = 40,
     tokens = np.array([place.setdefault(w, len(place)) for own, _ in docs for w in own], np.int64)
     sizes = np.array([len(w) for w, _ in docs])
     starts = np.cumsum(sizes) - sizes
-    grams = [subwords(w) for w in place]
-    width = np.array([len(g) for g in grams])
-    gram, of_word = np.array([b for g in grams for b in g], np.int64), np.repeat(np.arange(len(grams)), width)
-    first = np.cumsum(width) - width
+    gram, of_word = subwords(list(place))
+    width = np.bincount(of_word, minlength=len(place))
     rng = np.random.default_rng(7)
     params = [rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)), np.zeros((2, DIM)), np.zeros(2)]
     params[1][1], params[1][0] = 0.1, -0.1
@@ -106,7 +122,7 @@ def train(texts: list[str], labels: np.ndarray, early: int = 20, late: int = 40,
     weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     for step in range(1, early + late + 1):
         embed, soft, bias = params
-        vectors = np.add.reduceat(embed[gram], first) / width[:, None]
+        vectors = np.stack([np.bincount(of_word, embed[gram, k], len(place)) for k in range(DIM)], 1) / width[:, None]
         if step <= early:
             size = np.minimum(sizes, EARLY_WINDOW)
             begin = starts + (rng.random(len(sizes)) * (sizes - size + 1)).astype(np.int64)
@@ -124,7 +140,7 @@ def train(texts: list[str], labels: np.ndarray, early: int = 20, late: int = 40,
         p[np.arange(len(y)), y.astype(int)] -= 1
         p *= weight[:, None]
         to_mean = (p @ soft) / size[:, None]
-        to_word = np.stack([np.bincount(used, to_mean[bag, k], len(grams)) for k in range(DIM)], 1) / width[:, None]
+        to_word = np.stack([np.bincount(used, to_mean[bag, k], len(place)) for k in range(DIM)], 1) / width[:, None]
         slopes = [np.stack([np.bincount(gram, to_word[of_word, k], BUCKETS) for k in range(DIM)], 1), p.T @ means + 1e-4 * soft, p.sum(0)]
         for p_, m, g in zip(params, moments, slopes, strict=True):
             m[0] += 0.1 * (g - m[0])
@@ -140,7 +156,7 @@ def fit(
     text: str = "text",
     key: str = "doc_id",
     label: str = "toxic",
-    max_rows: int = 3000,
+    max_rows: int = 2400,
     share: float = 0.4,
     max_chars: int = 20_000,
 ) -> Model:
@@ -168,8 +184,8 @@ def score(df: DataFrame, model: Model, text: str = "text", keep: list[str | Colu
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for batch in pieces(batches, "_text"):
-            scores = pa.array([scorer.score(t) for t in batch.column("_text").to_pylist()], pa.float64())
+        for batch in pieces(batches, "_text", BATCH_BYTES):
+            scores = pa.array(scorer.scores(batch.column("_text").to_pylist()), pa.float64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), scores], names=schema.names)
 
     return chosen.mapInArrow(run, schema)
