@@ -44,7 +44,8 @@ from .common import mixed, pieces, settled, text_of
 LENGTH, GRAM = 200, 48
 #: Anchors per bucket, bytes of contexts per group, and different contexts of a gram in a batch from which on windows are counted.
 BUCKET, GROUP_BYTES, HEAVY = 500_000, 4 << 20, 64
-_STRETCH = 1 << 22
+#: Bytes of a batch and of a stretch of a long document; finding anchors takes some eighty times as much memory.
+BATCH_BYTES, _STRETCH = 2 << 20, 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = np.uint64((1 << 24) - 1)
 
@@ -339,7 +340,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", len
     buckets = max(1, size // (BUCKET * max(1, (length - gram) // 2)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "raw"):
+        for batch in pieces(batches, "raw", BATCH_BYTES):
             yield from _anchor_rows(batch.column("raw").to_pylist(), batch.column("key").to_numpy(), buckets, length, gram)
 
     sent = rows.select("key", "raw").mapInArrow(cut, _FOUND)
