@@ -28,9 +28,9 @@ from pyspark.sql import types as T
 from .common import pieces
 
 #: Entries of a task's memory of pieces, after which it starts anew, and the longest piece that it keeps.
-MEMORY, LONGEST = 100_000, 64
+MEMORY, LONGEST = 60_000, 64
 #: Text bytes encoded at a time: their pieces are Python objects, some ten times as large.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 
 
 def byte_table() -> list[str]:

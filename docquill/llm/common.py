@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..session import work_path
 
 #: Text bytes that one numpy pass works on at a time, so that memory is bounded whatever the rows' lengths are.
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 4 << 20
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:

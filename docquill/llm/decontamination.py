@@ -6,7 +6,7 @@ occurrence of a window is hit.
 
 The test set is the stated query side: it is taken in blocks of at most BLOCK_BYTES of text, and each
 block goes over all documents where they lie, without a shuffle. A shard is a run of
-documents of about 8 MB. Words that no item has can't be inside an occurrence, so the
+documents of about 4 MB. Words that no item has can't be inside an occurrence, so the
 shard's sequence keeps only runs of known words at least as long as the shortest window, with a
 separator before each. Its suffix array gives the Burrows-Wheeler transform, kept as a
 wavelet matrix with popcount ranks. Backward search narrows the rows of all windows at once,

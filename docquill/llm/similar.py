@@ -46,16 +46,20 @@ WIDTH = 5
 #: Up to this size every token is a segment of its own.
 SINGLE = 64
 #: Words that one bucket holds on average; classes of a batch from which on a word is sent as a count; members that one copy of a leader's set is held against.
-BUCKET, HEAVY, GROUP = 1_000_000, 8, 200
+BUCKET, HEAVY, GROUP = 500_000, 8, 200
+#: Words whose hash a task remembers.
+HELD = 100_000
+#: Text bytes of a batch; its words and their hashes take some twenty times as much memory.
+BATCH_BYTES = 2 << 20
 
 _MULTIPLY = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
 class _Hashes(dict):
-    """Hash of each word seen, anew when a million are held."""
+    """Hash of each word seen, anew when HELD are held."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > HELD:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -132,7 +136,7 @@ def sketch(docs: DataFrame, text: str, key: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = _Hashes()
-        for batch in pieces(batches, "_text"):
+        for batch in pieces(batches, "_text", BATCH_BYTES):
             yield from _sketched(batch, seen, buckets)
 
     return settled(rows.mapInArrow(run, _SKETCHES), "sketches")
@@ -244,7 +248,7 @@ def _sets(docs: DataFrame, text: str, key: str, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = _Hashes()
-        for batch in pieces(batches, "_text"):
+        for batch in pieces(batches, "_text", BATCH_BYTES):
             sets = [shingles(t, seen) for t in batch.column("_text").to_pylist()]
             cid = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(_signed(cid)), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cid", "tokens"])
