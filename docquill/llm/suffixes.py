@@ -345,7 +345,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", len
 
     sent = rows.select("key", "raw").mapInArrow(cut, _FOUND)
     # What a batch found by itself goes through unchanged, dealt out by document.
-    group = F.when(F.col("bucket") >= 0, F.col("bucket")).otherwise(-1 - F.pmod(F.col("key"), F.lit(buckets)))
+    group = F.when(F.col("bucket") >= 0, F.col("bucket")).otherwise(-1 - F.pmod(F.col("key"), F.lit(255 + 16 * buckets)))
 
     def judge(table: pa.Table) -> pa.Table:
         if table.column("bucket")[0].as_py() < 0:
