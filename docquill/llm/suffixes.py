@@ -20,8 +20,9 @@ group. In the end a group holds the suffixes with the same longest Lyndon prefix
 ascending order puts each in its place through the same pointers. No names are given anew and nothing recurs.
 
 A context that a batch has twice is covered at once and sent on as one row. A gram with HEAVY different contexts in
-a batch isn't brought together: its contexts are compared by the hashes of all their windows instead, which
-are counted with partial sums. So a passage that a third of all documents have is never one task's work.
+a batch, or TOGETHER over all batches, has its contexts compared by the hashes of all their windows instead, which
+are counted with partial sums. So no suffix array is built over more than TOGETHER - 1 contexts, however a
+passage is spread. Only an entry of 40 bytes for each different context of a batch meets in the bucket of the gram.
 
 Cases: null and empty texts, and those shorter than `length`, lose nothing; texts of any length are read
 whole, in overlapping stretches; repeated rows are occurrences of each other; rows with null ids
@@ -42,8 +43,8 @@ from pyspark.sql import functions as F
 from .common import mixed, pieces, settled, text_of
 
 LENGTH, GRAM = 200, 48
-#: Anchors per bucket, bytes of contexts per group, and different contexts of a gram in a batch from which on windows are counted.
-BUCKET, GROUP_BYTES, HEAVY = 500_000, 4 << 20, 64
+#: Anchors per bucket, bytes of contexts per group, and different contexts of a gram from which on windows are counted: in a batch, and over all.
+BUCKET, GROUP_BYTES, HEAVY, TOGETHER = 500_000, 4 << 20, 64, 1024
 #: Bytes of a batch and of a stretch of a long document; finding anchors takes some eighty times as much memory.
 BATCH_BYTES, _STRETCH = 2 << 20, 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -246,7 +247,8 @@ def _judge(table: pa.Table) -> pa.Table:
     new[1:] |= entry["context"][1:] != entry["context"][:-1]
     context, own = np.cumsum(new) - 1, np.cumsum(new_gram) - 1
     whole = (np.bincount(context, entry["twice"] + 1) > 1)[context]
-    several, heavy = (np.bincount(own[new]) > 1)[own], (np.bincount(own, entry["heavy"]) > 0)[own]
+    contexts = np.bincount(own[new])
+    several, heavy = (contexts > 1)[own], ((np.bincount(own, entry["heavy"]) > 0) | (contexts >= TOGETHER))[own]
     gram = _signed(np.uint64(table.column("bucket")[0].as_py() << 32) | entry["low"].astype(np.uint64))
     # Those covered in their batch were told so there.
     first = whole & (entry["twice"] == 0)
@@ -263,14 +265,14 @@ def extents(contexts: list[bytes], lefts: list[int], length: int, gram: int) ->
     """
     side = length - gram
     g, width = len(contexts), length + side
-    m = np.empty((g, width), np.uint16)
+    m = np.empty((g, width), np.uint32)
     m[:] = (256 + np.arange(g))[:, None]  # where a document ends, nothing matches
     for i, (c, left) in enumerate(zip(contexts, lefts, strict=True)):
         m[i, side - left : side - left + len(c)] = np.frombuffer(c, np.uint8)
     cuts = {0, side, width}
     for part, place in ((m[:, side:], lambda d: side + d), (m[:, : side + gram][:, ::-1], lambda d: side + gram - d)):
         part = np.ascontiguousarray(part)
-        part = part[np.argsort(part.view(f"V{2 * part.shape[1]}").ravel(), kind="stable")]
+        part = part[np.argsort(part.view(f"V{part.itemsize * part.shape[1]}").ravel(), kind="stable")]
         different = part[1:] != part[:-1]
         cuts.update(place(int(d)) for d in different.argmax(1)[different.any(1)])
     edge = np.array(sorted(cuts))

@@ -2,6 +2,8 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from docquill.llm import catalog, suffixes
@@ -59,6 +61,45 @@ def test_against_brute_force(spark, monkeypatch, seed, bucket, group, heavy, str
     assert sum(w[2] > 0 for w in want) > 30
 
 
+def spread(n):
+    """A passage in n different surroundings."""
+    rnd = random.Random(5)
+    say = lambda k: "".join(rnd.choice("abcdefgh ") for _ in range(k))
+    shared = say(260)
+    return [say(220) + shared + say(220) for _ in range(n)]
+
+
+def test_passage_with_few_surroundings_per_batch_is_heavy():
+    texts = [t.encode() for t in spread(suffixes.TOGETHER)]
+    sent = [
+        b
+        for a in range(0, len(texts), 32)
+        for b in suffixes._anchor_rows(texts[a : a + 32], np.arange(a, a + 32), 1, suffixes.LENGTH, suffixes.GRAM)
+    ]
+    sent = pa.Table.from_batches(sent)
+    judged = suffixes._judge(sent.filter(pa.compute.greater_equal(sent.column("bucket"), 0))).to_pylist()
+    light = Counter(r["gram"] for r in judged if r["state"] in (suffixes.ONE, suffixes.PARTNER))
+    assert all(n < suffixes.TOGETHER for n in light.values())
+    assert sum(r["state"] == suffixes.HEAVY_ONE for r in judged) >= suffixes.TOGETHER
+
+
+def test_passage_spread_over_batches_against_brute_force(spark):
+    texts = spread(suffixes.TOGETHER + 76)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(40)
+    got = rows(suffixes.cut_repeats(df))
+    assert got == [(i, *w) for i, w in enumerate(brute(texts, suffixes.LENGTH))]
+    assert all(r[2] >= 260 for r in got)
+
+
+def test_ends_of_many_documents_match_nothing():
+    n = (1 << 16) - 256 + 1
+    contexts = [i.to_bytes(2) + b"ab" + i.to_bytes(2) for i in range(n)]
+    lefts = [2] * n
+    contexts[0], contexts[-1], lefts[-1] = b"\0\0ab\xff\xff", b"ab\xff\xfe", 0
+    found = suffixes.extents(contexts, lefts, 4, 2)
+    assert found[0] == found[-1] == (0, 0)
+
+
 def test_suffix_order_and_common_prefixes():
     for seed in range(300):
         rnd = random.Random(seed)
