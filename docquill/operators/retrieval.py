@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.text import contains_any, is_blank, ratio, strip, tokens, word_count
 from ..session import shared_dir
 from .drift import is_keyword
-from .topk import Scorer, Size, add_carried, best_k, measure
+from .topk import Scorer, Size, add_carried, best_k, measure, ranks_of
 
 # BM25 and rank fusion constants, the score a passage must exceed.
 BM25_K1 = 1.2
@@ -54,18 +54,14 @@ def dense_topk(
     size: Size | None = None,
 ) -> DataFrame:
     """The k nearest rows per query vector; score is 1 / (1 + squared distance)."""
-    asked = queries.select(qid, vector).filter(F.col(vector).isNotNull())
-    return best_k(
-        asked,
-        corpus.select(cid, vector).filter(F.col(vector).isNotNull()),
-        k,
-        _dense_scorer(vector, vector),
-        qid,
-        cid,
-        size or measure(asked, F.size(vector) * 8),
-        carry,
-        corpus,
-    )
+    asked, rows, scorer = _dense_side(queries, corpus, qid, cid, vector)
+    return best_k(asked, rows, k, scorer, qid, cid, size or measure(asked, F.size(vector) * 8), carry, corpus)
+
+
+def _dense_side(queries: DataFrame, corpus: DataFrame, qid: str, cid: str, vector: str) -> tuple[DataFrame, DataFrame, Scorer]:
+    """Questions and rows that have a vector, and their scorer."""
+    known = F.col(vector).isNotNull()
+    return queries.select(qid, vector).filter(known), corpus.select(cid, vector).filter(known), _dense_scorer(vector, vector)
 
 
 def query_terms(
@@ -166,17 +162,16 @@ def bm25_topk(
 ) -> DataFrame:
     """The k best rows per question by BM25; rows without any of its terms are no hits."""
     size = size or measure(queries, F.octet_length(qtext))
-    return best_k(
-        query_terms(queries, corpus, qid, qtext, ctext, size.small),
-        corpus.filter(F.col(ctext).isNotNull()).select(cid, tokens(F.col(ctext)).alias("_tokens")),
-        k,
-        _bm25_scorer("_tokens"),
-        qid,
-        cid,
-        size,
-        carry,
-        corpus,
-    )
+    asked, rows, scorer = _lexical_side(queries, corpus, qid, cid, qtext, ctext, size)
+    return best_k(asked, rows, k, scorer, qid, cid, size, carry, corpus)
+
+
+def _lexical_side(
+    queries: DataFrame, corpus: DataFrame, qid: str, cid: str, qtext: str, ctext: str, size: Size
+) -> tuple[DataFrame, DataFrame, Scorer]:
+    """Questions as weighted terms, rows as tokens, and their scorer."""
+    rows = corpus.filter(F.col(ctext).isNotNull()).select(cid, tokens(F.col(ctext)).alias("_tokens"))
+    return query_terms(queries, corpus, qid, qtext, ctext, size.small), rows, _bm25_scorer("_tokens")
 
 
 def fuse_ranks(*rankings: DataFrame, k: int, qid: str = "query_id", cid: str = "chunk_id") -> DataFrame:
@@ -205,12 +200,32 @@ def hybrid_topk(
     carry: list[str] | None = None,
     size: Size | None = None,
 ) -> DataFrame:
-    """Dense and lexical rankings of `depth` rows each, or of k if that is more, fused."""
-    depth = max(depth, k)
+    """The k best rows by the whole dense and lexical rankings, fused.
+
+    A row that is behind place 2 k + FUSION_OFFSET in both rankings scores less than the k-th of one of them
+    scores by that place alone. So the rows up to there in either are all that can come first; `depth` reads
+    deeper. Their places in the other ranking are counted, however deep they are.
+    """
+    depth = max(depth, 2 * k + FUSION_OFFSET)
     size = size or measure(queries, F.size(vector) * 8 + F.octet_length(qtext))
-    dense = dense_topk(queries, corpus, depth, qid, cid, vector, size=size)
-    lexical = bm25_topk(queries, corpus, depth, qid, cid, qtext, ctext, size=size)
-    return add_carried(fuse_ranks(dense, lexical, k=k, qid=qid, cid=cid), corpus, qid, cid, carry, size)
+    shared_dir(corpus.sparkSession)
+    sides = (
+        _dense_side(queries, corpus, qid, cid, vector),
+        _lexical_side(queries, corpus, qid, cid, qtext, ctext, size),
+    )
+    tops = [
+        best_k(asked, rows, depth, scorer, qid, cid, size).select(qid, cid, "rank").checkpoint()
+        for asked, rows, scorer in sides
+    ]
+    rankings = []
+    for (asked, rows, scorer), own, other in zip(sides, tops, reversed(tops), strict=True):
+        # A ranking of fewer rows was read whole.
+        longer = own.filter(F.col("rank") == depth).select(qid)
+        missing = other.select(qid, cid).join(own, [qid, cid], "left_anti").join(longer, qid, "left_semi").checkpoint()
+        if not missing.isEmpty():
+            own = own.unionByName(ranks_of(missing, asked, rows, scorer, qid, cid, size))
+        rankings.append(own)
+    return add_carried(fuse_ranks(*rankings, k=k, qid=qid, cid=cid), corpus, qid, cid, carry, size)
 
 
 def score_cut(hits: DataFrame, cut: float = SCORE_CUT) -> DataFrame:

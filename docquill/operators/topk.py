@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 MAX_BROADCAST_QUERIES = 4096
 MAX_BROADCAST_BYTES = 32 << 20
 QUERY_BLOCK = 2048
@@ -72,7 +74,56 @@ class Best:
         return pd.DataFrame({names[0]: qids[self.q], names[1]: self.ids, "score": self.v})
 
 
-def _score_all(best: Best, scorer: Scorer, ready: Any, rows: pd.DataFrame, cid: str) -> None:
+class Values:
+    """The values of wanted (query, id); those that are no hits are left out. `rows` has the ids per query in _ids."""
+
+    def __init__(self, rows: pd.DataFrame):
+        self.asked: dict[Any, list[int]] = {}
+        for q, ids in enumerate(rows["_ids"]):
+            for i in ids:
+                self.asked.setdefault(i, []).append(q)
+        self.out: list[tuple[int, Any, float]] = []
+
+    def add(self, first: int, values: np.ndarray, ids: np.ndarray) -> None:
+        values = np.round(values, DECIMALS)
+        for at, i in enumerate(ids):
+            for q in self.asked.get(i, ()):
+                if first <= q < first + len(values) and np.isfinite(v := values[q - first, at]):
+                    self.out.append((q, i, float(v)))
+
+    def frame(self, names: list[str], qids: np.ndarray) -> pd.DataFrame:
+        q, ids, v = zip(*self.out, strict=True) if self.out else ((), (), ())
+        return pd.DataFrame({names[0]: qids[np.array(q, dtype=np.int64)], names[1]: list(ids), "score": np.array(v, dtype=float)})
+
+
+class Ahead:
+    """For wanted (query, id, value): how many rows come before it. `rows` has them per query in _ids and _values."""
+
+    def __init__(self, rows: pd.DataFrame):
+        self.ids = [list(x) for x in rows["_ids"]]
+        self.values = [np.asarray(x, dtype=float) for x in rows["_values"]]
+        self.counts = [np.zeros(len(x), dtype=np.int64) for x in self.ids]
+
+    def add(self, first: int, values: np.ndarray, ids: np.ndarray) -> None:
+        values = np.round(values, DECIMALS)
+        values = np.where(np.isfinite(values), values, -np.inf)
+        for q, row in enumerate(values, first):
+            wanted = self.values[q]
+            self.counts[q] += len(row) - np.searchsorted(np.sort(row), wanted, side="right")
+            for at in np.nonzero(np.isin(row, wanted))[0]:
+                for w in np.nonzero(wanted == row[at])[0]:
+                    self.counts[q][w] += ids[at] < self.ids[q][w]
+
+    def frame(self, names: list[str], qids: np.ndarray) -> pd.DataFrame:
+        q = np.repeat(np.arange(len(self.ids)), [len(x) for x in self.ids])
+        counts = np.concatenate([*self.counts, np.empty(0)]).astype(float)
+        return pd.DataFrame({names[0]: qids[q], names[1]: [i for x in self.ids for i in x], "score": counts})
+
+
+Keeper = Callable[[pd.DataFrame], Best | Values | Ahead]
+
+
+def _score_all(best: Best | Values | Ahead, scorer: Scorer, ready: Any, rows: pd.DataFrame, cid: str) -> None:
     ids = rows[cid].to_numpy()
     for first, part, values in scorer.score(ready, rows):
         best.add(first, values, ids[part])
@@ -124,12 +175,7 @@ def best_k(
     `queries` and `corpus` hold the id and what the scorer reads, no more;
     `size` is the measure of the queries.
     """
-    schema = f"{qid} {queries.schema[qid].dataType.simpleString()}, "
-    schema += f"{cid} {corpus.schema[cid].dataType.simpleString()}, score double"
-    if size.small:
-        hits = _broadcast_hits(queries, corpus, k, scorer, qid, cid, schema)
-    else:
-        hits = _block_hits(queries, size.rows, corpus, k, scorer, qid, cid, schema)
+    hits = _hits(queries, corpus, lambda _: Best(k), scorer, qid, cid, size)
     # Every task gives k rows per query: groups of tasks are merged first, so no query's hits of all tasks meet at once.
     hits = hits.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)))
     some = Window.partitionBy(qid, "_group").orderBy(F.desc("score"), cid)
@@ -139,14 +185,44 @@ def best_k(
     return add_carried(ranked, passages, qid, cid, carry, size)
 
 
-def _broadcast_hits(queries, corpus, k, scorer, qid, cid, schema) -> DataFrame:
+def ranks_of(
+    wanted: DataFrame, queries: DataFrame, corpus: DataFrame, scorer: Scorer, qid: str, cid: str, size: Size
+) -> DataFrame:
+    """(qid, cid, rank) of the wanted (qid, cid) in the whole ranking, as best_k would rank them without a k.
+
+    Rows that are no hits are left out. The wanted rows are scored first, then the rows before each
+    are counted where the corpus lies; the counts are summed.
+    """
+    shared_dir(corpus.sparkSession)
+    ids = wanted.groupBy(qid).agg(F.collect_list(cid).alias("_ids"))
+    which = wanted.select(cid).distinct()
+    rows = corpus.join(F.broadcast(which) if size.small else which, cid, "left_semi")
+    # Kept, as the counts are asked for each row's value as it was scored.
+    scored = _hits(queries.join(ids, qid), rows, Values, scorer, qid, cid, size).checkpoint()
+    own = scored.groupBy(qid).agg(F.collect_list(F.struct(cid, "score")).alias("_own"))
+    own = own.select(qid, F.col(f"_own.{cid}").alias("_ids"), F.col("_own.score").alias("_values"))
+    counts = _hits(queries.join(own, qid), corpus, Ahead, scorer, qid, cid, size)
+    return counts.groupBy(qid, cid).agg((F.sum("score") + 1).cast("int").alias("rank"))
+
+
+def _hits(queries, corpus, keeper: Keeper, scorer, qid, cid, size: Size) -> DataFrame:
+    """(qid, cid, score): what a keeper made from each task's queries gives for the task's part of the corpus."""
+    schema = f"{qid} {queries.schema[qid].dataType.simpleString()}, "
+    schema += f"{cid} {corpus.schema[cid].dataType.simpleString()}, score double"
+    if size.small:
+        return _broadcast_hits(queries, corpus, keeper, scorer, qid, cid, schema)
+    return _block_hits(queries, size.rows, corpus, keeper, scorer, qid, cid, schema)
+
+
+def _broadcast_hits(queries, corpus, keeper, scorer, qid, cid, schema) -> DataFrame:
     rows = queries.toPandas()
     qids = rows[qid].to_numpy()
-    shared = queries.sparkSession.sparkContext.broadcast((qids, scorer.prepare(rows)))
+    asked = rows[[c for c in ("_ids", "_values") if c in rows]]
+    shared = queries.sparkSession.sparkContext.broadcast((qids, scorer.prepare(rows), asked))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, ready = shared.value
-        best = Best(k)
+        ids, ready, asked = shared.value
+        best = keeper(asked)
         for batch in batches:
             if len(batch) and len(ids):
                 _score_all(best, scorer, ready, batch, cid)
@@ -155,7 +231,7 @@ def _broadcast_hits(queries, corpus, k, scorer, qid, cid, schema) -> DataFrame:
     return corpus.mapInPandas(run, schema)
 
 
-def _block_hits(queries, n_queries, corpus, k, scorer, qid, cid, schema) -> DataFrame:
+def _block_hits(queries, n_queries, corpus, keeper, scorer, qid, cid, schema) -> DataFrame:
     q_blocks = -(-n_queries // QUERY_BLOCK)
     c_blocks = max(1, -(-corpus.count() // CORPUS_BLOCK))
     left = queries.withColumns(
@@ -173,7 +249,7 @@ def _block_hits(queries, n_queries, corpus, k, scorer, qid, cid, schema) -> Data
 
     def run(q_rows: pd.DataFrame, c_rows: pd.DataFrame) -> pd.DataFrame:
         ids = q_rows[qid].to_numpy()
-        best = Best(k)
+        best = keeper(q_rows)
         if len(ids) and len(c_rows):
             _score_all(best, scorer, scorer.prepare(q_rows), c_rows, cid)
         return best.frame([qid, cid], ids)

@@ -109,6 +109,30 @@ def test_fusion(spark):
     assert got[0][2] == 1.0 and got[1][2] == got[2][2] == pytest.approx(61 / 124)
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_hybrid_counts_places_of_any_depth(spark, small, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(topk, "CORPUS_BLOCK", 70)
+    rng = np.random.default_rng(4)
+    n, k, words = 400, 5, np.array("cat dog mat sat tree hill moon sun".split())
+    texts = [" ".join(rng.choice(words, rng.integers(1, 12))) for _ in range(n)]
+    asked = ["cat dog sun", "tree", "moon mat"]
+    v, c = rng.normal(size=(3, 4)).round(1), rng.normal(size=(n, 4)).round(1)
+    queries = vectors(spark, v, "query_id").join(spark.createDataFrame(list(enumerate(asked)), "query_id long, question string"), "query_id")
+    corpus = vectors(spark, c, "chunk_id").join(spark.createDataFrame(list(enumerate(texts)), "chunk_id long, text string"), "chunk_id")
+    size = Size(3, small)
+    want, deep = set(), 0
+    every = [{(r.query_id, r.chunk_id): r["rank"] for r in top.collect()} for top in (
+        retrieval.dense_topk(queries, corpus, n, size=size), retrieval.bm25_topk(queries, corpus, n, size=size))]
+    for q in range(3):
+        score = {i: round(sum(1 / (60 + e[q, i]) for e in every if (q, i) in e) * 30.5, 9) for i in range(n)}
+        best = sorted(score, key=lambda i: (-score[i], i))[:k]
+        want |= {(q, i, at + 1, round(score[i], 6)) for at, i in enumerate(best)}
+        deep += sum(any(e.get((q, i), 0) > 2 * k + 60 for e in every) for i in best)
+    assert deep
+    assert found(retrieval.hybrid_topk(queries, corpus, k, size=size)) == want
+
+
 def test_cut_is_strict(spark):
     rows = spark.createDataFrame([(0.35,), (0.36,)], "score double")
     assert [r.score for r in retrieval.score_cut(rows).collect()] == [0.36]
