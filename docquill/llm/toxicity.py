@@ -7,8 +7,8 @@ by its worst stretch of WINDOW words, as a few words in a long text make it toxi
 
 Embeddings and softmax are trained together by full-batch Adam: first on a random long stretch of each
 document in each step, then on the stretch of each document that scores highest at the time, for both classes. The sample has at
-most about `max_rows` labelled rows, a share of each class, of at most `max_chars` characters each,
-chosen by a hash of the id; this bounds what the driver holds. Scoring reads every whole text where it
+most about `max_rows` labelled rows, a share of each class, chosen by a hash of the id; of a text of more than
+`max_chars` characters a random stretch of that length is learned from. This bounds what the driver holds. Scoring reads every whole text where it
 lies. As the layer is linear, a task needs one number per bucket.
 
 Cases: null or empty text, or one without words, scores 0; a text shorter than a
@@ -156,7 +156,7 @@ def fit(
     text: str = "text",
     key: str = "doc_id",
     label: str = "toxic",
-    max_rows: int = 2400,
+    max_rows: int = 3000,
     share: float = 0.4,
     max_chars: int = 20_000,
 ) -> Model:
@@ -168,7 +168,9 @@ def fit(
         return Model(np.zeros(BUCKETS, np.float32), 0.0, False)
     part = F.when(F.col("_y") == 1, share * max_rows / sizes[1]).otherwise((1 - share) * max_rows / sizes[0])
     chosen = known.where(F.pmod(F.xxhash64("_key"), F.lit(1 << 20)) / float(1 << 20) < part).limit(max_rows + max_rows // 3)
-    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).where(F.length("_text") <= max_chars)
+    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).where("_text is not null")
+    begin = F.pmod(F.xxhash64("_text", "_key"), F.greatest(F.length("_text") - max_chars, F.lit(0)) + 1).cast("int")
+    rows = rows.withColumn("_text", F.substring("_text", begin + 1, F.lit(max_chars)))
     # At most max_rows and a third narrow rows on the broadcast side.
     rows = rows.join(F.broadcast(chosen), "_key").limit(2 * max_rows).select("_key", "_text", "_y").toPandas()
     rows = rows.sort_values(["_key", "_text"], kind="stable")

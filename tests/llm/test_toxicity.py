@@ -40,6 +40,14 @@ def test_query_beats_the_share_of_clean_documents(spark, sf):
     assert np.mean([rows[d].predicted for d in rude]) > 0.5
 
 
+def test_long_labelled_texts_are_learned_from(spark):
+    docs = [(i, " ".join([t] * 40) if y else t, y) for i, (t, y) in enumerate(sample(300, 4, RUDE))]
+    assert all(len(t) > 1000 for _, t, y in docs if y)
+    df = spark.createDataFrame(docs, "doc_id int, text string, toxic int")
+    scorer = toxicity.Scorer(toxicity.fit(df, df, max_chars=1000))
+    assert scorer.score("the quiet river idiot moron") >= 0.5 > scorer.score("the quiet river where birds sing")
+
+
 def test_odd_rows(spark):
     df = spark.createDataFrame([(1, None, 1), (1, None, 1), (None, "", 1), (3, "idiot " * 50_000, 1)], "doc_id int, text string, score int")
     rows = [(t, y) for t, y in sample(200, 3, RUDE)]
