@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, exact, language, pii, secrets, similar, sql, suffixes, toxicity, warc
+from . import bpe, decontamination, exact, language, lines, pii, secrets, similar, sql, suffixes, toxicity, warc
 from ..session import work_path
 from .common import held_out
 
@@ -136,6 +136,12 @@ def op9_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text without the lines that a document with a smaller id holds too."""
+    kept = lines.drop_repeated_lines(_documents(spark, sf_dir))
+    return kept.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_capture_index": op1_capture_index,
     "op2_parity_sketch_join": op2_parity_sketch_join,
@@ -147,6 +153,7 @@ QUERIES: dict[str, Query] = {
     "op8_secret_ownership": op8_secret_ownership,
     "op9_fm_decontamination": op9_fm_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
+    "op12_line_dedup": op12_line_dedup,
 }
 
 #: DuckDB SQL of the queries that SQL can express.

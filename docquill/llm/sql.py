@@ -86,4 +86,21 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, c
 from words left join covered using (doc_id) left join named using (doc_id)
 """
 
-SQL = {"op1_capture_index": OP1, "op2_parity_sketch_join": OP2, "op4_perfect_hash_dedup": OP4, "op9_fm_decontamination": OP9}
+OP12 = r"""
+with split as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos
+  from documents
+), keyed as (
+  select *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
+  from split
+), judged as (
+  select *, length(k) >= 10 and doc_id > min(doc_id) over (partition by k) as goes from keyed
+)
+select doc_id, count(*) as n_lines, count(*) filter (goes) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not goes), '')) as kept_sha256
+from judged group by doc_id
+"""
+
+SQL = {"op12_line_dedup": OP12, "op1_capture_index": OP1, "op2_parity_sketch_join": OP2, "op4_perfect_hash_dedup": OP4, "op9_fm_decontamination": OP9}
