@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, exact, language, lines, pii, secrets, similar, sql, suffixes, toxicity, warc
+from . import bpe, decontamination, exact, language, lines, phrases, pii, secrets, similar, sql, suffixes, toxicity, warc
 from ..session import work_path
 from .common import held_out
 
@@ -142,6 +142,11 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2,000 phrases of two and three words, from exact counts over every whole text."""
+    return phrases.collocations(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_capture_index": op1_capture_index,
     "op2_parity_sketch_join": op2_parity_sketch_join,
@@ -154,6 +159,7 @@ QUERIES: dict[str, Query] = {
     "op9_fm_decontamination": op9_fm_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
     "op12_line_dedup": op12_line_dedup,
+    "op13_phrase_mining": op13_phrase_mining,
 }
 
 #: DuckDB SQL of the queries that SQL can express.

@@ -103,4 +103,38 @@ select doc_id, count(*) as n_lines, count(*) filter (goes) as n_dropped,
 from judged group by doc_id
 """
 
-SQL = {"op12_line_dedup": OP12, "op1_capture_index": OP1, "op2_parity_sketch_join": OP2, "op4_perfect_hash_dedup": OP4, "op9_fm_decontamination": OP9}
+OP13 = r"""
+with pieces as (
+  select doc_id, coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents
+), words as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+), totals as (
+  select lang, cast(sum(len(w)) as bigint) as n from words group by lang
+), counts as materialized (
+  select lang, size, array_to_string(w[i:i + size - 1], ' ') as phrase, any_value(w[i:i + size - 1]) as p, count(*) as f
+  from words, (values (1), (2), (3)) s(size), unnest(range(1, len(w) - size + 2)) t(i)
+  group by 1, 2, 3 having count(*) >= 10
+), inner_of as (
+  select lang, phrase, max(f) as longer from (
+    select lang, f, unnest([array_to_string(p[1:2], ' '), array_to_string(p[2:3], ' ')]) as phrase from counts where size = 3
+  ) group by all
+), candidates as (
+  select c.*, unnest(range(1, size)) as k from counts c left join inner_of i using (lang, phrase)
+  where size = 3 or size = 2 and (longer is null or 100 * longer < 50 * f)
+), cuts as (
+  select c.lang, c.phrase, c.f as a, k, x.f as l, y.f as r,
+    cast(1000000 * cast(c.f as hugeint) * c.f // (cast(x.f as hugeint) * y.f) as bigint) as score
+  from candidates c
+  join counts x on x.lang = c.lang and x.phrase = array_to_string(c.p[1:k], ' ')
+  join counts y on y.lang = c.lang and y.phrase = array_to_string(c.p[k + 1:], ' ')
+), best as (
+  select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from best
+)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000
+"""
+
+SQL = {"op13_phrase_mining": OP13, "op12_line_dedup": OP12, "op1_capture_index": OP1, "op2_parity_sketch_join": OP2, "op4_perfect_hash_dedup": OP4, "op9_fm_decontamination": OP9}
