@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, exact, language, lines, phrases, pii, secrets, similar, sql, suffixes, toxicity, warc
+from . import bpe, decontamination, dialogues, exact, language, lines, phrases, pii, secrets, similar, sql, suffixes, toxicity, warc
 from ..session import work_path
 from .common import held_out
 
@@ -136,6 +136,34 @@ def op9_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """The turns of op11's contract: dropped, emptied, without sentence ends, told twice or given to the user, by a checksum."""
+    blank = F.lit(" ")
+    name = F.concat(F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"), F.coalesce(F.col("turn").cast("string"), blank))
+    kind, role, text = F.crc32(name.cast("binary")) % 20, F.coalesce("role", blank), F.coalesce("text", blank)
+    rows = turns.where(kind != 0).select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.array_repeat(F.lit(0), F.when(kind == 3, 2).otherwise(1))).alias("copy"),
+    )
+    return rows.drop("copy")
+
+
+def op11_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults, cheapest edits and repaired text."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    found = dialogues.repair(damaged(turns)).alias("r")
+    all_ids = turns.select("conv_id").distinct().alias("l")
+    return all_ids.join(found, F.col("l.conv_id").eqNullSafe(F.col("r.conv")), "left").select(
+        "l.conv_id",
+        *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in dialogues.RESULT],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text without the lines that a document with a smaller id holds too."""
     kept = lines.drop_repeated_lines(_documents(spark, sf_dir))
@@ -158,6 +186,7 @@ QUERIES: dict[str, Query] = {
     "op8_secret_ownership": op8_secret_ownership,
     "op9_fm_decontamination": op9_fm_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_dialogue_repair": op11_dialogue_repair,
     "op12_line_dedup": op12_line_dedup,
     "op13_phrase_mining": op13_phrase_mining,
 }

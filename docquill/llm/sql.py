@@ -137,4 +137,72 @@ with pieces as (
 select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000
 """
 
-SQL = {"op13_phrase_mining": OP13, "op12_line_dedup": OP12, "op1_capture_index": OP1, "op2_parity_sketch_join": OP2, "op4_perfect_hash_dedup": OP4, "op9_fm_decontamination": OP9}
+# The grammar as four states: 0 nothing yet, 1 after s, 2 after u, 3 after a. Least cost and audit per state, row by row.
+OP11 = r"""
+with recursive crc as (
+  select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, _: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end) order by i) as t
+  from range(256) r(i)
+), numbered as (
+  select *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(
+      coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''), lambda x: cast(ascii(x) as bigint))),
+    lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])), 4294967295) % 20 as kind
+  from conversations, crc
+), damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else coalesce(role, ' ') end as role,
+    case kind when 1 then '' when 2 then regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') else coalesce(text, ' ') end as text
+  from numbered, range(case kind when 0 then 0 when 3 then 2 else 1 end)
+), placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i,
+    regexp_replace(text, '[\x20\x09-\x0D]+$', '') as bare
+  from damaged
+), faulty as (
+  select *, substr(role, 1, 1) as initial, case when bare = '' then 'blank'
+      when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+      when right(bare, 1) not in ('.', '!', '?') then 'truncated' end as fault,
+    lag(substr(role, 1, 1)) over (partition by conv_id order by i) as before
+  from placed
+), numbers as (
+  select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+    count(*) filter (fault = 'truncated') as truncated,
+    count(*) filter (before is not null and before || initial not in ('su', 'ua', 'au')) as illegal
+  from faulty group by conv_id
+), inserted(p, q, ins, added) as (
+  values (0, 0, '', []), (1, 1, '', []), (2, 2, '', []), (3, 3, '', []), (0, 2, 'I', ['user:']), (1, 2, 'I', ['user:']),
+    (3, 2, 'I', ['user:']), (2, 3, 'I', ['assistant:']), (0, 3, 'II', ['user:', 'assistant:']),
+    (1, 3, 'II', ['user:', 'assistant:']), (3, 3, 'II', ['user:', 'assistant:']), (2, 2, 'II', ['assistant:', 'user:'])
+), walk as (
+  select conv_id, cast(0 as bigint) as i, 0 as state, cast(0 as bigint) as cost, '' as audit, cast([] as varchar[]) as lines
+  from numbers
+  union all
+  (select conv_id, i, state, cost, audit, lines from (
+    select w.conv_id, f.i, e.state, w.cost + 2 * length(s.ins) + e.cost as cost, w.audit || s.ins || e.edit as audit,
+      w.lines || s.added || e.line as lines
+    from walk w join faulty f on f.conv_id is not distinct from w.conv_id and f.i = w.i + 1
+    join inserted s on s.p = w.state,
+    lateral (
+      select 'D' as edit, s.q as state, 3 as cost, cast([] as varchar[]) as line
+      union all select 'K', case when f.initial = 's' then 1 when s.q = 2 then 3 else 2 end, case when f.fault = 'truncated' then 1 else 0 end,
+        [f.role || ':' || f.text]
+      where coalesce(f.fault, 'truncated') = 'truncated' and (f.initial = 's' and s.q = 0 or f.initial = 'u' and s.q <> 2 or f.initial = 'a' and s.q = 2)
+      union all select 'R', case when s.q = 2 then 3 else 2 end, case when f.fault = 'truncated' then 3 else 2 end,
+        [case when s.q = 2 then 'assistant' else 'user' end || ':' || f.text]
+      where coalesce(f.fault, 'truncated') = 'truncated' and f.initial <> case when s.q = 2 then 'a' else 'u' end
+    ) e
+  ) qualify row_number() over (partition by conv_id, state order by cost, audit) = 1)
+), closed as (
+  select w.conv_id, w.cost + 2 * length(ins) as cost, w.audit || ins as audit, w.lines || added as lines
+  from walk w join numbers n on n.conv_id is not distinct from w.conv_id and n.n = w.i join inserted s on s.p = w.state
+  where q = 3 or q = 0 and ins = ''
+  qualify row_number() over (partition by w.conv_id order by w.cost + 2 * length(ins), w.audit || ins) = 1
+), ids as (
+  select distinct conv_id from conversations
+)
+select ids.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(cost, 0) as cost, coalesce(audit, '') as audit,
+  sha256(coalesce(array_to_string(lines, chr(10)), '')) as repaired_sha256
+from ids left join numbers n on n.conv_id is not distinct from ids.conv_id left join closed c on c.conv_id is not distinct from ids.conv_id
+"""
+
+SQL = {"op11_dialogue_repair": OP11, "op13_phrase_mining": OP13, "op12_line_dedup": OP12, "op1_capture_index": OP1, "op2_parity_sketch_join": OP2, "op4_perfect_hash_dedup": OP4, "op9_fm_decontamination": OP9}
