@@ -4,12 +4,13 @@ Texts are read once: A-Z lower-cased, split at [.,;:!?\\x0A-\\x0D] into pieces a
 as numbers of a block's own dictionary, with the dictionary's words, counts and 64-bit hashes (of language and word). All later
 passes read numbers and hashes only.
 
-1. A sample of runs of words (share = sample_words / all words, so its size is bounded) proposes words and pairs at a lowered support.
-2. A full pass counts what they span exactly: the proposed phrases, and their negative border, i.e. phrases not proposed all of whose
-   parts are (pairs of proposed words, triples of proposed pairs). Words are counted in any case.
-3. Where a border phrase turns out frequent, or a word that wasn't proposed, a further pass counts the border of all that is
-   frequent so far, without what earlier passes have counted. Passes end when none finds a frequent phrase outside the set
-   that its border was drawn from; phrases of three words make that three passes at most.
+1. Words are counted exactly from the blocks' dictionaries. A sample of runs of words (share = sample_words / all words, so its
+   size is bounded) proposes pairs at a lowered support.
+2. A full pass counts the proposed pairs and the negative border, i.e. phrases not proposed all of whose parts are proposed
+   or known: the other pairs of frequent words, and the triples of proposed pairs.
+3. Where a border pair turns out frequent, a further pass counts the triples of all pairs that are frequent so far, without those
+   that earlier passes have counted. Passes end when none finds a frequent phrase outside the set that its border was
+   drawn from; with phrases of three words that is the second at the latest.
 
 A set of proposed or frequent phrases reaches the tasks as a bit array over hashes, 16 bits to a member and 16 MB at most. A false
 member only means that a phrase too many is counted, so counts are exact whatever fits. Phrases are known by
@@ -35,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import pieces, settled, size_of, small
+from .common import batch_bytes, pieces, settled, size_of, small
 
 #: Words of a block, and bits of a member in a bit array and of the whole array at most (as powers of two).
 BLOCK, MEMBER_BITS, MOST_BITS = 1 << 20, 4, 27
@@ -63,8 +64,8 @@ def _words(texts: pa.Array) -> tuple[pa.StringArray, np.ndarray]:
     begins[first] = inside[first]
     at = np.flatnonzero(begins)
     # The piece of a word: separators and texts begun up to its place.
-    piece = np.cumsum(kind == 2)[at] + np.searchsorted(edges, at, side="right")
-    before = np.cumsum(inside)[at] - 1
+    piece = np.cumsum(kind == 2, dtype=np.int32)[at] + np.searchsorted(edges, at, side="right")
+    before = np.cumsum(inside, dtype=np.int32)[at] - 1
     ends = np.append(before, inside.sum()).astype(np.int32)
     words = pa.StringArray.from_buffers(len(at), pa.py_buffer(ends), pa.py_buffer(data[inside]))
     goes_on = np.zeros(len(at), bool)
@@ -169,16 +170,15 @@ def _each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray,
 
 
 def propose(encoded: DataFrame, share: float, support: int, run_length: int = 1000) -> DataFrame:
-    """Words (b null) and pairs that have the support in a sample of that share of all runs of words."""
+    """Pairs that have the support in a sample of that share of all runs of words."""
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for codes, starts, hashes in _each_block(batches):
             runs = -(-starts // run_length)
             drawn = np.random.default_rng(xxhash.xxh3_64_intdigest(codes.tobytes())).random(runs) < share
             taken = np.repeat(drawn, run_length)[:starts]
-            one = np.flatnonzero((codes[:starts] >= 0) & taken)
-            yield _counted(codes, hashes, 1, one)
-            two = one[one < len(codes) - 1]
+            two = np.flatnonzero((codes[:starts] >= 0) & taken)
+            two = two[two < len(codes) - 1]
             yield _counted(codes, hashes, 2, two[codes[two + 1] >= 0])
 
     counts = encoded.select("codes", "starts", "hashes").mapInArrow(draw, _COUNTS)
@@ -225,33 +225,34 @@ def _dictionary(encoded: DataFrame) -> DataFrame:
 def frequent(
     docs: DataFrame, text: str = "text", lang: str = "lang", least: int = 10, sample_words: int = 1_000_000, block: int = BLOCK, seeds: int = 8
 ) -> tuple[DataFrame, DataFrame, DataFrame, list[int]]:
-    """The blocks; the frequent words (a, n); the frequent pairs and triples (a, b, c, n; c null for pairs); and what each
-    pass found frequent outside the set that its border was drawn from."""
-    for seed in range(seeds):
-        encoded = encode(docs, text, lang, seed, block)
-        other = F.xxhash64("lang", "word")
-        counts = _dictionary(encoded).select("a", "n", other.alias("other")).groupBy("a")
-        words = settled(counts.agg(F.sum("n").alias("n"), F.min("other").alias("x"), F.max("other").alias("y")).where((F.col("n") >= least) | (F.col("x") != F.col("y"))), "frequent")
-        if words.where("x <> y").isEmpty():
-            break
-    else:
-        raise ValueError("different words had one hash under every seed")
-    total = encoded.agg(F.coalesce(F.sum("starts"), F.lit(0))).first()[0]
-    share = min(1.0, sample_words / max(total, 1))
-    proposed = propose(encoded, share, max(1, int(0.8 * least * share)) if share < 1 else least)
-    base_words, base_pairs = proposed.where("b is null").select("a"), proposed.where("b is not null").select("a", "b")
-    words = words.where(F.col("n") >= least).select("a", "n")
-    found, borders, failures = None, [], []
-    while True:
-        border = (Members.of(base_words, F.col("a")), Members.of(base_pairs, _pair_key()))
-        more = settled(count_border(encoded, border, borders).where(F.col("n") >= least), "counted")
-        found = more if found is None else found.unionByName(more)
-        borders.append(border)
-        pairs = found.where("c is null").select("a", "b")
-        failures.append(words.join(base_words, "a", "left_anti").count() + pairs.join(base_pairs, ["a", "b"], "left_anti").count())
-        if not failures[-1]:
-            return encoded, words, found, failures
-        base_words, base_pairs = words.select("a"), pairs
+    """The blocks; the frequent words (a, n); the frequent pairs and triples (a, b, c, n; c null for pairs); and how many
+    pairs each pass found frequent outside the set that its border was drawn from."""
+    with batch_bytes(docs.sparkSession):
+        for seed in range(seeds):
+            encoded = encode(docs, text, lang, seed, block)
+            counts = _dictionary(encoded).select("a", "n", F.xxhash64("lang", "word").alias("other")).groupBy("a")
+            words = counts.agg(F.sum("n").alias("n"), F.min("other").alias("x"), F.max("other").alias("y"))
+            words = settled(words.where((F.col("n") >= least) | (F.col("x") != F.col("y"))), "frequent")
+            if words.where("x <> y").isEmpty():
+                break
+        else:
+            raise ValueError("different words had one hash under every seed")
+        words = words.where(F.col("n") >= least).select("a", "n")
+        known = Members.of(words, F.col("a"))
+        total = encoded.agg(F.coalesce(F.sum("starts"), F.lit(0))).first()[0]
+        share = min(1.0, sample_words / max(total, 1))
+        base = propose(encoded, share, max(1, int(0.8 * least * share)) if share < 1 else least)
+        found, borders, failures = None, [], []
+        while True:
+            border = (known, Members.of(base, _pair_key()))
+            more = settled(count_border(encoded, border, borders).where(F.col("n") >= least), "counted")
+            found = more if found is None else found.unionByName(more)
+            borders.append(border)
+            pairs = found.where("c is null").select("a", "b")
+            failures.append(pairs.join(base, ["a", "b"], "left_anti").count())
+            if not failures[-1]:
+                return encoded, words, found, failures
+            base = pairs
 
 
 def _told(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:

@@ -59,7 +59,7 @@ def test_border_failures_are_counted_by_further_passes(spark):
     df = spark.createDataFrame(some_rows(), "lang string, text string")
     assert phrases.frequent(df)[3] == [0]
     failures = phrases.frequent(df, sample_words=0)[3]
-    assert len(failures) == 3 and failures[0] > 0 and failures[1] > 0 and failures[2] == 0
+    assert len(failures) == 2 and failures[0] > 0 and failures[1] == 0
 
 
 def test_first_places_and_large_sides(spark, monkeypatch):
