@@ -27,8 +27,8 @@ from pyspark.sql import types as T
 
 from .common import pieces
 
-#: Entries of a task's memory of pieces, after which it starts anew, and the longest piece that it keeps.
-MEMORY, LONGEST = 60_000, 64
+#: Entries of a worker's memory of pieces, after which it starts anew, and the longest piece that it keeps.
+MEMORY, LONGEST = 400_000, 64
 #: Text bytes encoded at a time: their pieces are Python objects, some ten times as large.
 BATCH_BYTES = 1 << 20
 
@@ -92,6 +92,12 @@ class Encoder:
         return [b"".join(map(known.__getitem__, parts)) for parts in split]
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str, pattern: str) -> Encoder:
+    """A worker's encoder: its memory of pieces outlives a task."""
+    return Encoder(path, pattern)
+
+
 def char_offsets(text: str, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and end character of each token, given the tokens' lengths in bytes.
 
@@ -117,7 +123,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", keep: lis
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = Encoder(path, pattern)
+        encoder = _encoder(path, pattern)
         widths = np.array([len(b) for b in token_bytes(path)]) if offsets else None
         for batch in pieces(batches, "_text", BATCH_BYTES):
             texts = batch.column("_text").to_pylist()
