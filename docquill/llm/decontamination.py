@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 
 from .common import Bits, pieces, text_of
 
-#: Text of the test set that one pass over the documents takes: what each task holds of it.
-BLOCK_BYTES = 16 << 20
+#: Text of the test set that one pass over the documents takes. A task holds its windows, some 70 times as large.
+BLOCK_BYTES = 1 << 20
 #: Every so many positions the suffix array is kept.
 SAMPLE = 16
 
@@ -212,8 +212,12 @@ def find_overlaps(
     item_text: str = "text",
     width: int = 10,
     block_bytes: int = BLOCK_BYTES,
+    with_text: bool = False,
 ) -> DataFrame:
-    """The columns `keep` with n_words long, spans array<int> (flat word spans) and items array<string>, one row per document."""
+    """The columns `keep` with n_words long, spans array<int> (flat word spans) and items array<string>, one row per document.
+
+    with_text: the text comes along as `_text`, empty where it is null; it is sent once.
+    """
     spark, keep = docs.sparkSession, keep or []
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), text_of(item_text).alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
@@ -229,8 +233,9 @@ def find_overlaps(
         part = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
         # At most about block_bytes, whatever the test set's size.
         phrases = spark.sparkContext.broadcast(Phrases([(r.item, r.text.encode()) for r in part.toLocalIterator()], width))
-        rows = _pass(rows, phrases, keep, block == blocks - 1)
-    return rows.select(*keep, F.col("_n").alias("n_words"), F.col("_spans").alias("spans"), F.col("_items").alias("items"))
+        rows = _pass(rows, phrases, keep, block == blocks - 1 and not with_text)
+    read = [F.col("_text").cast("string").alias("_text")] if with_text else []
+    return rows.select(*keep, *read, F.col("_n").alias("n_words"), F.col("_spans").alias("spans"), F.col("_items").alias("items"))
 
 
 def _pass(rows: DataFrame, phrases, keep: list[str], last: bool) -> DataFrame:

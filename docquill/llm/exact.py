@@ -177,18 +177,20 @@ def decide(rows: DataFrame, history: tuple[DataFrame, int] | None = None) -> Dat
 
 def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The documents that stay, all their columns; of rows repeated with one id, length and text, one."""
+    # The row's own columns are carried in one, so that no name of theirs is lost.
     own = ["_id", "_digest", "_chars"]
     decided = decide(digests(docs, text, key))
     keys = decided.groupBy(F.col("id").alias("_id"), F.col("digest").alias("_digest"), F.col("chars").alias("_chars"))
     keys = settled(keys.agg(F.max("kept").alias("_stays"), F.count("*").alias("_n")).where("not _stays or _n > 1"), "dropped")
-    tagged = docs.withColumns({"_id": F.col(key).cast("long"), "_digest": digest(text), "_chars": F.length(text_of(text)).cast("long")})
+    marks = [F.col(key).cast("long").alias("_id"), digest(text).alias("_digest"), F.length(text_of(text)).cast("long").alias("_chars")]
+    tagged = docs.select(F.struct("*").alias("_row"), *marks)
 
     def joined(rows: DataFrame, how: str) -> DataFrame:
         left, right = tagged.alias("l"), small(rows).alias("r")
         return left.join(right, [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in own], how)
 
-    rest = joined(keys, "left_anti").select(docs.columns)
+    rest = joined(keys, "left_anti").select("_row.*")
     again = keys.where("_stays")
     if again.isEmpty():
         return rest
-    return rest.unionByName(joined(again, "left_semi").dropDuplicates(own).select(docs.columns))
+    return rest.unionByName(joined(again, "left_semi").dropDuplicates(own).select("_row.*"))

@@ -163,12 +163,15 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", max_rows: int
     return Model(languages, idf, centroids, owner, slack * float(near[len(near) // 1000]))
 
 
-def identify(df: DataFrame, model: Model, text: str = "text", keep: list[str | Column] | None = None) -> DataFrame:
-    """The columns `keep` with lang_pred, score (0 to 1), cosine (of the nearest centroid) and rejected."""
+def identify(df: DataFrame, model: Model, text: str = "text", keep: list[str | Column] | None = None, with_text: bool = False) -> DataFrame:
+    """The columns `keep` with lang_pred, score (0 to 1), cosine (of the nearest centroid) and rejected.
+
+    with_text: the text comes along as `_text`; it is sent once.
+    """
     chosen = df.select(*(keep or []), F.col(text).alias("_text"))
     # A kept column may bear the text's name too.
-    names = chosen.columns[:-1]
-    schema = T.StructType(chosen.schema.fields[:-1])
+    names = chosen.columns if with_text else chosen.columns[:-1]
+    schema = T.StructType(chosen.schema.fields[: len(names)])
     schema.add("lang_pred", T.StringType()).add("score", T.DoubleType()).add("cosine", T.DoubleType()).add("rejected", T.BooleanType())
     shared = df.sparkSession.sparkContext.broadcast(model)
 

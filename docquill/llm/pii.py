@@ -76,7 +76,7 @@ def _emails(text: str) -> Iterator[Span]:
 def base_spans(text: str) -> list[Span]:
     """The base spans, by kind as listed, then start."""
     out = list(_emails(text))
-    out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+    out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p := part.lstrip("0")) <= 3 and int(p or 0) <= 255 for part in m[0].split("."))]
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 13 and 13 <= len(d := _digits(m[0])) <= 19 and luhn(d):
             out.append(("card", *m.span()))

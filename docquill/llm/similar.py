@@ -336,13 +336,14 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     best = settled(best, "best")
     crowd = members.join(small(best), "root").withColumn("stays", place == F.col("best"))
     keys = settled(crowd.groupBy(*own).agg(F.max("stays").alias("stays"), F.count("*").alias("n")).where("not stays or n > 1"), "dropped")
-    tagged = docs.withColumns({"_id": F.col(key).cast("long"), "_mark": F.xxhash64(text_of(text))})
+    # The row's own columns are carried in one, so that no name of theirs is lost.
+    tagged = docs.select(F.struct("*").alias("_row"), F.col(key).cast("long").alias("_id"), F.xxhash64(text_of(text)).alias("_mark"))
 
     def joined(rows: DataFrame, how: str) -> DataFrame:
         return tagged.alias("l").join(small(rows).alias("r"), [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in own], how)
 
-    rest = joined(keys, "left_anti").select(docs.columns)
+    rest = joined(keys, "left_anti").select("_row.*")
     again = keys.where("stays")
     if again.isEmpty():
         return rest
-    return rest.unionByName(joined(again, "left_semi").dropDuplicates(own).select(docs.columns))
+    return rest.unionByName(joined(again, "left_semi").dropDuplicates(own).select("_row.*"))

@@ -60,3 +60,9 @@ def test_digest_and_empty_table(spark):
     assert exact.digests(df).first().digest == bytearray(hashlib.sha256("éß".encode()).digest())
     assert exact.decide(exact.digests(df.limit(0))).count() == 0
     assert exact.keep_first(df.limit(0)).count() == 0
+
+
+def test_columns_with_the_operators_own_names_are_kept(spark):
+    df = spark.createDataFrame([(1, "a b", "x", 7, "d", 1.5), (2, "ab", "y", 8, "e", 2.5), (3, "c", "z", 9, "f", 3.5)], "doc_id long, text string, _id string, _chars int, _digest string, `_row` double")
+    assert sorted(tuple(r) for r in exact.keep_first(df).collect()) == [(1, "a b", "x", 7, "d", 1.5), (3, "c", "z", 9, "f", 3.5)]
+    assert exact.keep_first(df).columns == df.columns

@@ -81,3 +81,9 @@ def test_nulls_repeats_and_clashing_names(spark):
     rows = pii.find_pii(df, keep=["doc_id"], masked=True).collect()
     assert sorted((r.doc_id or 0, len(r.found), r.masked) for r in rows) == [(0, 0, "x"), (1, 0, ""), (2, 0, ""), (3, 1, "[EMAIL]"), (3, 1, "[EMAIL]")]
     assert pii.find_pii(df.limit(0)).count() == 0
+
+
+def test_very_long_numbers_with_leading_zeros():
+    for text in ("0" * 5000 + "1.1.1.1", "1.1.1." + "0" * 9000, "9" * 5000 + ".1.1.1"):
+        ips = [s for s in pii.find_spans(text) if s[0] == "ip" and not s[3]]
+        assert ips == ([] if text[0] == "9" else [("ip", 0, len(text), False)])

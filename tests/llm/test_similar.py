@@ -102,3 +102,9 @@ def test_one_of_each_group_stays(spark):
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, None), (2, ""), (3, long + " x"), (4, "One two"), (9, "other words that are all alone here")]
     nameless = spark.createDataFrame([(None, long), (None, long + " x"), (None, "a b")], "doc_id long, text string")
     assert similar.keep_one(nameless).count() == 2
+
+
+def test_columns_with_the_operators_own_names_are_kept(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    df = spark.createDataFrame([(1, text, "x", 7), (2, text, "y", 8), (3, "c", "z", 9)], "doc_id long, text string, _id string, _mark int")
+    assert sorted((r.doc_id, r._id, r._mark) for r in similar.keep_one(df).collect()) == [(1, "x", 7), (3, "z", 9)]
