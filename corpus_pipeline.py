@@ -19,15 +19,31 @@ from docquill.session import work_path
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _whole(docs: DataFrame) -> DataFrame:
-    """Rows as one column beside the text, so that no column of theirs clashes with an operator's."""
-    return docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").alias("_read"))
+#: Bytes of an Arrow batch: a batch of many long texts would else take much of an executor.
+BATCH_BYTES = 8 << 20
+
+
+def _bounded(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def _apart(docs: DataFrame) -> DataFrame:
+    """All columns but the text in one, so that none of theirs clashes with an operator's, and the text."""
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    return docs.select(F.struct(rest.alias("own"), F.col("text").isNull().alias("none")).alias("_row"), F.col("text").alias("_read"))
+
+
+def _together(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of docs from `_row` and `_text`."""
+    text = F.when(~F.col("_row.none"), F.col("_text")).alias("text")
+    return rows.select(*[text if c == "text" else F.col("_row.own")[c].alias(c) for c in docs.columns])
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language of the collection; those too far from all of them go."""
+    _bounded(spark)
     model = language.fit(docs.where(~held_out()))
-    return language.identify(_whole(docs), model, text="_read", keep=["_row"]).where("not rejected").select("_row.*")
+    return _together(language.identify(_apart(docs), model, text="_read", keep=["_row"], with_text=True).where("not rejected"), docs)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,18 +53,21 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that similarity links: that with the smallest id."""
+    _bounded(spark)
     return similar.keep_one(docs)
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontamination.find_overlaps(_whole(docs), benchmark, text="_read", keep=["_row"])
-    return found.where(F.size("spans") == 0).select("_row.*")
+    _bounded(spark)
+    found = decontamination.find_overlaps(_apart(docs), benchmark, text="_read", keep=["_row"], with_text=True)
+    return _together(found.where(F.size("spans") == 0), docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, and the text that they decode to."""
+    _bounded(spark)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     own = ["doc_id", "lang", "source"]
     coded = bpe.encode(docs.select(*own, "text"), path, public_tokenizers.PATTERN, keep=own)
