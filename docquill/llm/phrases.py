@@ -16,7 +16,8 @@ A set of proposed or frequent phrases reaches the tasks as a bit array over hash
 member only means that a phrase too many is counted, so counts are exact whatever fits. Phrases are known by
 the hashes of their words; two words with one hash are detected and the run is repeated with another seed.
 
-Phrases are counted within blocks, then within tasks, then after the shuffle; tables with each phrase's parts are joined on their
+A pass counts short keys of phrases first and then, by their words, only the phrases whose key is frequent. Both are counted within
+blocks, then within tasks, then after the shuffle; tables with each phrase's parts are joined on their
 words with hot words salted; the first ranks are taken per share of a language, then per language. So neither a common
 word or phrase nor a language with most documents meets in one task.
 
@@ -36,10 +37,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch_bytes, pieces, settled, size_of, small
+from .common import batch_bytes, mixed, pieces, settled, size_of, small
 
 #: Words of a block, and bits of a member in a bit array and of the whole array at most (as powers of two).
 BLOCK, MEMBER_BITS, MOST_BITS = 1 << 20, 4, 27
+#: Bits of the keys that phrases are first counted by.
+KEY_BITS = 40
 #: A word that more phrases than this have is salted into parts of so many; parts of a language for ranking.
 HOT, PARTS = 100_000, 64
 
@@ -147,7 +150,7 @@ def _pair_key() -> Column:
     return F.col("a").bitwiseXOR(F.shiftleft("b", 1).bitwiseOR(F.shiftrightunsigned("b", 63)))
 
 
-def _counted(codes: np.ndarray, hashes: np.ndarray, width: int, here: np.ndarray) -> pa.RecordBatch:
+def _distinct(codes: np.ndarray, hashes: np.ndarray, width: int, here: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Distinct phrases that begin at the places, by the hashes of their words, with their counts."""
     n = np.int64(len(hashes))
     key = codes[here].astype(np.int64)
@@ -157,9 +160,21 @@ def _counted(codes: np.ndarray, hashes: np.ndarray, width: int, here: np.ndarray
     columns = []
     for _ in range(width):
         found, last = np.divmod(found, n)
-        columns.insert(0, pa.array(hashes[last].view(np.int64)))
-    columns += [pa.nulls(len(count), pa.int64())] * (3 - width)
-    return pa.RecordBatch.from_arrays([*columns, pa.array(count)], ["a", "b", "c", "n"])
+        columns.insert(0, hashes[last])
+    return columns, count
+
+
+def _rows(columns: list[np.ndarray], count: np.ndarray) -> pa.RecordBatch:
+    none = [pa.nulls(len(count), pa.int64())] * (3 - len(columns))
+    return pa.RecordBatch.from_arrays([*(pa.array(c.view(np.int64)) for c in columns), *none, pa.array(count)], ["a", "b", "c", "n"])
+
+
+def _key(columns: list[np.ndarray]) -> np.ndarray:
+    """The first KEY_BITS bits of a hash of the phrase, last bits empty."""
+    out = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        out = mixed(out + c)
+    return out >> np.uint64(64 - KEY_BITS) << np.uint64(64 - KEY_BITS)
 
 
 def _each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
@@ -179,7 +194,7 @@ def propose(encoded: DataFrame, share: float, support: int, run_length: int = 10
             taken = np.repeat(drawn, run_length)[:starts]
             two = np.flatnonzero((codes[:starts] >= 0) & taken)
             two = two[two < len(codes) - 1]
-            yield _counted(codes, hashes, 2, two[codes[two + 1] >= 0])
+            yield _rows(*_distinct(codes, hashes, 2, two[codes[two + 1] >= 0]))
 
     counts = encoded.select("codes", "starts", "hashes").mapInArrow(draw, _COUNTS)
     return settled(counts.groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= support), "proposed")
@@ -196,25 +211,44 @@ def _within(border: Border, codes: np.ndarray, hashes: np.ndarray) -> tuple[np.n
     return known[a] & known[b], pairs.has(_pair_hash(hashes[a], hashes[b]))
 
 
-def count_border(encoded: DataFrame, border: Border, before: list[Border]) -> DataFrame:
-    """Exact counts of all pairs of member words and all triples of member pairs that no border before covers."""
+def count_border(encoded: DataFrame, border: Border, before: list[Border], least: int) -> DataFrame:
+    """Exact counts of those pairs of member words and triples of member pairs that occur `least` times, but for what a
+    border before covers.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for codes, starts, hashes in _each_block(batches):
-            if len(codes) < 2:
-                continue
-            valid = (codes[:-1] >= 0) & (codes[1:] >= 0)
-            two, pair = _within(border, codes, hashes)
-            three = (pair & valid)[:-1] & (pair & valid)[1:]
-            for old in before:
-                seen, seen_pair = _within(old, codes, hashes)
-                two &= ~seen
-                three &= ~(seen_pair[:-1] & seen_pair[1:])
-            for width, here in ((2, two & valid), (3, three)):
-                yield _counted(codes, hashes, width, np.flatnonzero(here[:starts]))
-
-    counts = encoded.select("codes", "starts", "hashes").mapInArrow(run, _COUNTS)
-    return counts.groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
+    Most phrases are rare, and a row that names three words is large. So short keys are counted first. A key that phrases share
+    counts for all of them, so no frequent phrase is missed; phrases of frequent keys are then counted by their words.
+    """
+
+    def phrases(codes: np.ndarray, starts: int, hashes: np.ndarray) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+        if len(codes) < 2:
+            return
+        valid = (codes[:-1] >= 0) & (codes[1:] >= 0)
+        two, pair = _within(border, codes, hashes)
+        three = (pair & valid)[:-1] & (pair & valid)[1:]
+        for old in before:
+            seen, seen_pair = _within(old, codes, hashes)
+            two &= ~seen
+            three &= ~(seen_pair[:-1] & seen_pair[1:])
+        for width, here in ((2, two & valid), (3, three)):
+            yield _distinct(codes, hashes, width, np.flatnonzero(here[:starts]))
+
+    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _each_block(batches):
+            for columns, count in phrases(*block):
+                yield pa.RecordBatch.from_arrays([pa.array((_key(columns) >> np.uint64(64 - KEY_BITS)).view(np.int64)), pa.array(count)], ["key", "n"])
+
+    blocks = encoded.select("codes", "starts", "hashes")
+    keys = blocks.mapInArrow(short, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    often = Members.of(settled(keys, "keys"), F.shiftleft("key", 64 - KEY_BITS))
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _each_block(batches):
+            for columns, count in phrases(*block):
+                kept = often.has(_key(columns))
+                yield _rows([c[kept] for c in columns], count[kept])
+
+    counts = blocks.mapInArrow(whole, _COUNTS).groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
+    return settled(counts.where(F.col("n") >= least), "counted")
 
 
 def _dictionary(encoded: DataFrame) -> DataFrame:
@@ -225,27 +259,27 @@ def _dictionary(encoded: DataFrame) -> DataFrame:
 def frequent(
     docs: DataFrame, text: str = "text", lang: str = "lang", least: int = 10, sample_words: int = 1_000_000, block: int = BLOCK, seeds: int = 8
 ) -> tuple[DataFrame, DataFrame, DataFrame, list[int]]:
-    """The blocks; the frequent words (a, n); the frequent pairs and triples (a, b, c, n; c null for pairs); and how many
-    pairs each pass found frequent outside the set that its border was drawn from."""
+    """The blocks; the frequent words (a, n, lang, word); the frequent pairs and triples (a, b, c, n; c null for pairs); and how
+    many pairs each pass found frequent outside the set that its border was drawn from."""
     with batch_bytes(docs.sparkSession):
         for seed in range(seeds):
             encoded = encode(docs, text, lang, seed, block)
-            counts = _dictionary(encoded).select("a", "n", F.xxhash64("lang", "word").alias("other")).groupBy("a")
-            words = counts.agg(F.sum("n").alias("n"), F.min("other").alias("x"), F.max("other").alias("y"))
-            words = settled(words.where((F.col("n") >= least) | (F.col("x") != F.col("y"))), "frequent")
-            if words.where("x <> y").isEmpty():
+            each = _dictionary(encoded)
+            often = settled(each.groupBy("a").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "often")
+            words = _told(each.select("lang", "a", "word"), often, ["a"]).groupBy("a", "n", "lang", "word").count().drop("count")
+            words = settled(words, "frequent")
+            if words.count() == often.count():
                 break
         else:
             raise ValueError("different words had one hash under every seed")
-        words = words.where(F.col("n") >= least).select("a", "n")
-        known = Members.of(words, F.col("a"))
+        known = Members.of(often, F.col("a"))
         total = encoded.agg(F.coalesce(F.sum("starts"), F.lit(0))).first()[0]
         share = min(1.0, sample_words / max(total, 1))
         base = propose(encoded, share, max(1, int(0.8 * least * share)) if share < 1 else least)
         found, borders, failures = None, [], []
         while True:
             border = (known, Members.of(base, _pair_key()))
-            more = settled(count_border(encoded, border, borders).where(F.col("n") >= least), "counted")
+            more = count_border(encoded, border, borders, least)
             found = more if found is None else found.unionByName(more)
             borders.append(border)
             pairs = found.where("c is null").select("a", "b")
@@ -288,11 +322,9 @@ def collocations(
     longer one with at least half their count are left out.
     """
     encoded, words, found, _ = frequent(docs, text, lang, least, sample_words, block)
-    strings = _told(_dictionary(encoded).select("lang", "a", "word"), words, ["a"]).groupBy("a", "n", "lang", "word").count().drop("count")
-    strings = settled(strings, "dictionary")
     pairs = found.where("c is null").select("a", "b", F.col("n").alias("f"))
-    first = _named(strings, n="f1", word="w1")
-    last = strings.select(F.col("a").alias("b"), F.col("n").alias("f2"), F.col("word").alias("w2"))
+    first = _named(words, n="f1", word="w1")
+    last = words.select(F.col("a").alias("b"), F.col("n").alias("f2"), F.col("word").alias("w2"))
     pairs = settled(_told(_told(pairs, first, ["a"]), last, ["b"]), "pairs")
     triples = found.where("c is not null").select("a", "b", "c", F.col("n").alias("f"))
     head = pairs.select("a", "b", "lang", F.col("f").alias("f12"), "f1", "w1", "w2")
