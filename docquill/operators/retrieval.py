@@ -4,43 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-import numpy as np
-import pandas as pd
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import contains_any, is_blank, ratio, strip, tokens, word_count
 from ..session import shared_dir
+from .cells import VectorIndex, build_vector_index, dense_index_topk
 from .drift import is_keyword
-from .topk import Scorer, Size, add_carried, best_k, measure, ranks_of
+from .lexical import TextIndex, build_text_index, fused_topk, lexical_topk
+from .sizes import settle
 
-# BM25 and rank fusion constants, the score a passage must exceed.
-BM25_K1 = 1.2
-BM25_B = 0.75
+# The rank fusion constant, the score a passage must exceed.
 FUSION_OFFSET = 60
 SCORE_CUT = 0.35
-FUSION_DEPTH = 50
-QUERY_TILE = 256
-ROW_TILE = 256
-
-
-def _vectors(column: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in column])
 
 
-def _dense_scorer(qvec: str, cvec: str) -> Scorer:
-    def prepare(rows: pd.DataFrame) -> np.ndarray:
-        return _vectors(rows[qvec]) if len(rows) else np.empty((0, 0))
-
-    def score(vectors: np.ndarray, rows: pd.DataFrame):
-        c = _vectors(rows[cvec])
-        norms = (c * c).sum(1)[None, :]
-        for at in range(0, len(vectors), QUERY_TILE):
-            q = vectors[at : at + QUERY_TILE]
-            d2 = (q * q).sum(1)[:, None] + norms - 2.0 * (q @ c.T)
-            yield at, slice(None), 1.0 / (1.0 + np.maximum(d2, 0.0))
-
-    return Scorer(prepare, score)
+def add_carried(hits: DataFrame, corpus: DataFrame, qid: str, cid: str, carry: list[str] | None) -> DataFrame:
+    """Hits with columns of their rows; broadcast if they are measured and few."""
+    if not carry:
+        return hits
+    return corpus.select(cid, *carry).join(settle(hits), cid).select(qid, cid, "score", "rank", *carry)
 
 
 def dense_topk(
@@ -51,102 +36,11 @@ def dense_topk(
     cid: str = "chunk_id",
     vector: str = "embedding",
     carry: list[str] | None = None,
-    size: Size | None = None,
+    index: VectorIndex | None = None,
 ) -> DataFrame:
-    """The k nearest rows per query vector; score is 1 / (1 + squared distance)."""
-    asked, rows, scorer = _dense_side(queries, corpus, qid, cid, vector)
-    return best_k(asked, rows, k, scorer, qid, cid, size or measure(asked, F.size(vector) * 8), carry, corpus)
-
-
-def _dense_side(queries: DataFrame, corpus: DataFrame, qid: str, cid: str, vector: str) -> tuple[DataFrame, DataFrame, Scorer]:
-    """Questions and rows that have a vector, and their scorer."""
-    known = F.col(vector).isNotNull()
-    return queries.select(qid, vector).filter(known), corpus.select(cid, vector).filter(known), _dense_scorer(vector, vector)
-
-
-def query_terms(
-    queries: DataFrame, corpus: DataFrame, qid: str, qtext: str, ctext: str, small: bool = False
-) -> DataFrame:
-    """Per query: its distinct terms that occur in the corpus, with idf, and the mean length.
-
-    One pass over the corpus. Terms are counted per task before the shuffle, so
-    a term that is in every document is one row per task. The empty term stands
-    for "any document". `small` tells that the questions may be broadcast.
-    """
-    shared_dir(corpus.sparkSession)
-    asked = queries.select(qid, F.explode(F.array_distinct(tokens(F.col(qtext)))).alias("term"))
-    terms = asked.select("term").unionByName(asked.sparkSession.createDataFrame([("",)], "term string")).distinct()
-    # The length is taken before the explode, which then carries one number per row.
-    docs = corpus.filter(F.col(ctext).isNotNull()).select(tokens(F.col(ctext)).alias("toks"))
-    docs = docs.select(F.size("toks").alias("dl"), F.array_append(F.array_distinct("toks"), "").alias("terms"))
-    # No list is empty; the outer form keeps the optimizer from testing that by splitting the text once more.
-    per_doc = docs.select("dl", F.explode_outer("terms").alias("term"))
-    if small:
-        per_doc = per_doc.join(F.broadcast(terms), "term", "left_semi")
-    counts = per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("dl").alias("length"))
-    if not small:
-        counts = counts.join(terms, "term", "left_semi")
-    # Kept, as the counts and the totals in them are used side by side.
-    counts = counts.checkpoint()
-    every = counts.filter("term = ''")
-    n, total = every.select("df").scalar(), every.select("length").scalar()
-    df = F.col("df")
-    return (
-        asked.join(F.broadcast(counts) if small else counts, "term")
-        .withColumn("idf", F.ln(1 + (n - df + 0.5) / (df + 0.5)))
-        .groupBy(qid)
-        .agg(
-            F.collect_list("term").alias("terms"),
-            F.collect_list("idf").alias("idfs"),
-            F.max(ratio(total, n)).alias("mean_length"),
-        )
-    )
-
-
-def _bm25_scorer(ctokens: str) -> Scorer:
-    def prepare(rows: pd.DataFrame) -> tuple:
-        """Postings of the terms: term -> number, and per term its queries and idf, end to end."""
-        n_terms = rows["terms"].map(len).to_numpy(dtype=np.int64) if len(rows) else np.empty(0, dtype=np.int64)
-        terms = np.concatenate([*rows["terms"], np.empty(0, dtype=object)]).astype(object)
-        idfs = np.concatenate([*rows["idfs"], np.empty(0)])
-        vocab = {t: i for i, t in enumerate(dict.fromkeys(terms))}
-        numbers = np.array([vocab[t] for t in terms], dtype=np.int64)
-        order = np.argsort(numbers, kind="stable")
-        starts = np.searchsorted(numbers[order], np.arange(len(vocab) + 1))
-        queries = np.repeat(np.arange(len(rows)), n_terms)[order]
-        mean = float(rows["mean_length"].iloc[0]) if len(rows) else 1.0
-        return vocab, starts, queries, idfs[order], mean, len(rows)
-
-    def tile_scores(ready: tuple, texts: np.ndarray) -> np.ndarray:
-        vocab, starts, queries, idfs, mean, n = ready
-        doc, term, tf = [], [], []
-        for i, toks in enumerate(texts):
-            counts: dict[int, int] = {}
-            for t in toks:
-                number = vocab.get(t)
-                if number is not None:
-                    counts[number] = counts.get(number, 0) + 1
-            doc.extend([i] * len(counts))
-            term.extend(counts)
-            tf.extend(counts.values())
-        doc, term, tf = (np.array(x, dtype=np.int64) for x in (doc, term, tf))
-        norm = BM25_K1 * (1 - BM25_B + BM25_B * np.array([len(t) for t in texts]) / mean)
-        weight = tf * (BM25_K1 + 1) / (tf + norm[doc])
-        # Each (document, term) meets the queries of the term.
-        size = starts[term + 1] - starts[term]
-        pair = np.repeat(np.arange(len(term)), size)
-        at = starts[term][pair] + np.arange(len(pair)) - np.repeat(np.cumsum(size) - size, size)
-        cell = queries[at] * len(texts) + doc[pair]
-        out = np.bincount(cell, idfs[at] * weight[pair], n * len(texts)).reshape(n, len(texts))
-        return np.where(out > 0, out, -np.inf)
-
-    def score(ready: tuple, rows: pd.DataFrame):
-        texts = rows[ctokens].to_numpy()
-        for at in range(0, len(texts), ROW_TILE):
-            part = slice(at, at + ROW_TILE)
-            yield 0, part, tile_scores(ready, texts[part])
-
-    return Scorer(prepare, score)
+    """The k nearest rows per query vector; score is 1 / (1 + squared distance). Exact, over an index of the corpus."""
+    index = index or build_vector_index(corpus, cid, vector)
+    return add_carried(dense_index_topk(index, queries, k, qid, vector), corpus, qid, cid, carry)
 
 
 def bm25_topk(
@@ -158,74 +52,56 @@ def bm25_topk(
     qtext: str = "question",
     ctext: str = "text",
     carry: list[str] | None = None,
-    size: Size | None = None,
+    index: TextIndex | None = None,
 ) -> DataFrame:
-    """The k best rows per question by BM25; rows without any of its terms are no hits."""
-    size = size or measure(queries, F.octet_length(qtext))
-    asked, rows, scorer = _lexical_side(queries, corpus, qid, cid, qtext, ctext, size)
-    return best_k(asked, rows, k, scorer, qid, cid, size, carry, corpus)
-
-
-def _lexical_side(
-    queries: DataFrame, corpus: DataFrame, qid: str, cid: str, qtext: str, ctext: str, size: Size
-) -> tuple[DataFrame, DataFrame, Scorer]:
-    """Questions as weighted terms, rows as tokens, and their scorer."""
-    rows = corpus.filter(F.col(ctext).isNotNull()).select(cid, tokens(F.col(ctext)).alias("_tokens"))
-    return query_terms(queries, corpus, qid, qtext, ctext, size.small), rows, _bm25_scorer("_tokens")
-
-
-def fuse_ranks(*rankings: DataFrame, k: int, qid: str = "query_id", cid: str = "chunk_id") -> DataFrame:
-    """Reciprocal rank fusion, scaled so that first place in two rankings scores 1."""
-    rows = rankings[0].select(qid, cid, "rank")
-    for other in rankings[1:]:
-        rows = rows.unionByName(other.select(qid, cid, "rank"))
-    scale = (FUSION_OFFSET + 1) / 2.0
-    fused = rows.groupBy(qid, cid).agg(
-        F.round(F.sum(F.lit(1.0) / (F.col("rank") + FUSION_OFFSET)) * scale, 9).alias("score")
-    )
-    order = Window.partitionBy(qid).orderBy(F.desc("score"), cid)
-    return fused.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    """The k best rows per question by BM25; rows without any of its terms are no hits. Exact, over an index of the corpus."""
+    index = index or build_text_index(corpus, cid, ctext)
+    return add_carried(lexical_topk(index, queries, k, qid, qtext), corpus, qid, cid, carry)
 
 
 def hybrid_topk(
     queries: DataFrame,
     corpus: DataFrame,
     k: int = 3,
-    depth: int = FUSION_DEPTH,
     qid: str = "query_id",
     cid: str = "chunk_id",
     vector: str = "embedding",
     qtext: str = "question",
     ctext: str = "text",
     carry: list[str] | None = None,
-    size: Size | None = None,
+    index: TextIndex | None = None,
 ) -> DataFrame:
-    """The k best rows by the whole dense and lexical rankings, fused.
+    """The k best rows by the whole dense and lexical rankings, fused; first place in both scores 1."""
+    index = index or build_text_index(corpus, cid, ctext, vector)
+    return add_carried(fused_topk(index, queries, k, FUSION_OFFSET, qid, qtext, vector), corpus, qid, cid, carry)
 
-    A row that is behind place 2 k + FUSION_OFFSET in both rankings scores less than the k-th of one of them
-    scores by that place alone. So the rows up to there in either are all that can come first; `depth` reads
-    deeper. Their places in the other ranking are counted, however deep they are.
-    """
-    depth = max(depth, 2 * k + FUSION_OFFSET)
-    size = size or measure(queries, F.size(vector) * 8 + F.octet_length(qtext))
-    shared_dir(corpus.sparkSession)
-    sides = (
-        _dense_side(queries, corpus, qid, cid, vector),
-        _lexical_side(queries, corpus, qid, cid, qtext, ctext, size),
-    )
-    tops = [
-        best_k(asked, rows, depth, scorer, qid, cid, size).select(qid, cid, "rank").checkpoint()
-        for asked, rows, scorer in sides
-    ]
-    rankings = []
-    for (asked, rows, scorer), own, other in zip(sides, tops, reversed(tops), strict=True):
-        # A ranking of fewer rows was read whole.
-        longer = own.filter(F.col("rank") == depth).select(qid)
-        missing = other.select(qid, cid).join(own, [qid, cid], "left_anti").join(longer, qid, "left_semi").checkpoint()
-        if not missing.isEmpty():
-            own = own.unionByName(ranks_of(missing, asked, rows, scorer, qid, cid, size))
-        rankings.append(own)
-    return add_carried(fuse_ranks(*rankings, k=k, qid=qid, cid=cid), corpus, qid, cid, carry, size)
+
+def fuse_ranks(*rankings: DataFrame, k: int, qid: str = "query_id", cid: str = "chunk_id") -> DataFrame:
+    """Reciprocal rank fusion of rankings at hand, scaled so that first place in two of them scores 1."""
+    rows = rankings[0].select(qid, cid, "rank")
+    for other in rankings[1:]:
+        rows = rows.unionByName(other.select(qid, cid, "rank"))
+    share = F.round(F.sum(F.lit(1.0) / (F.col("rank") + FUSION_OFFSET)) * ((FUSION_OFFSET + 1) / 2.0), 9)
+    order = Window.partitionBy(qid).orderBy(F.desc("score"), cid)
+    fused = rows.groupBy(qid, cid).agg(share.alias("score"))
+    return fused.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+@dataclass(frozen=True)
+class Source:
+    """The passages of a source and the index that it is searched by, built once for any number of rounds."""
+
+    rows: DataFrame
+    index: TextIndex | VectorIndex
+
+
+def open_sources(indexes: Mapping[str, DataFrame | Source]) -> dict[str, Source]:
+    """Every source with its index: postings and vectors for fused search, cells for search by vectors only."""
+    return {
+        name: rows if isinstance(rows, Source)
+        else Source(rows, build_text_index(rows, vector="embedding") if name in HYBRID_SOURCES else build_vector_index(rows))
+        for name, rows in indexes.items()
+    }
 
 
 def score_cut(hits: DataFrame, cut: float = SCORE_CUT) -> DataFrame:
@@ -265,23 +141,23 @@ def _quote(source: str) -> Column:
 
 def _search_sources(
     asked: Mapping[str, DataFrame],
-    indexes: Mapping[str, DataFrame],
+    indexes: Mapping[str, DataFrame | Source],
     k: int,
     cut: float,
     qid: str,
     query: str,
-    size: Size,
 ) -> DataFrame:
     """(qid, found): the quoted passages of all sources, policy first, best first."""
     parts = []
+    sources = open_sources(indexes)
     for number, source in enumerate(QUOTES):
-        if source not in indexes:
+        if source not in sources:
             continue
-        queries, index = asked[source], indexes[source]
+        queries, own = asked[source], sources[source]
         if source in HYBRID_SOURCES:
-            hits = hybrid_topk(queries, index, k, qid=qid, qtext=query, carry=["label", "text"], size=size)
+            hits = hybrid_topk(queries, own.rows, k, qid=qid, qtext=query, carry=["label", "text"], index=own.index)
         else:
-            hits = dense_topk(queries, index, k, qid=qid, carry=["label", "text"], size=size)
+            hits = dense_topk(queries, own.rows, k, qid=qid, carry=["label", "text"], index=own.index)
         parts.append(
             score_cut(hits, cut).select(
                 qid, F.struct(F.lit(number).alias("source"), "rank", _quote(source).alias("quote")).alias("hit")
@@ -298,21 +174,19 @@ def _search_sources(
 
 def multi_source_retrieve(
     questions: DataFrame,
-    indexes: Mapping[str, DataFrame],
+    indexes: Mapping[str, DataFrame | Source],
     k: int = 3,
     cut: float = SCORE_CUT,
     qid: str = "query_id",
     query: str = "question",
-    size: Size | None = None,
 ) -> DataFrame:
     """Search the routed sources and assemble the context.
 
     `questions` has the query_* flags, the text and the embedding; each index
-    has chunk_id, label, text and embedding.
+    has chunk_id, label, text and embedding, or is a `Source` opened before.
     """
-    size = size or measure(questions, F.size("embedding") * 8 + F.octet_length(query))
     asked = {s: questions.filter(f"query_{s}") for s in QUOTES}
-    found = _search_sources(asked, indexes, k, cut, qid, query, size)
+    found = _search_sources(asked, indexes, k, cut, qid, query)
     queried = F.filter(
         F.array(*[F.when(F.col(f"query_{s}"), s) for s in QUOTES]), lambda s: s.isNotNull()
     )
@@ -332,17 +206,15 @@ def multi_source_retrieve(
 
 def expand_sources(
     state: DataFrame,
-    indexes: Mapping[str, DataFrame],
+    indexes: Mapping[str, DataFrame | Source],
     k: int = 5,
     cut: float = SCORE_CUT,
     qid: str = "query_id",
     query: str = "question",
-    size: Size | None = None,
 ) -> DataFrame:
     """Search the sources not queried so far and append what they give to the context."""
-    size = size or measure(state, F.size("embedding") * 8 + F.octet_length(query))
     asked = {s: state.filter(~F.array_contains("sources_queried", s)) for s in QUOTES}
-    found = _search_sources(asked, indexes, k, cut, qid, query, size)
+    found = _search_sources(asked, indexes, k, cut, qid, query)
     old, new = F.coalesce("retrieved_context", F.lit("")), F.coalesce("found", F.lit(""))
     combined = (
         F.when(is_blank(new), old).when(is_blank(old), new).otherwise(strip(F.concat(old, F.lit(SEPARATOR), new)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import retrieval
+from ..operators import answering, retrieval
 from . import testbed
 from .testbed import table
 
@@ -65,8 +65,14 @@ def _contexts(df, *more):
     )
 
 
+def _expanded(s, d):
+    sources = retrieval.open_sources(testbed.indexes(s, d))
+    state = retrieval.multi_source_retrieve(_routed(s, d), sources)
+    return _contexts(retrieval.expand_sources(state, sources), "expanded_search_used")
+
+
 def _rounds(s, d):
-    indexes = testbed.indexes(s, d)
+    indexes = retrieval.open_sources(testbed.indexes(s, d))
 
     def search(rows):
         return retrieval.multi_source_retrieve(rows, indexes)
@@ -75,6 +81,19 @@ def _rounds(s, d):
     return _contexts(out, "has_context", "question")
 
 
+def _answers(s, d):
+    sources = retrieval.open_sources(testbed.indexes(s, d))
+    out = answering.answer_questions(
+        testbed.asked(s, d),
+        lambda rows: retrieval.multi_source_retrieve(retrieval.route_sources(rows), sources),
+        lambda rows: retrieval.expand_sources(rows, sources),
+        testbed.write_answer,
+        testbed.write_strictly,
+    )
+    path = F.array_join("path", ">").alias("path")
+    return _contexts(out, "generation_loop_count", "expanded_search_used", "generated_answer", path)
+
+
 def _state(s, d):
     return testbed.states(table(s, d, "events"))
 
@@ -97,9 +116,7 @@ QUERIES = {
         "request_id", "query_policy", "query_legislation", "query_fines"
     ),
     "multi_source_retrieve": lambda s, d: _contexts(_retrieved(s, d)),
-    "expand_sources": lambda s, d: _contexts(
-        retrieval.expand_sources(_retrieved(s, d), testbed.indexes(s, d)), "expanded_search_used"
-    ),
+    "expand_sources": _expanded,
     "context_relevance": lambda s, d: retrieval.context_relevance(_state(s, d)).select("request_id", "has_context"),
     "answer_completeness": lambda s, d: retrieval.answer_completeness(_state(s, d)).select(
         "request_id", "is_answer_complete"
@@ -109,6 +126,7 @@ QUERIES = {
     ),
     "next_step": _next_step,
     "retrieval_rounds": _rounds,
+    "answer_questions": _answers,
     "query_keywords": lambda s, d: table(s, d, "documents").select(
         "doc_id", retrieval.query_keywords(F.col("text")).alias("keywords")
     ),

@@ -52,8 +52,8 @@ def bm25(q: str, c: str, k: int, out: str) -> str:
 
 
 def hybrid(q: str, c: str, k: int, out: str) -> str:
-    return f"""{dense(q, c, 50, out + "_d")},
-{bm25(q, c, 50, out + "_l")},
+    return f"""{dense(q, c, 10**9, out + "_d")},
+{bm25(q, c, 10**9, out + "_l")},
 {out}_f AS (
   SELECT query_id, chunk_id, round(sum(1.0::DOUBLE / (60 + rank)) * 30.5::DOUBLE, 9) AS score
   FROM (SELECT query_id, chunk_id, rank FROM {out}_d UNION ALL SELECT query_id, chunk_id, rank FROM {out}_l)
@@ -125,6 +125,68 @@ def any_of(x: str, phrases: list[str]) -> str:
     return "(" + " OR ".join(f"contains({x}, {sql_str(p)})" for p in phrases) + ")"
 
 
+ANSWERS = f"""{QUESTIONS},
+{PASSAGES},
+an0 AS (SELECT query_id, v, CASE WHEN query_id % 3 = 0 AND query_id % 5 <> 4 THEN 'How should we handle it? ' ELSE '' END
+  || {_opening} || question AS question FROM q),
+an1 AS (SELECT *, {", ".join(f"regexp_matches(lower(question), {sql_str(p)}) AS query_{s}" for s, p in ROUTES.items())} FROM an0),
+abase AS (SELECT * FROM an1),
+{search("a", "query_{s}", 3)},
+{keywords("an1", "query_id", "question")},
+r1 AS (
+  SELECT an1.* EXCLUDE (question), question AS original, coalesce(found, '') AS ctx,
+    CASE WHEN coalesce(found, '') = '' THEN coalesce(keywords, '') ELSE question END AS question,
+    CASE WHEN coalesce(found, '') = '' THEN 3 ELSE 1 END AS loops,
+    CASE WHEN coalesce(found, '') = '' THEN 'retrieve>rewrite_query>retrieve>rewrite_query>retrieve' ELSE 'retrieve' END AS path,
+    concat_ws(',', {_flags}) AS sources
+  FROM an1 LEFT JOIN afound USING (query_id) LEFT JOIN kw USING (query_id)),
+{{first}},
+g1c AS (
+  SELECT *, {any_of("lower(original)", EXAMPLE_PHRASES)} AND NOT contains(ctx, 'SOURCE: Enforcement') AS wants,
+    NOT ({any_of("lower(answer)", INCOMPLETE_PHRASES)}
+      OR (len(list_filter(regexp_split_to_array(answer, '\\s+'), lambda w: w <> '')) < 20 AND length(ctx) < 200)) AS complete
+  FROM g1),
+e1 AS (SELECT *, wants OR (loops < 2 AND NOT complete) AS expands FROM g1c),
+bbase AS (SELECT * FROM e1 WHERE expands),
+{search("b", "NOT query_{s}", 5)},
+e2 AS (
+  SELECT e1.* EXCLUDE (ctx, loops, sources, path, answer), 1 + CAST(expands AS INT) AS gens, answer AS answer1,
+    CASE WHEN coalesce(found, '') = '' THEN ctx WHEN ctx = '' THEN found
+      ELSE regexp_replace(ctx || {SEP} || found, '^\\s+|\\s+$', '', 'g') END AS ctx,
+    loops + CAST(expands AS INT) AS loops,
+    CASE WHEN expands THEN concat_ws(',', nullif(sources, ''), nullif(concat_ws(',', {_rest}), '')) ELSE sources END AS sources,
+    path || '>generate_response' || CASE WHEN expands THEN '>expand_all_sources>generate_response' ELSE '' END AS path
+  FROM e1 LEFT JOIN bfound USING (query_id)),
+{{second}}"""
+
+
+def _grounded(answer: str) -> str:
+    said = f"list_distinct({toks(answer)})"
+    return f"coalesce(CAST(len(list_intersect({said}, {toks('ctx')})) AS DOUBLE) / nullif(len({said}), 0), 1.0) >= 0.5"
+
+
+def _quote_words(n: int) -> str:
+    return f"array_to_string(string_split(ctx, ' ')[1:{n}], ' ')"
+
+
+_answer = f"""CASE query_id % 4 WHEN 0 THEN {_quote_words(40)} WHEN 1 THEN 'The context does not specify ' || original
+    ELSE 'Unrelated words only: zebra quartz violin number ' || query_id END"""
+_strict = f"CASE query_id % 4 WHEN 3 THEN 'Still zebra quartz violin number ' || query_id ELSE {_quote_words(30)} END"
+ANSWERS = ANSWERS.replace("{first}", f"g1 AS (SELECT *, {_answer} AS answer FROM r1)").replace(
+    "{second}",
+    f"""a1 AS (SELECT *, {_answer} AS answer FROM e2),
+a2 AS (SELECT *, {_strict} AS strict, {_grounded("answer")} AS good FROM a1),
+a3 AS (SELECT *, {_grounded("strict")} AS strict_good FROM a2)
+SELECT query_id, ctx AS retrieved_context, sources AS sources_queried, loops AS retrieval_loop_count,
+  CASE WHEN good THEN gens WHEN gens = 1 AND strict_good THEN 2 ELSE 3 END AS generation_loop_count,
+  expands AS expanded_search_used,
+  CASE WHEN good THEN answer WHEN gens = 1 AND strict_good THEN strict ELSE {sql_str(WARNING)} || strict END AS generated_answer,
+  path || CASE WHEN good THEN '' WHEN gens = 1 AND strict_good THEN '>regenerate_strict'
+    WHEN gens = 1 THEN '>regenerate_strict>regenerate_strict>return_fallback'
+    ELSE '>regenerate_strict>return_fallback' END AS path
+FROM a3""",
+)
+
 STATE = f"""st AS (
   SELECT request_id, question AS original_question, answer AS generated_answer, context AS retrieved_context,
     event_id % 4 AS retrieval_loop_count, (event_id // 4) % 4 AS generation_loop_count,
@@ -168,6 +230,7 @@ SQL: dict[str, str] = {
     retrieved_context <> '' AS has_context,
     CASE WHEN retrieved_context = '' THEN coalesce(keywords, '') ELSE question END AS question
   FROM got LEFT JOIN kw USING (query_id)""",
+    "answer_questions": f"WITH {ANSWERS}",
     "context_relevance": with_raw("SELECT request_id, has_context FROM st2", STATE),
     "answer_completeness": with_raw("SELECT request_id, is_answer_complete FROM st2", STATE),
     "source_coverage": with_raw("SELECT request_id, needs_example_expansion FROM st2", STATE),

@@ -209,6 +209,34 @@ def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return queries(spark, sf_dir).withColumns({"question": text, "original_question": text})
 
 
+ASKING = "How should we handle it? "
+DOUBT, CLAIM, AGAIN = "The context does not specify ", "Unrelated words only: zebra quartz violin number ", "Still zebra quartz violin number "
+
+
+def asked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The questions, every third of those that fit a source asking for a way to act."""
+    n = F.col("query_id")
+    text = F.when((n % 3 == 0) & (n % 5 != 4), F.concat(F.lit(ASKING), F.col("question"))).otherwise(F.col("question"))
+    return routed(spark, sf_dir).withColumns({"question": text, "original_question": text})
+
+
+def _first_words(n: int):
+    return F.array_join(F.slice(F.split("retrieved_context", " "), 1, n), " ")
+
+
+def write_answer(rows: DataFrame) -> DataFrame:
+    """A stand-in for a model: quotes the context, doubts it, or claims what isn't there."""
+    kind, name = F.col("query_id") % 4, F.col("query_id").cast("string")
+    answer = F.when(kind == 1, F.concat(F.lit(DOUBT), F.col("original_question"))).when(kind >= 2, F.concat(F.lit(CLAIM), name))
+    return rows.withColumn("generated_answer", answer.otherwise(_first_words(40)))
+
+
+def write_strictly(rows: DataFrame) -> DataFrame:
+    """A stand-in for a stricter model, which still claims too much for some."""
+    kind, name = F.col("query_id") % 4, F.col("query_id").cast("string")
+    return rows.withColumn("generated_answer", F.when(kind == 3, F.concat(F.lit(AGAIN), name)).otherwise(_first_words(30)))
+
+
 def states(events: DataFrame) -> DataFrame:
     """Rows of question-answering state with counters that follow from the event."""
     n = F.col("event_id")

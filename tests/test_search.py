@@ -5,8 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docquill.operators import retrieval, topk
-from docquill.operators.topk import Size
+from docquill.operators import cells, lexical, retrieval
 
 
 def vectors(spark, data, name):
@@ -29,10 +28,10 @@ def found(df):
     return {(r.query_id, r.chunk_id, r.rank, round(r.score, 6)) for r in df.collect()}
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_dense(spark, small, monkeypatch):
-    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
-    monkeypatch.setattr(topk, "CORPUS_BLOCK", 20)
+@pytest.mark.parametrize(("group", "part"), [(2048, 2048), (3, 7)])
+def test_dense(spark, group, part, monkeypatch):
+    monkeypatch.setattr(lexical, "GROUP_ROWS", group)
+    monkeypatch.setattr(cells, "PART_ROWS", part)
     rng = np.random.default_rng(0)
     q = rng.normal(size=(8, 5)).astype(np.float32).astype(np.float64)
     c = rng.normal(size=(90, 5)).astype(np.float32).astype(np.float64)
@@ -40,17 +39,41 @@ def test_dense(spark, small, monkeypatch):
     c[60] = 0.0
     q[0] = c[0]
     for k in (1, 4, 200):
-        got = retrieval.dense_topk(
-            vectors(spark, q, "query_id"), vectors(spark, c, "chunk_id"), k, size=Size(len(q), small)
-        )
+        got = retrieval.dense_topk(vectors(spark, q, "query_id"), vectors(spark, c, "chunk_id"), k)
         assert found(got) == nearest(q, c, k)
 
 
-def test_sizes_decide(spark):
-    rows = vectors(spark, np.eye(5), "query_id")
-    assert topk.measure(rows, F.size("embedding") * 8) == Size(5, True)
-    assert not topk.measure(rows, F.size("embedding") * 8, max_queries=4).small
-    assert not topk.measure(rows, F.size("embedding") * 8, max_bytes=199).small
+def test_questions_come_in_groups_of_bounded_size(spark, monkeypatch):
+    rows = vectors(spark, np.eye(50), "query_id")
+    assert len(list(lexical.question_groups(rows, "query_id", F.size("embedding") * 8))) == 1
+    monkeypatch.setattr(lexical, "GROUP_BYTES", 10_000)
+    groups = list(lexical.question_groups(rows, "query_id", F.size("embedding") * 8))
+    assert len(groups) == 2 and sum(g.count() for g in groups) == 50
+
+
+def test_cells_that_hold_no_hit_are_not_read(spark):
+    rng = np.random.default_rng(1)
+    middles = rng.normal(size=(10, 6)) * 50
+    c = np.concatenate([m + rng.normal(size=(40, 6)) for m in middles])
+    index = cells.build_vector_index(vectors(spark, c, "chunk_id"))
+    q = middles + 0.5
+    read, every = cells.cells_read(index, vectors(spark, q, "query_id"), 3)
+    assert every == 10 * int((index.sizes > 0).sum()) and read < every / 4
+    assert found(cells.dense_index_topk(index, vectors(spark, q, "query_id"), 3)) == nearest(q.astype(np.float32).astype(float), c.astype(np.float32).astype(float), 3)
+
+
+def test_blocks_below_the_floor_are_skipped(spark, monkeypatch):
+    texts = [f"common word number {i}" for i in range(300)] + ["rare jewel"] + [f"common jewel {i}" for i in range(5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "chunk_id long, text string")
+    index = lexical.build_text_index(docs, block_rows=10)
+    assert index.blocks == 31 and index.postings.where("term = 'common'").count() > 20
+    asked = spark.createDataFrame([(0, "rare jewel"), (1, "common")], "query_id long, question string")
+    sent = []
+    score = lexical._score
+    monkeypatch.setattr(lexical, "_score", lambda i, a, r, pairs, *rest: (sent.append(pairs.count()), score(i, a, r, pairs, *rest))[1])
+    got = found(lexical.lexical_topk(index, asked, 1))
+    assert {x[:2] for x in got} == {(0, 300), (1, min(r.chunk_id for r in docs.where("text like 'common jewel%'").collect()))}
+    assert sent[0] == 2 and sent[1] < 31
 
 
 def test_dense_empty_sides(spark):
@@ -58,7 +81,6 @@ def test_dense_empty_sides(spark):
     q = vectors(spark, np.eye(3), "query_id")
     assert retrieval.dense_topk(q, none, 2).count() == 0
     assert retrieval.dense_topk(q.limit(0), some, 2).count() == 0
-    assert retrieval.dense_topk(q.limit(0), some, 2, size=Size(0, False)).count() == 0
 
 
 DOCS = ["the cat sat on the mat", "the dog", "cat cat cat dog", "", "nothing here", "THE CAT, the cat!", "a mat on a mat"]
@@ -82,14 +104,14 @@ def bm25(k):
     return out
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_bm25(spark, small, monkeypatch):
-    monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
-    monkeypatch.setattr(topk, "CORPUS_BLOCK", 3)
+@pytest.mark.parametrize(("group", "block"), [(2048, 1024), (2, 3)])
+def test_bm25(spark, group, block, monkeypatch):
+    monkeypatch.setattr(lexical, "GROUP_ROWS", group)
+    monkeypatch.setattr(lexical, "BLOCK_ROWS", block)
     queries = spark.createDataFrame(list(enumerate(ASKED)), "query_id long, question string")
     docs = spark.createDataFrame(list(enumerate(DOCS)) + [(99, None)], "chunk_id long, text string")
     for k in (1, 3, 10):
-        got = retrieval.bm25_topk(queries, docs, k, size=Size(len(ASKED), small), carry=["text"])
+        got = retrieval.bm25_topk(queries, docs, k, carry=["text"])
         assert found(got) == bm25(k)
         assert all(r.text == DOCS[r.chunk_id] for r in got.collect())
 
@@ -109,10 +131,10 @@ def test_fusion(spark):
     assert got[0][2] == 1.0 and got[1][2] == got[2][2] == pytest.approx(61 / 124)
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_hybrid_counts_places_of_any_depth(spark, small, monkeypatch):
-    monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
-    monkeypatch.setattr(topk, "CORPUS_BLOCK", 70)
+@pytest.mark.parametrize(("group", "block"), [(2048, 1024), (2, 70)])
+def test_hybrid_counts_places_of_any_depth(spark, group, block, monkeypatch):
+    monkeypatch.setattr(lexical, "GROUP_ROWS", group)
+    monkeypatch.setattr(lexical, "BLOCK_ROWS", block)
     rng = np.random.default_rng(4)
     n, k, words = 400, 5, np.array("cat dog mat sat tree hill moon sun".split())
     texts = [" ".join(rng.choice(words, rng.integers(1, 12))) for _ in range(n)]
@@ -120,17 +142,16 @@ def test_hybrid_counts_places_of_any_depth(spark, small, monkeypatch):
     v, c = rng.normal(size=(3, 4)).round(1), rng.normal(size=(n, 4)).round(1)
     queries = vectors(spark, v, "query_id").join(spark.createDataFrame(list(enumerate(asked)), "query_id long, question string"), "query_id")
     corpus = vectors(spark, c, "chunk_id").join(spark.createDataFrame(list(enumerate(texts)), "chunk_id long, text string"), "chunk_id")
-    size = Size(3, small)
     want, deep = set(), 0
     every = [{(r.query_id, r.chunk_id): r["rank"] for r in top.collect()} for top in (
-        retrieval.dense_topk(queries, corpus, n, size=size), retrieval.bm25_topk(queries, corpus, n, size=size))]
+        retrieval.dense_topk(queries, corpus, n), retrieval.bm25_topk(queries, corpus, n))]
     for q in range(3):
         score = {i: round(sum(1 / (60 + e[q, i]) for e in every if (q, i) in e) * 30.5, 9) for i in range(n)}
         best = sorted(score, key=lambda i: (-score[i], i))[:k]
         want |= {(q, i, at + 1, round(score[i], 6)) for at, i in enumerate(best)}
         deep += sum(any(e.get((q, i), 0) > 2 * k + 60 for e in every) for i in best)
     assert deep
-    assert found(retrieval.hybrid_topk(queries, corpus, k, size=size)) == want
+    assert found(retrieval.hybrid_topk(queries, corpus, k)) == want
 
 
 def test_cut_is_strict(spark):
