@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pieces
+from .common import pieces, released
 
 #: Entries of a worker's memory of pieces, after which it starts anew, and the longest piece that it keeps.
 MEMORY, LONGEST = 400_000, 64
@@ -137,7 +137,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", keep: lis
                     out.append(pa.ListArray.from_arrays(edges, pa.array(values)))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *out], names=schema.names)
 
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(released(run), schema)
 
 
 @lru_cache(maxsize=2)
@@ -170,7 +170,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", keep: list[str] | None =
                 out = [b"".join(map(table.__getitem__, x.values.to_pylist())) if x.is_valid else b"" for x in lists]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(out, pa.binary())], names=schema.names)
 
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(released(run), schema)
 
 
 def decode_text(decoded: str) -> Column:

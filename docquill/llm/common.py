@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+import ctypes
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from ..session import work_path
 
 #: Text bytes that one numpy pass works on at a time, so that memory is bounded whatever the rows' lengths are.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:
@@ -74,6 +75,23 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, limit: int = PIECE_BYTE
             yield batch.slice(a, b - a)
 
 
+def release() -> None:
+    """Give memory that isn't in use back to the machine, so that a worker doesn't keep one task's peak for all later ones."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def released(work: Callable) -> Callable:
+    """A task's function over batches that releases memory when it has ended."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        release()
+
+    return run
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """64-bit finaliser: every input bit reaches every output bit."""
     x = x ^ (x >> np.uint64(30))

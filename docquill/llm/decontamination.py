@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Bits, pieces, text_of
+from .common import Bits, pieces, released, text_of
 
 #: Text of the test set that one pass over the documents takes. A task holds its windows, some 70 times as large.
 BLOCK_BYTES = 1 << 20
@@ -250,7 +250,7 @@ def _pass(rows: DataFrame, phrases, keep: list[str], last: bool) -> DataFrame:
             out |= {"_n": pa.array(n, pa.int64()), "_spans": pa.array(spans, pa.list_(pa.int32())), "_items": pa.array(items, pa.list_(pa.string()))}
             yield pa.RecordBatch.from_pydict(out)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(released(run), schema)
 
 
 def words_hit(spans: str = "spans") -> Column:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pieces
+from .common import pieces, released
 
 DIM = 1 << 13
 UNKNOWN = "und"
@@ -144,7 +144,7 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", max_rows: int
             yield pa.RecordBatch.from_arrays(columns, names=["_label", "ids", "n"])
 
     # A third more at most than asked for reaches the driver, whatever the hash draws.
-    sample = rows.where(draw < share[F.col("_label")]).mapInArrow(run, schema).limit(max_rows + max_rows // 3).toArrow()
+    sample = rows.where(draw < share[F.col("_label")]).mapInArrow(released(run), schema).limit(max_rows + max_rows // 3).toArrow()
     names = sample.column("_label").to_pylist()
     order = sorted(range(len(names)), key=lambda i: (names[i], sample.column("n")[i].values.to_pylist()))
     x = np.zeros((len(names), DIM), np.float32)
@@ -181,4 +181,4 @@ def identify(df: DataFrame, model: Model, text: str = "text", keep: list[str | C
             out = [pa.array(c, kind) for c, kind in zip(zip(*found, strict=True), (pa.string(), pa.float64(), pa.float64(), pa.bool_()), strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *out], names=schema.names)
 
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(released(run), schema)

@@ -41,6 +41,8 @@ from .common import batch_bytes, mixed, pieces, settled, size_of, small
 
 #: Words of a block, and bits of a member in a bit array and of the whole array at most (as powers of two).
 BLOCK, MEMBER_BITS, MOST_BITS = 1 << 20, 4, 27
+#: Text bytes that a block is made of at most, if it has but one language.
+TEXT_BYTES = 4 << 20
 #: Bits of the keys that phrases are first counted by.
 KEY_BITS = 40
 #: A word that more phrases than this have is salted into parts of so many; parts of a language for ranking.
@@ -110,7 +112,7 @@ def encode(docs: DataFrame, text: str = "text", lang: str = "lang", seed: int =
     """Blocks of words of one language; a code of -1 ends a piece, phrases begin among the first `starts` codes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", TEXT_BYTES):
             texts = pc.ascii_lower(batch.column("text"))
             for name in batch.column("lang").unique():
                 words, goes_on = _words(texts.filter(pc.equal(batch.column("lang"), name)))

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mixed, pieces, settled, small, text_of
+from .common import mixed, pieces, released, settled, small, text_of
 from .components import components
 
 WIDTH = 5
@@ -139,7 +139,7 @@ def sketch(docs: DataFrame, text: str, key: str) -> DataFrame:
         for batch in pieces(batches, "_text", BATCH_BYTES):
             yield from _sketched(batch, seen, buckets)
 
-    return settled(rows.mapInArrow(run, _SKETCHES), "sketches")
+    return settled(rows.mapInArrow(released(run), _SKETCHES), "sketches")
 
 
 _ARROW = pa.schema(
@@ -253,7 +253,7 @@ def _sets(docs: DataFrame, text: str, key: str, wanted: DataFrame) -> DataFrame:
             cid = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(_signed(cid)), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cid", "tokens"])
 
-    made = rows.select("l.id", "l._text").mapInArrow(run, "cid long, tokens binary")
+    made = rows.select("l.id", "l._text").mapInArrow(released(run), "cid long, tokens binary")
     classes = small(settled(wanted.select("cid").distinct(), "classes"))
     return settled(made.join(classes, "cid", "left_semi").groupBy("cid").agg(F.first("tokens").alias("tokens")), "sets")
 
