@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import fixed, ratio
+from ..session import work_path
 from ..sources.files import write_report, write_text
 
 # The score of a passed case, the pass rate of a good run.
@@ -37,21 +38,24 @@ def score_cases(cases: DataFrame, responses: DataFrame) -> DataFrame:
     """Cases joined with the responses to them; a case without one scores as empty.
 
     `cases` has id, category and expected_behavior with sources,
-    must_retrieve_from_articles and must_include_in_answer. `responses` has id,
+    must_retrieve_from_articles and must_include_in_answer, as far as it has them. `responses` has id,
     answer and context (text or a list). Missing items are listed in order.
     """
     given = responses.select("id", _as_text(responses, "answer").alias("answer"), _as_text(responses, "context").alias("context"))
     blank = F.lit("")
     expected = F.col("expected_behavior")
+    known = cases.schema["expected_behavior"].dataType.names
+
+    def items(name: str) -> Column:
+        return _list(expected[name]) if name in known else F.array().cast("array<string>")
+
     rows = cases.join(given, "id", "left").select(
         F.col("id").alias("case_id"),
         "category",
         F.lower(F.coalesce("context", blank)).alias("ctx"),
         F.lower(F.concat(F.coalesce("answer", blank), F.lit(" "), F.coalesce("context", blank))).alias("both"),
-        _list(expected["sources"]).alias("sources"),
-        F.concat(
-            _list(expected["must_retrieve_from_articles"]), _list(expected["must_include_in_answer"])
-        ).alias("items"),
+        items("sources").alias("sources"),
+        F.concat(items("must_retrieve_from_articles"), items("must_include_in_answer")).alias("items"),
     )
     rows = rows.withColumns(
         {
@@ -226,6 +230,10 @@ def eval_report(results: DataFrame, generated: dt.datetime | None = None) -> Dat
 
 def write_run(results: DataFrame, folder: str, single_file: bool = False) -> dict[str, str]:
     """Results and failed cases as CSV and the report as text; returns the paths."""
+    # Scored once: the report alone reads its input five times.
+    path = work_path(results.sparkSession, "scored")
+    results.write.parquet(path)
+    results = results.sparkSession.read.schema(results.schema).parquet(path)
     failed = failed_cases(results)
     return {
         "results": write_report(results, f"{folder}/evaluation_results", single_file),
@@ -305,6 +313,43 @@ def fallback_question(concept: Column, context: Column, kind: Column) -> Column:
     )
 
 
+_STRINGS = "array<string>"
+
+
+def expected_behavior(sources: list[str], concept: Column, first: Column, form: str = "golden") -> Column:
+    """What an answer must retrieve and include, as one struct for all categories; fields that don't apply are NULL.
+
+    form: "golden" for test sets, with items that the answer must include and checks per source; "pool" for question
+    pools, where the checks are plain lists. `first` marks the case that asks for the largest fines.
+    """
+    golden = form == "golden"
+    several = len(sources) > 1
+    main = sources[-1]
+    words = F.array(F.lower(concept), F.lit("fine"))
+    keywords = F.when(first, F.array(F.lit("fine"), F.lit("€"), F.lit("company"))).otherwise(words) if golden else words
+    articles, breaches = F.array(concept), F.array(F.lit("fine"), F.lit("breach"))
+    included = {"policy": F.array(F.lit("policy")), "legislation": F.array(concept)}.get(main, F.array(concept, F.lit("fine")))
+    if several:
+        included = F.array(concept, F.lit("fine"))
+
+    def given(value: Column, when: bool, kind: str = _STRINGS) -> Column:
+        return (value if when else F.lit(None)).cast(kind)
+
+    def check(value: Column, name: str) -> Column:
+        inner = F.struct(value.alias(name)) if golden else value
+        return given(inner, several, f"struct<{name}:{_STRINGS}>" if golden else _STRINGS)
+
+    fields = [
+        F.array(*[F.lit(s) for s in sources]).alias("sources"),
+        given(articles, main == "legislation" and not several).alias("must_retrieve_from_articles"),
+        given(keywords, main == "fines" and not several).alias("must_retrieve_keywords"),
+        given(articles, main == "policy" and not several).alias("must_retrieve_from_sections"),
+        check(articles, "must_retrieve_from_articles").alias("legislation_check"),
+        check(breaches, "must_retrieve_keywords").alias("fines_check"),
+    ]
+    return F.struct(*fields, *([included.alias("must_include_in_answer")] if golden else []))
+
+
 def build_cases(
     mix: list[Mapping[str, Any]],
     concepts: Mapping[str, DataFrame],
@@ -314,8 +359,9 @@ def build_cases(
     questions: DataFrame | None = None,
     text: str = "question",
     defaults: Mapping[str, list[str]] = DEFAULT_CONCEPTS,
+    form: str = "golden",
 ) -> DataFrame:
-    """Cases by a mix of categories, going round the concepts of each.
+    """Cases by a mix of categories, going round the concepts of each, with what an answer to each must show.
 
     `mix` rows have category, number, about, sources (list) and kind; `concepts` maps the
     first source of a category to a DataFrame with a concept column. A written
@@ -341,6 +387,7 @@ def build_cases(
         concept = F.col("concept")
         if main == "fines" and len(entry["sources"]) == 1:
             concept = F.when(F.col("idx") == 0, FIRST_FINES_CONCEPT).otherwise(concept)
+        expected = expected_behavior(entry["sources"], concept, F.col("idx") == 0, form)
         if len(entry["sources"]) > 1:
             concept = F.concat(concept, F.lit(MULTI_SUFFIX))
         parts.append(
@@ -351,6 +398,7 @@ def build_cases(
                 F.lit(entry["kind"]).alias("kind"),
                 F.array(*[F.lit(s) for s in entry["sources"]]).alias("expected_sources"),
                 concept.alias("concept"),
+                expected.alias("expected_behavior"),
             )
         )
         first_id += count
@@ -370,6 +418,7 @@ def build_cases(
         "concept",
         F.when(F.col("number") % medium_every == 0, "medium").otherwise("easy").alias("difficulty"),
         "expected_sources",
+        "expected_behavior",
     )
 
 

@@ -121,14 +121,14 @@ def flatten_elements(df: DataFrame, path: str = "path", content: str = "content"
     )
 
 
-def add_lineage(df: DataFrame, at: dt.datetime | None = None) -> DataFrame:
+def add_lineage(df: DataFrame, at: dt.datetime | None = None, columns: list[str] | None = None) -> DataFrame:
     """Add ingestion_timestamp and record_hash.
 
-    The hash covers the given columns only. NULLs are left out of it, so rows
+    The hash covers the given columns only, by default all. NULLs are left out of it, so rows
     that differ only in where a NULL stands share a hash.
     """
     now = F.current_timestamp() if at is None else F.lit(at)
-    digest = F.sha2(F.concat_ws("||", *[F.col(c).cast("string") for c in df.columns]), 256)
+    digest = F.sha2(F.concat_ws("||", *[F.col(c).cast("string") for c in columns or df.columns]), 256)
     return df.withColumns({"ingestion_timestamp": now, "record_hash": digest})
 
 

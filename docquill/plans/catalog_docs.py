@@ -159,17 +159,22 @@ def _progress(s, d):
 
 def _hashed(s, d):
     old, new = testbed.snapshots(s, d)
-    return sections.add_lineage(old, NOON), sections.add_lineage(new, NOON)
+    return tuple(sections.add_lineage(x, NOON, ["doc_id", "text", "lang", "source", "n_chars"]) for x in (old, new))
+
+
+def _told(feed):
+    return feed.select("doc_id", "record_hash", "lang", "n_chars", F.unix_micros("seen").alias("seen"), "_change_type")
 
 
 def _change_feed(s, d):
     old, new = _hashed(s, d)
-    return changes.change_feed(old, new, "doc_id").select("doc_id", "record_hash", "lang", "n_chars", "_change_type")
+    return _told(changes.change_feed(old, new, "doc_id"))
 
 
 def _index_sync(s, d):
     old, new = _hashed(s, d)
-    return changes.index_sync(old, new, "doc_id", ["lang", "source", "n_chars"])
+    synced = changes.index_sync(old, new, "doc_id", ["lang", "source", "n_chars", "seen"])
+    return synced.withColumn("seen", F.unix_micros("seen"))
 
 
 def _index_status(s, d):

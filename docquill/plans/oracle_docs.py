@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from ..operators.inference import JUDGE_TEMPLATE
 from .oracle_log import sql_str, with_log, with_raw
+from .oracle_values import JUDGE_TEMPLATE
 
 NL = "chr(10)"
 
@@ -149,9 +149,11 @@ pchunks AS (SELECT doc_id, chunk_index, c.b AS chunk_text, c.n AS chunk_tokens F
 
 
 SNAP = """snap AS (SELECT d.*, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
-old0 AS (SELECT doc_id, text, lang, source, n_chars FROM snap WHERE quality IS NOT NULL),
+old0 AS (SELECT doc_id, text, lang, source, n_chars, 1700000000000123 + doc_id * 1000 AS seen
+  FROM snap WHERE quality IS NOT NULL),
 new0 AS (
-  SELECT doc_id, CASE WHEN toxic = 1 THEN text || ' (revised)' ELSE text END AS text, lang, source, n_chars
+  SELECT doc_id, CASE WHEN toxic = 1 THEN text || ' (revised)' ELSE text END AS text, lang, source, n_chars,
+    1700000000000123 + doc_id * 1000 + CASE WHEN quality = 1 AND n_chars < 1000 THEN 1 ELSE 0 END AS seen
   FROM snap WHERE quality IS NULL OR quality = 1),
 olds AS (SELECT *, sha256(concat_ws('||', doc_id, text, lang, source, n_chars)) AS record_hash FROM old0),
 news AS (SELECT *, sha256(concat_ws('||', doc_id, text, lang, source, n_chars)) AS record_hash FROM new0)"""
@@ -226,19 +228,19 @@ SQL: dict[str, str] = {
   SELECT total, done, total - done AS remaining, CAST(ceil((total - done) / 50.0) AS BIGINT) AS batches_left FROM c""",
     "change_feed": f"""WITH {SNAP}, j AS (
   SELECT o.doc_id AS od, n.doc_id AS nd, o.record_hash AS oh, n.record_hash AS nh, o.lang AS ol, n.lang AS nl,
-    o.n_chars AS oc, n.n_chars AS nc FROM olds o FULL OUTER JOIN news n ON o.doc_id = n.doc_id)
-  SELECT od AS doc_id, oh AS record_hash, ol AS lang, oc AS n_chars,
+    o.n_chars AS oc, n.n_chars AS nc, o.seen AS os, n.seen AS ns FROM olds o FULL OUTER JOIN news n ON o.doc_id = n.doc_id)
+  SELECT od AS doc_id, oh AS record_hash, ol AS lang, oc AS n_chars, os AS seen,
     CASE WHEN nd IS NULL THEN 'delete' ELSE 'update_preimage' END AS _change_type
-  FROM j WHERE od IS NOT NULL AND (nd IS NULL OR oh <> nh)
+  FROM j WHERE od IS NOT NULL AND (nd IS NULL OR oh <> nh OR os <> ns)
   UNION ALL
-  SELECT nd, nh, nl, nc, CASE WHEN od IS NULL THEN 'insert' ELSE 'update_postimage' END
-  FROM j WHERE nd IS NOT NULL AND (od IS NULL OR oh <> nh)""",
-    "index_sync": f"WITH {SNAP} SELECT doc_id, record_hash, lang, source, n_chars FROM news",
+  SELECT nd, nh, nl, nc, ns, CASE WHEN od IS NULL THEN 'insert' ELSE 'update_postimage' END
+  FROM j WHERE nd IS NOT NULL AND (od IS NULL OR oh <> nh OR os <> ns)""",
+    "index_sync": f"WITH {SNAP} SELECT doc_id, record_hash, lang, source, n_chars, seen FROM news",
     "index_status": f"""WITH {SNAP}, j AS (
-  SELECT o.doc_id AS od, n.doc_id AS nd, o.record_hash AS oh, n.record_hash AS nh
+  SELECT o.doc_id AS od, n.doc_id AS nd, o.record_hash AS oh, n.record_hash AS nh, o.seen AS os, n.seen AS ns
   FROM olds o FULL OUTER JOIN news n ON o.doc_id = n.doc_id)
   SELECT 'documents' AS index_name, count(nd) AS source_rows, count(od) AS indexed_rows,
-    count(*) FILTER (od IS NULL) AS missing, count(*) FILTER (oh <> nh) AS stale,
+    count(*) FILTER (od IS NULL) AS missing, count(*) FILTER (oh <> nh OR os <> ns) AS stale,
     count(*) FILTER (nd IS NULL) AS extra, false AS ready FROM j""",
     "write_table": with_log(
         "SELECT date, status, count(*) AS n, CAST(sum(length(question)) AS BIGINT) AS chars FROM log GROUP BY ALL"

@@ -2,18 +2,10 @@
 
 from __future__ import annotations
 
-from ..operators.evaluation import (
-    FALLBACK_ARTICLE,
-    FALLBACK_MULTI,
-    FALLBACK_POLICY,
-    FIRST_FINES_CONCEPT,
-    METRICS,
-    MULTI_SUFFIX,
-)
-from ..operators.quality import SCORES
 from .oracle_docs import ARTICLES, NL, POLICIES, SNAP
 from .oracle_log import SQL as LOG_SQL
 from .oracle_log import DRIFT, PERF, cost, errors, refusal, since, sql_str, with_log
+from .oracle_values import FALLBACK_ARTICLE, FALLBACK_MULTI, FALLBACK_POLICY, FIRST_FINES_CONCEPT, METRICS, MULTI_SUFFIX, SCORES
 
 WORDS = "list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')"
 CASES = f"""cases AS (
@@ -27,7 +19,7 @@ def results(name: str, ahead: int) -> str:
     return f"""{name}_r AS (
   SELECT 'case_' || d.doc_id AS id, n.text AS answer,
     CASE WHEN d.lang IN ('en', 'de') THEN d.source || ' ' || d.lang ELSE d.lang END AS context
-  FROM documents d JOIN documents n ON n.doc_id = d.doc_id + {ahead} WHERE d.doc_id % 50 <> 7),
+  FROM documents d JOIN documents n ON n.doc_id = d.doc_id + {ahead}),
 {name}_j AS (
   SELECT c.*, lower(coalesce(context, '')) AS ctx,
     lower(coalesce(answer, '') || ' ' || coalesce(context, '')) AS txt, list_concat(articles, included) AS items
@@ -145,9 +137,55 @@ numc AS (
 picked AS (
   SELECT s.*, CASE WHEN s.m = 1 AND idx = 0 THEN {sql_str(FIRST_FINES_CONCEPT)}
                    WHEN s.m = 3 THEN concept || {sql_str(MULTI_SUFFIX)} ELSE concept END AS concept,
-    before + idx + 1 AS number
+    before + idx + 1 AS number, concept AS plain
   FROM slots s JOIN numc c ON s.m = c.m AND idx % total = no)"""
 
+
+def built(form: str) -> str:
+    """Cases with the JSON of their expected behaviour."""
+    golden = form == "golden"
+    keywords = "to_json([lower(concept), 'fine'])"
+    if golden:
+        keywords = f"""CASE WHEN idx = 0 THEN '["fine","€","company"]' ELSE {keywords} END"""
+        checks = """',"legislation_check":{"must_retrieve_from_articles":' || to_json([plain])
+      || '},"fines_check":{"must_retrieve_keywords":["fine","breach"]}'"""
+    else:
+        checks = """',"legislation_check":' || to_json([plain]) || ',"fines_check":["fine","breach"]'"""
+    included = """ || ',"must_include_in_answer":' || to_json(included)""" if golden else ""
+    return f"""WITH {CONCEPTS}, named AS (
+  SELECT *, 'case_' || printf('%03d', number) AS id, CASE WHEN number % 2 = 0 THEN 'medium' ELSE 'easy' END AS difficulty,
+    CASE m WHEN 0 THEN [concept] WHEN 1 THEN [concept, 'fine'] WHEN 2 THEN ['policy'] ELSE [plain, 'fine'] END AS included,
+    CASE WHEN kind <> 'single' THEN {sql_str(FALLBACK_MULTI)}
+         WHEN contains(concept, 'Article') OR contains(concept, 'Context')
+           THEN {sql_str(_before)} || ctx || {sql_str(_after)}
+         ELSE {sql_str(FALLBACK_POLICY)} END AS question FROM picked),
+bare AS (
+  SELECT id, category, concept, difficulty, src AS expected_sources, question, '{{"sources":' || to_json(string_split(src, ','))
+    || CASE m WHEN 0 THEN ',"must_retrieve_from_articles":' || to_json([concept])
+         WHEN 1 THEN ',"must_retrieve_keywords":' || {keywords}
+         WHEN 2 THEN ',"must_retrieve_from_sections":' || to_json([concept])
+         ELSE {checks} END{included} || '}}' AS expected_behavior
+  FROM named)"""
+
+
+_quoted = "chr(39) || array_to_string({}, chr(39) || ', ' || chr(39)) || chr(39)"
+BUILT_SCORES = (
+    built("golden")
+    + f""", items AS (
+  SELECT id, category, string_split(src, ',') AS sources, CASE WHEN m = 0 THEN list_concat([concept], included) ELSE included END AS items,
+    lower(CASE WHEN difficulty = 'easy' THEN array_to_string(included, ' ') ELSE question END || ' ' || replace(src, ',', ' ')) AS txt
+  FROM named),
+found AS (
+  SELECT *, len(list_filter(items, lambda x: contains(txt, lower(x)))) AS n_found,
+    list_sort(list_distinct(list_filter(items, lambda x: NOT contains(txt, lower(x))))) AS missing FROM items)
+SELECT id AS case_id, category, (1 + n_found / len(items)) / 2 >= 0.7 AS passed, round((1 + n_found / len(items)) / 2, 6) AS score,
+  1.0::DOUBLE AS source_correct, round(n_found / len(items), 6) AS content_match,
+  'PASS: Retrieved from expected sources: [' || {_quoted.format("sources")} || '] | '
+    || CASE WHEN n_found / len(items) >= 0.7 THEN 'PASS: Found ' || n_found || '/' || len(items) || ' expected items'
+       ELSE 'FAIL: Missing ' || len(missing) || ' items: {{' || {_quoted.format("missing")} || '}}' END AS feedback
+FROM found"""
+)
+
 _fields = [*SCORES, "explanation"]
 
 
@@ -263,13 +301,9 @@ SQL: dict[str, str] = {
     "validate_cases": "SELECT 'case_' || doc_id AS id, 'question' AS missing_fields FROM documents WHERE lang = 'de'",
     "profile_concepts": f"SELECT DISTINCT article_title AS concept FROM ({ARTICLES})",
     "profile_mentions": _mention,
-    "build_cases": f"""WITH {CONCEPTS}
-  SELECT 'case_' || printf('%03d', number) AS id, category, concept,
-    CASE WHEN number % 2 = 0 THEN 'medium' ELSE 'easy' END AS difficulty, src AS expected_sources,
-    CASE WHEN kind <> 'single' THEN {sql_str(FALLBACK_MULTI)}
-         WHEN contains(concept, 'Article') OR contains(concept, 'Context')
-           THEN {sql_str(_before)} || ctx || {sql_str(_after)}
-         ELSE {sql_str(FALLBACK_POLICY)} END AS question FROM picked""",
+    "build_cases": built("golden") + " SELECT * FROM bare",
+    "build_pool": built("pool") + " SELECT * FROM bare",
+    "built_scores": BUILT_SCORES,
     "sample_questions": """SELECT doc_id AS question_id, lang, source FROM documents
   ORDER BY md5(doc_id || ':0'), doc_id LIMIT 30""",
     "quality_sample": with_log(
@@ -310,7 +344,7 @@ SQL: dict[str, str] = {
         """SELECT request_id, date, status, response_classification, refusal_type, classification_reason,
   is_valid_answer FROM log"""
     ),
-    "stream_sync": f"WITH {SNAP} SELECT doc_id, record_hash, lang, source, n_chars FROM news",
+    "stream_sync": f"WITH {SNAP} SELECT doc_id, record_hash, lang, source, n_chars, seen FROM news",
 }
 
 

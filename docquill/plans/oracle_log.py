@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from ..functions.classify import REFUSAL_PATTERNS, VAGUE_PATTERNS
-from ..operators.drift import STOP_WORDS
+from .oracle_values import REFUSAL_PATTERNS, STOP_WORDS, VAGUE_PATTERNS
 
 
 def sql_str(text: str) -> str:

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from ..operators.drift import STOP_WORDS
-from ..operators.retrieval import EXAMPLE_PHRASES, INCOMPLETE_PHRASES, QUOTES, ROUTES, WARNING
 from .oracle_log import sql_str, with_raw
-from .testbed import OPENINGS
+from .oracle_values import EXAMPLE_PHRASES, INCOMPLETE_PHRASES, OPENINGS, QUOTES, ROUTES, STOP_WORDS, WARNING
 
 QUESTIONS = """q AS (
   SELECT b.item_id AS query_id, b.text AS question, CAST(e.embedding AS DOUBLE[]) AS v

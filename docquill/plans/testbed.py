@@ -152,15 +152,19 @@ def drop_vowels(texts: list[str]) -> list[str]:
 def snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Two states of the documents: labelled ones before, good or unlabelled ones after.
 
-    Good documents labelled toxic have changed text.
+    Good documents labelled toxic have changed text, short good ones a time of their own.
     """
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels")
     joined = docs.join(labels, "doc_id", "left")
-    old = joined.filter("quality IS NOT NULL").select(*docs.columns)
+    # Seen at a microsecond of its own; a good document of few characters was seen one microsecond later the second time.
+    seen = F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("doc_id") * 1000 + 123)
+    old = joined.filter("quality IS NOT NULL").select(*docs.columns, seen.alias("seen"))
     kept = joined.filter("quality IS NULL OR quality = 1")
+    later = (F.col("quality") == 1) & (F.col("n_chars") < 1000)
+    again = F.timestamp_micros(F.unix_micros(seen) + F.when(later, 1).otherwise(0)).alias("seen")
     changed = F.when(F.col("toxic") == 1, F.concat("text", F.lit(" (revised)"))).otherwise(F.col("text"))
-    return old, kept.withColumn("text", changed).select(*docs.columns)
+    return old, kept.withColumn("text", changed).select(*docs.columns, again)
 
 
 def queries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,11 +277,11 @@ def cases(documents: DataFrame) -> DataFrame:
 def responses(spark: SparkSession, sf_dir: str, ahead: int = 1) -> DataFrame:
     """Answers to the cases: the text of a later document.
 
-    The context names the source for documents in two of the languages. One case in fifty has no answer.
+    The context names the source for documents in two of the languages. Documents without a later one have no answer.
     """
     docs = table(spark, sf_dir, "documents")
     later = docs.select((F.col("doc_id") - ahead).alias("doc_id"), F.col("text").alias("answer"))
-    asked = docs.select("doc_id", "lang", "source").where("doc_id % 50 <> 7")
+    asked = docs.select("doc_id", "lang", "source")
     named = F.when(F.col("lang").isin("en", "de"), F.concat("source", F.lit(" "), "lang")).otherwise(F.col("lang"))
     return asked.join(later, "doc_id").select(
         F.concat(F.lit("case_"), F.col("doc_id").cast("string")).alias("id"), "answer", named.alias("context")
