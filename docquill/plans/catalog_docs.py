@@ -131,8 +131,9 @@ def _first_children(s, d):
 
 
 def _hash_embed(s, d):
-    rows = inference.embed_documents(_docs(s, d), "text", "text", use_translated=False)
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    rows = inference.embed_documents(_docs(s, d), "text", "text", use_translated=False, kind="double")
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
+    values = F.array_join(F.transform("embedding", lambda x: F.round(x * 1_000_000).cast("long").cast("string")), ",")
     return rows.select(
         "doc_id",
         "text_length",
@@ -140,6 +141,7 @@ def _hash_embed(s, d):
         "is_translated",
         F.size("embedding").alias("dim"),
         F.round(norm, 5).alias("norm"),
+        F.md5(values.cast("binary")).alias("values_md5"),
     )
 
 

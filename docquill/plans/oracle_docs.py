@@ -195,9 +195,19 @@ SQL: dict[str, str] = {
   SELECT source_file_name || '_' || chunk_index AS chunk_id, length(chunk_text) AS n FROM chunked""",
     "apply_model": f"""WITH {chunked('documents', 'text', 'doc_id')}
   SELECT doc_id, chunk_index, {VOWELS} AS translated_text FROM chunked""",
-    "hash_embed": """SELECT doc_id, length(text) AS text_length, 'hashed-tokens' AS embedding_model,
-  false AS is_translated, 256 AS dim,
-  CAST(CASE WHEN regexp_matches(text, '[\\p{L}\\p{N}]') THEN 1 ELSE 0 END AS DOUBLE) AS norm FROM documents""",
+    "hash_embed": """WITH toks AS (
+  SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '')) AS t FROM documents),
+counts AS (
+  SELECT doc_id, CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) % 256 AS place, count(*) AS n FROM toks GROUP BY ALL),
+norms AS (SELECT doc_id, sqrt(sum(n * n)) AS norm FROM counts GROUP BY doc_id),
+cells AS (
+  SELECT d.doc_id, p.place, coalesce(CAST(round(n / norm * 1000000) AS BIGINT), 0) AS x
+  FROM documents d CROSS JOIN range(256) p(place) LEFT JOIN norms USING (doc_id)
+  LEFT JOIN counts c ON c.doc_id = d.doc_id AND c.place = p.place),
+joined AS (SELECT doc_id, md5(string_agg(x, ',' ORDER BY place)) AS values_md5 FROM cells GROUP BY doc_id)
+SELECT doc_id, length(text) AS text_length, 'hashed-tokens' AS embedding_model, false AS is_translated, 256 AS dim,
+  CAST(CASE WHEN norm IS NULL THEN 0 ELSE 1 END AS DOUBLE) AS norm, values_md5
+FROM documents JOIN joined USING (doc_id) LEFT JOIN norms USING (doc_id)""",
     "reassemble": f"WITH {JOINED} SELECT * FROM docs",
     "join_documents": f"""WITH {JOINED}
   SELECT f.source_file_name, f.source_page_count, md5(full_document_text) AS raw_md5,
