@@ -105,8 +105,9 @@ def answer_questions(
             rows = rows.unionByName(part)
         # A round's rows in the shared folder, finished ones in a part of their own.
         path = work_path(spark, "answers")
-        _moved(rows).withColumn("done", (F.col("step") == END).cast("int")).write.partitionBy("done").parquet(path)
-        written = spark.read.parquet(path)
+        rows = _moved(rows).withColumn("done", (F.col("step") == END).cast("int"))
+        rows.write.partitionBy("done").parquet(path)
+        written = spark.read.schema(rows.schema).parquet(path)
         ended, frontier = written.where("done = 1").select(columns), written.where("done = 0").select(columns)
         finished = ended if finished is None else finished.unionByName(ended)
         # As many rows as there are steps.
