@@ -158,6 +158,48 @@ def look_up(rows: DataFrame, history: DataFrame, shards: int, most: int = ROWS)
     return asking.groupBy("shard", "salt").cogroup(copies.groupBy("shard", "salt")).applyInArrow(_look_up, schema)
 
 
+def _update(shard: pa.Table, more: pa.Table) -> pa.Table:
+    """A shard whose slots take in further rows of their digests: the winner may change, the copies add up."""
+    if not more.num_rows or not shard.num_rows:
+        return shard
+    sizes, raw = shard.column("sizes")[0].as_py(), shard.column("bits")[0].as_py()
+    bits = np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little")[: sum(sizes)].astype(bool)
+    slots = PerfectHash(sizes, bits).slot(_keys(_matrix(more.column("digest"))))
+    ids, chars, copies = (shard.column(c)[0].as_py() for c in ("ids", "chars", "copies"))
+    for slot, i, n, m in zip(slots.tolist(), *(more.column(c).to_pylist() for c in ("id", "chars", "copies")), strict=True):
+        copies[slot] += m
+        if (-n, i is None, i or 0) < (-chars[slot], ids[slot] is None, ids[slot] or 0):
+            ids[slot], chars[slot] = i, n
+    kept = {c: shard.column(c) for c in ("shard", "sizes", "bits", "digests")}
+    return pa.table(kept | {c: pa.array([v], pa.list_(pa.int64())) for c, v in (("ids", ids), ("chars", chars), ("copies", copies))})
+
+
+def update_history(history: tuple[DataFrame, int], rows: DataFrame) -> tuple[DataFrame, int]:
+    """The history after further rows of digests that it has; others are an error of the caller's."""
+    table, shards = history
+    first = F.struct((-F.col("chars")).alias("chars"), F.col("id").isNull().alias("none"), F.col("id").alias("id"))
+    more = rows.groupBy("digest").agg(F.min(first).alias("w"), F.count("*").alias("copies"))
+    more = more.select(_shard(shards).alias("shard"), "digest", F.col("w.id").alias("id"), (-F.col("w.chars")).alias("chars"), "copies")
+    updated = table.groupBy("shard").cogroup(more.groupBy("shard")).applyInArrow(_update, HISTORY)
+    return settled(updated, "history"), shards
+
+
+def decide_in_parts(rows: DataFrame, earlier: Column) -> DataFrame:
+    """The columns of `decide`, by a history of the earlier rows, whatever rows are called earlier.
+
+    Later rows are looked up in the history of the earlier ones. Members are taken into their digests' slots; all rows are
+    then answered by the updated history, and those it doesn't know are grouped among themselves.
+    """
+    history = build_history(rows.where(earlier))
+    found = settled(look_up(rows.where(~earlier), *history), "members")
+    history = update_history(history, found.where("member").select("id", "digest", "chars"))
+    known = settled(look_up(rows, *history), "answers")
+    strangers = known.where("not member").select("id", "digest", "chars")
+    own = known.where("member").unionByName(look_up(strangers, *build_history(strangers)))
+    wins = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("chars") == F.col("keep_chars")) & F.col("first")
+    return own.select("id", "chars", "keep_id", "copies", wins.alias("kept"), "digest")
+
+
 def decide(rows: DataFrame, history: tuple[DataFrame, int] | None = None) -> DataFrame:
     """Per digest row: id, chars, keep_id, copies, kept and digest.
 

@@ -66,3 +66,14 @@ def test_columns_with_the_operators_own_names_are_kept(spark):
     df = spark.createDataFrame([(1, "a b", "x", 7, "d", 1.5), (2, "ab", "y", 8, "e", 2.5), (3, "c", "z", 9, "f", 3.5)], "doc_id long, text string, _id string, _chars int, _digest string, `_row` double")
     assert sorted(tuple(r) for r in exact.keep_first(df).collect()) == [(1, "a b", "x", 7, "d", 1.5), (3, "c", "z", 9, "f", 3.5)]
     assert exact.keep_first(df).columns == df.columns
+
+
+@pytest.mark.parametrize("keys", [100_000, 2])
+def test_parts_agree_with_all_rows_at_once(spark, monkeypatch, keys):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(exact.build_history, "__defaults__", (keys,))
+    df = spark.createDataFrame(ROWS, "doc_id long, text string")
+    rows = exact.digests(df)
+    for earlier in (F.coalesce(F.col("id") <= 5, F.lit(False)), F.coalesce(F.col("id") > 3, F.lit(True)), F.lit(True), F.lit(False)):
+        assert shown(exact.decide_in_parts(rows, earlier)) == sorted(brute(ROWS), key=str)
