@@ -87,3 +87,29 @@ def test_very_long_numbers_with_leading_zeros():
     for text in ("0" * 5000 + "1.1.1.1", "1.1.1." + "0" * 9000, "9" * 5000 + ".1.1.1"):
         ips = [s for s in pii.find_spans(text) if s[0] == "ip" and not s[3]]
         assert ips == ([] if text[0] == "9" else [("ip", 0, len(text), False)])
+
+
+def test_disguises_planted_in_texts_are_found():
+    """Recall on disguised addresses and numbers that no pattern was written after: every kind, in the middle of words."""
+    import random
+
+    rng = random.Random(11)
+    words = "the of report and house with river many often und nicht avec para".split()
+    spelled = dict(zip("0123456789", "zero one two three four five six seven eight nine".split(), strict=True))
+    caught = total = 0
+    for _ in range(300):
+        name, host = ("".join(rng.choices("bcdfgklmnprstuvw", k=rng.randint(4, 8))) for _ in range(2))
+        kind = rng.choice(["email", "ip", "phone"])
+        if kind == "email":
+            at, dot = rng.choice([(" at ", " dot "), ("[at]", "[dot]"), (" (at) ", " (dot) "), ("@", "[.]")])
+            planted = f"{name}{at}{host}{dot}com"
+        elif kind == "ip":
+            planted = rng.choice([" dot ", "[.]", "(.)"]).join(str(rng.randrange(10, 255)) for _ in range(4))
+        else:
+            planted = "plus " + " ".join(spelled[rng.choice("0123456789")] for _ in range(11))
+        before, after = (" ".join(rng.choices(words, k=12)) for _ in range(2))
+        text = f"{before}, {planted}, {after}"
+        spans = [s for s in pii.find_spans(text) if s[3] and s[0] == kind]
+        total += 1
+        caught += any(a < len(before) + 2 + len(planted) and b > len(before) + 2 for _, a, b, _ in spans)
+    assert caught >= 0.9 * total, (caught, total)
