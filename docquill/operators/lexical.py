@@ -32,8 +32,8 @@ from ..session import work_path
 BM25_K1 = 1.2
 BM25_B = 0.75
 DECIMALS = 9
-#: Documents of a block, folders of the postings, and blocks whose postings of a term share a folder.
-BLOCK_ROWS, BUCKETS, BLOCK_RUN = 1024, 8, 64
+#: Documents of a block and bytes of their texts on average, folders of the postings, and blocks whose postings of a term share a folder.
+BLOCK_ROWS, BLOCK_BYTES, BUCKETS, BLOCK_RUN = 1024, 8 << 20, 8, 64
 #: Questions of a group, and bytes of their terms and vectors.
 GROUP_ROWS, GROUP_BYTES = 2048, 16 << 20
 MERGE_GROUPS = 64
@@ -59,36 +59,70 @@ class TextIndex:
 
     @property
     def postings(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/postings")
+        lists = f"ids array<{self.id_type}>, tfs array<int>, dls array<int>"
+        return self.spark.read.schema(f"term string, block int, {lists}, n int, words long, top_tf int, least_dl int, bucket int").parquet(f"{self.path}/postings")
 
     @property
     def packed_vectors(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/vectors")
 
 
+def _packer(schema: pa.Schema) -> Callable[[pa.Table], pa.Table]:
+    def pack(table: pa.Table) -> pa.Table:
+        """A block's documents (id, toks) as one row per term with the documents that have it, by id."""
+        table = table.sort_by("id").combine_chunks()
+        if not table.num_rows:
+            return schema.empty_table()
+        lists = table.column("toks").chunk(0)
+        coded = lists.flatten().dictionary_encode()
+        lengths = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        doc = np.repeat(np.arange(len(lists)), lengths)
+        # Distinct (term, document), terms first, with their numbers.
+        pair, tf = np.unique(coded.indices.to_numpy().astype(np.int64) * len(lists) + doc, return_counts=True)
+        term, doc = np.divmod(pair, len(lists))
+        edges = np.concatenate([np.flatnonzero(np.diff(term, prepend=-1)), [len(term)]])
+        starts = edges[:-1]
+        offsets, dl, tf = pa.array(edges, pa.int32()), lengths[doc].astype(np.int32), tf.astype(np.int32)
+        if not len(starts):
+            return schema.empty_table()
+        columns = [
+            coded.dictionary.take(pa.array(term[starts])),
+            pa.array(np.full(len(starts), table.column("block")[0].as_py(), np.int32)),
+            pa.ListArray.from_arrays(offsets, table.column("id").chunk(0).take(pa.array(doc))),
+            pa.ListArray.from_arrays(offsets, pa.array(tf)),
+            pa.ListArray.from_arrays(offsets, pa.array(dl)),
+            pa.array(np.diff(edges).astype(np.int32)),
+            pa.array(np.add.reduceat(tf.astype(np.int64), starts)),
+            pa.array(np.maximum.reduceat(tf, starts)),
+            pa.array(np.minimum.reduceat(dl, starts)),
+        ]
+        return pa.Table.from_arrays(columns, names=schema.names).cast(schema)
+
+    return pack
+
+
 def build_text_index(corpus: DataFrame, cid: str = "chunk_id", ctext: str = "text", vector: str | None = None, block_rows: int | None = None) -> TextIndex:
     """Write the index of all texts that aren't null; with `vector` also the packed vectors of the blocks."""
     spark = corpus.sparkSession
     path = work_path(spark, "text-index")
-    size = corpus.agg(F.count(F.lit(1)).alias("rows"), F.count(ctext).alias("texts")).first()
-    blocks = max(1, -(-size.rows // (block_rows or BLOCK_ROWS)))
+    told = [F.count(F.lit(1)).alias("rows"), F.count(ctext).alias("texts"), F.coalesce(F.sum(F.octet_length(ctext)), F.lit(0)).alias("bytes")]
+    size = corpus.agg(*told).first()
+    blocks = max(1, -(-size.rows // (block_rows or BLOCK_ROWS)), -(-size.bytes // BLOCK_BYTES))
+    id_type = corpus.schema[cid].dataType.simpleString()
     block = F.pmod(F.xxhash64(cid), F.lit(blocks)).cast("int").alias("block")
     toks = corpus.where(F.col(ctext).isNotNull()).select(F.col(cid).alias("id"), block, tokens(F.col(ctext)).alias("toks"))
-    # The outer form keeps the optimizer from testing for empty lists, for which it would split the text twice.
-    words = toks.select("id", "block", F.size("toks").alias("dl"), F.explode_outer("toks").alias("term")).where("term is not null")
-    counts = words.groupBy("block", "term", "id", "dl").agg(F.count(F.lit(1)).cast("int").alias("tf"))
+    schema = f"term string, block int, ids array<{id_type}>, tfs array<int>, dls array<int>, n int, words long, top_tf int, least_dl int"
+    packed = toks.groupBy("block").applyInArrow(_packer(arrow_schema(schema)), schema)
     bucket = F.pmod(F.xxhash64("term", F.floor(F.col("block") / BLOCK_RUN)), F.lit(BUCKETS)).cast("int")
-    counts = counts.withColumn("bucket", bucket).repartition("bucket", "term", "block")
-    lists = F.collect_list(F.struct("id", "tf", "dl")).alias("l")
-    packed = counts.groupBy("bucket", "term", "block").agg(lists, F.sum("tf").alias("words"), F.max("tf").alias("top_tf"), F.min("dl").alias("least_dl"))
-    packed = packed.select("bucket", "term", "block", *[F.col(f"l.{c}").alias(to) for c, to in (("id", "ids"), ("tf", "tfs"), ("dl", "dls"))], F.size("l").alias("n"), "words", "top_tf", "least_dl")
+    packed = packed.withColumn("bucket", bucket).repartition("bucket")
     packed.sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{path}/postings")
     if vector:
         rows = corpus.where(F.col(vector).isNotNull()).select(block, F.struct(F.col(cid).alias("id"), F.col(vector).cast("array<double>").alias("v")).alias("x"))
         rows = rows.groupBy("block").agg(F.collect_list("x").alias("x"))
         rows.select("block", F.col("x.id").alias("ids"), F.flatten("x.v").alias("flat")).write.parquet(f"{path}/vectors")
-    total = spark.read.parquet(f"{path}/postings").agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
-    return TextIndex(spark, path, cid, corpus.schema[cid].dataType.simpleString(), size.texts, total / max(size.texts, 1), blocks, vector is not None)
+    # A corpus without a word has no folder of postings.
+    total = spark.read.schema(f"{schema}, bucket int").parquet(f"{path}/postings").agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
+    return TextIndex(spark, path, cid, id_type, size.texts, total / max(size.texts, 1), blocks, vector is not None)
 
 
 @dataclass(frozen=True)
