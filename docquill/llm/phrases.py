@@ -43,8 +43,6 @@ from .common import batch_bytes, mixed, pieces, settled, size_of, small
 BLOCK, MEMBER_BITS, MOST_BITS = 1 << 20, 4, 27
 #: Text bytes that a block is made of at most, if it has but one language.
 TEXT_BYTES = 4 << 20
-#: Blocks that a task counts together.
-TASK_BLOCKS = 64
 #: Bits of the keys that phrases are first counted by.
 KEY_BITS = 40
 #: A word that more phrases than this have is salted into parts of so many; parts of a language for ranking.
@@ -268,8 +266,6 @@ def frequent(
     with batch_bytes(docs.sparkSession):
         for seed in range(seeds):
             encoded = encode(docs, text, lang, seed, block)
-            # Counts are summed within a task before they are sent: many blocks to a task make few rows of many.
-            encoded = encoded.coalesce(max(2 * docs.sparkSession.sparkContext.defaultParallelism, encoded.count() // TASK_BLOCKS))
             each = _dictionary(encoded)
             often = settled(each.groupBy("a").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "often")
             words = _told(each.select("lang", "a", "word"), often, ["a"]).groupBy("a", "n", "lang", "word").count().drop("count")
