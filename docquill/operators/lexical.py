@@ -2,7 +2,7 @@
 
 A document belongs to a block by the hash of its id. A row of the postings has a term, a block and the packed ids, counts and
 lengths of the block's documents that have the term, with the largest count and the smallest length, which bound the term's
-weight there. A term of every document is many rows, one per block, and its rows lie in different folders. A batch of questions
+weight there. A term of every document is many rows, one per block, and its rows lie in different files. A batch of questions
 reads the postings of its terms only; texts are neither read nor split again.
 
 The k best: bounds of all blocks come from the narrow columns; each question's most promising block is scored first, its k-th
@@ -32,8 +32,9 @@ from ..session import work_path
 BM25_K1 = 1.2
 BM25_B = 0.75
 DECIMALS = 9
-#: Documents of a block and bytes of their texts on average, folders of the postings, and blocks whose postings of a term share a folder.
-BLOCK_ROWS, BLOCK_BYTES, BUCKETS, BLOCK_RUN = 1024, 8 << 20, 8, 64
+#: Documents of a block and bytes of their texts on average, blocks that a task packs and whose postings one writes, on average, and
+#: blocks whose postings of a term share a file.
+BLOCK_ROWS, BLOCK_BYTES, PACK_BLOCKS, FILE_BLOCKS, BLOCK_RUN = 1024, 8 << 20, 4, 8, 64
 #: Questions of a group, and bytes of their terms and vectors.
 GROUP_ROWS, GROUP_BYTES = 2048, 16 << 20
 MERGE_GROUPS = 64
@@ -60,7 +61,7 @@ class TextIndex:
     @property
     def postings(self) -> DataFrame:
         lists = f"ids array<{self.id_type}>, tfs array<int>, dls array<int>"
-        return self.spark.read.schema(f"term string, block int, {lists}, n int, words long, top_tf int, least_dl int, bucket int").parquet(f"{self.path}/postings")
+        return self.spark.read.schema(f"term string, block int, {lists}, n int, words long, top_tf int, least_dl int").parquet(f"{self.path}/postings")
 
     @property
     def packed_vectors(self) -> DataFrame:
@@ -110,18 +111,18 @@ def build_text_index(corpus: DataFrame, cid: str = "chunk_id", ctext: str = "tex
     blocks = max(1, -(-size.rows // (block_rows or BLOCK_ROWS)), -(-size.bytes // BLOCK_BYTES))
     id_type = corpus.schema[cid].dataType.simpleString()
     block = F.pmod(F.xxhash64(cid), F.lit(blocks)).cast("int").alias("block")
-    toks = corpus.where(F.col(ctext).isNotNull()).select(F.col(cid).alias("id"), block, tokens(F.col(ctext)).alias("toks"))
+    # Texts are dealt out, not their tokens, which take several times the room; the more blocks, the more tasks.
+    texts = corpus.where(F.col(ctext).isNotNull()).select(F.col(cid).alias("id"), block, F.col(ctext).alias("text"))
+    toks = texts.repartition(-(-blocks // PACK_BLOCKS), "block").select("id", "block", tokens(F.col("text")).alias("toks"))
     schema = f"term string, block int, ids array<{id_type}>, tfs array<int>, dls array<int>, n int, words long, top_tf int, least_dl int"
     packed = toks.groupBy("block").applyInArrow(_packer(arrow_schema(schema)), schema)
-    bucket = F.pmod(F.xxhash64("term", F.floor(F.col("block") / BLOCK_RUN)), F.lit(BUCKETS)).cast("int")
-    packed = packed.withColumn("bucket", bucket).repartition("bucket")
-    packed.sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{path}/postings")
+    packed = packed.repartition(-(-blocks // FILE_BLOCKS), "term", F.floor(F.col("block") / BLOCK_RUN))
+    packed.sortWithinPartitions("term").write.parquet(f"{path}/postings")
     if vector:
         rows = corpus.where(F.col(vector).isNotNull()).select(block, F.struct(F.col(cid).alias("id"), F.col(vector).cast("array<double>").alias("v")).alias("x"))
         rows = rows.groupBy("block").agg(F.collect_list("x").alias("x"))
         rows.select("block", F.col("x.id").alias("ids"), F.flatten("x.v").alias("flat")).write.parquet(f"{path}/vectors")
-    # A corpus without a word has no folder of postings.
-    total = spark.read.schema(f"{schema}, bucket int").parquet(f"{path}/postings").agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
+    total = spark.read.schema(schema).parquet(f"{path}/postings").agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
     return TextIndex(spark, path, cid, id_type, size.texts, total / max(size.texts, 1), blocks, vector is not None)
 
 

@@ -259,3 +259,34 @@ def test_groundedness_share(spark):
 def test_query_keywords(spark):
     rows = spark.createDataFrame([("Which records should erasure, cover records portability",)], "q string")
     assert rows.select(retrieval.query_keywords(F.col("q"))).first()[0] == "records cover portability"
+
+
+def test_postings_are_written_by_more_tasks_the_more_blocks(spark, monkeypatch):
+    monkeypatch.setattr(lexical, "BLOCK_ROWS", 2)
+    docs = spark.range(400).select(F.col("id").alias("chunk_id"), F.concat(F.lit("same words "), F.col("id").cast("string")).alias("text"))
+    index = lexical.build_text_index(docs)
+    sizes = [r.n for r in index.postings.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert index.blocks == 200 and sum(sizes) >= 400
+    # Twice as many files as there were folders, and no file with more than a small part.
+    assert len(sizes) > 10 and max(sizes) < sum(sizes) / 5
+
+
+def test_sources_are_searched_without_joining_them_again(spark, sf):
+    from docquill.plans import testbed
+
+    for rows in (testbed.passages(spark, sf), testbed.indexes(spark, sf)["fines"]):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "parquet" in plan
+
+
+def test_expansion_finds_the_context_so_far_once(spark, small_indexes):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        seen.add(1)
+        return x
+
+    mark = F.udf(count, "long").asNondeterministic()
+    state = retrieval.multi_source_retrieve(asked(spark), small_indexes).withColumn("n", mark("query_id"))
+    assert retrieval.expand_sources(state, small_indexes).count() == 2
+    assert seen.value == 2
