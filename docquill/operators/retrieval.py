@@ -96,7 +96,10 @@ class Source:
 
 
 def open_sources(indexes: Mapping[str, DataFrame | Source]) -> dict[str, Source]:
-    """Every source with its index: postings and vectors for fused search, cells for search by vectors only."""
+    """Every source with its index: postings and vectors for fused search, cells for search by vectors only.
+
+    Rows are read when the index is built and by every search, for the hits' texts: give tables, not joins.
+    """
     return {
         name: rows if isinstance(rows, Source)
         else Source(rows, build_text_index(rows, vector="embedding") if name in HYBRID_SOURCES else build_vector_index(rows))
@@ -185,6 +188,9 @@ def multi_source_retrieve(
     `questions` has the query_* flags, the text and the embedding; each index
     has chunk_id, label, text and embedding, or is a `Source` opened before.
     """
+    # Every source's search reads its questions several times.
+    shared_dir(questions.sparkSession)
+    questions = questions.checkpoint()
     asked = {s: questions.filter(f"query_{s}") for s in QUOTES}
     found = _search_sources(asked, indexes, k, cut, qid, query)
     queried = F.filter(
@@ -213,6 +219,9 @@ def expand_sources(
     query: str = "question",
 ) -> DataFrame:
     """Search the sources not queried so far and append what they give to the context."""
+    # Every source's search reads its questions several times; what found the context so far is run once.
+    shared_dir(state.sparkSession)
+    state = state.checkpoint()
     asked = {s: state.filter(~F.array_contains("sources_queried", s)) for s in QUOTES}
     found = _search_sources(asked, indexes, k, cut, qid, query)
     old, new = F.coalesce("retrieved_context", F.lit("")), F.coalesce("found", F.lit(""))
