@@ -1,4 +1,5 @@
 import hashlib
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -60,3 +61,15 @@ def test_query_and_empty_table(spark):
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha(",".join(map(str, ids))), sha(texts[r.doc_id] or ""))
     none = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.decode(bpe.encode(none, PATH, public_tokenizers.PATTERN), PATH).count() == 0
+
+
+def test_memory_is_not_copied_for_long_pieces():
+    encoder = bpe.Encoder(PATH, public_tokenizers.PATTERN)
+    encoder.seen = {str(i): b"" for i in range(200_000)}
+    long = "a" * (bpe.LONGEST + 1)
+    tracemalloc.start()
+    got = [np.frombuffer(b, np.int32).tolist() for b in encoder.encode(["short words", long])]
+    assert tracemalloc.get_traced_memory()[1] < 1 << 20
+    tracemalloc.stop()
+    assert got == [PLAIN.encode_ordinary("short words"), PLAIN.encode_ordinary(long)]
+    assert long not in encoder.seen and "short" in encoder.seen
