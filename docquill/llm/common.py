@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager, suppress
 
@@ -17,13 +18,15 @@ from ..session import work_path
 PIECE_BYTES = 2 << 20
 
 
-def settled(df: DataFrame, name: str) -> DataFrame:
+def settled(df: DataFrame, name: str, group: int = 0) -> DataFrame:
     """The rows written to the cluster's shared folder and read back.
 
-    Later reads survive lost executors, and costly Python work is done once.
+    Later reads survive lost executors, and costly Python work is done once. Of rows of some MB a file is written and read whole
+    otherwise; `group` names how many of them are to be in memory together, and they are compressed more.
     """
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
+    options = {"parquet.block.row.count.limit": group, "compression": "zstd"} if group else {}
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -39,6 +42,19 @@ def batch_bytes(spark: SparkSession, limit: int = 8 << 20) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def whole_files(spark: SparkSession, limit: int = 32 << 20) -> Iterator[None]:
+    """Files of at most so many bytes aren't split among tasks by what is planned inside; a larger setting stays."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    number, unit = re.match(r"(\d+)([kmgtp]?)", before.strip().lower()).groups()
+    spark.conf.set(name, str(max(limit, int(number) << 10 * " kmgtp".index(unit or " "))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def size_of(df: DataFrame) -> int:
     """Bytes of a settled table, as its files have them."""
     files = df.inputFiles()

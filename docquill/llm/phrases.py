@@ -16,6 +16,9 @@ A set of proposed or frequent phrases reaches the tasks as a bit array over hash
 member only means that a phrase too many is counted, so counts are exact whatever fits. Phrases are known by
 the hashes of their words; two words with one hash are detected and the run is repeated with another seed.
 
+Blocks are some MB each, so they are written and read one at a time, and a task has those of whole files: what it counts together
+isn't shuffled apart.
+
 A pass counts short keys of phrases first and then, by their words, only the phrases whose key is frequent. Both are counted within
 blocks, then within tasks, then after the shuffle; tables with each phrase's parts are joined on their
 words with hot words salted; the first ranks are taken per share of a language, then per language. So neither a common
@@ -37,12 +40,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch_bytes, mixed, pieces, settled, size_of, small
+from .common import batch_bytes, mixed, pieces, settled, size_of, small, whole_files
 
 #: Words of a block, and bits of a member in a bit array and of the whole array at most (as powers of two).
 BLOCK, MEMBER_BITS, MOST_BITS = 1 << 20, 4, 27
-#: Text bytes that a block is made of at most, if it has but one language.
-TEXT_BYTES = 4 << 20
+#: Text bytes that a block is made of at most, if it has but one language; blocks that a task writes or reads at a time.
+TEXT_BYTES, GROUP = 4 << 20, 1
 #: Bits of the keys that phrases are first counted by.
 KEY_BITS = 40
 #: A word that more phrases than this have is salted into parts of so many; parts of a language for ranking.
@@ -119,7 +122,7 @@ def encode(docs: DataFrame, text: str = "text", lang: str = "lang", seed: int =
                 yield from _blocks(words, goes_on, name.as_py(), seed, block)
 
     rows = docs.select(F.coalesce(lang, F.lit("und")).alias("lang"), F.coalesce(text, F.lit("")).alias("text"))
-    return settled(rows.mapInArrow(run, ENCODED), "words")
+    return settled(rows.mapInArrow(run, ENCODED), "words", group=GROUP)
 
 
 class Members:
@@ -266,10 +269,11 @@ def frequent(
     with batch_bytes(docs.sparkSession):
         for seed in range(seeds):
             encoded = encode(docs, text, lang, seed, block)
-            each = _dictionary(encoded)
-            often = settled(each.groupBy("a").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "often")
-            words = _told(each.select("lang", "a", "word"), often, ["a"]).groupBy("a", "n", "lang", "word").count().drop("count")
-            words = settled(words, "frequent")
+            with whole_files(docs.sparkSession):
+                each = _dictionary(encoded)
+                often = settled(each.groupBy("a").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "often")
+                words = _told(each.select("lang", "a", "word"), often, ["a"]).groupBy("a", "n", "lang", "word").count().drop("count")
+                words = settled(words, "frequent")
             if words.count() == often.count():
                 break
         else:
@@ -277,18 +281,19 @@ def frequent(
         known = Members.of(often, F.col("a"))
         total = encoded.agg(F.coalesce(F.sum("starts"), F.lit(0))).first()[0]
         share = min(1.0, sample_words / max(total, 1))
-        base = propose(encoded, share, max(1, int(0.8 * least * share)) if share < 1 else least)
         found, borders, failures = None, [], []
-        while True:
-            border = (known, Members.of(base, _pair_key()))
-            more = count_border(encoded, border, borders, least)
-            found = more if found is None else found.unionByName(more)
-            borders.append(border)
-            pairs = found.where("c is null").select("a", "b")
-            failures.append(pairs.join(base, ["a", "b"], "left_anti").count())
-            if not failures[-1]:
-                return encoded, words, found, failures
-            base = pairs
+        with whole_files(docs.sparkSession):
+            base = propose(encoded, share, max(1, int(0.8 * least * share)) if share < 1 else least)
+            while True:
+                border = (known, Members.of(base, _pair_key()))
+                more = count_border(encoded, border, borders, least)
+                found = more if found is None else found.unionByName(more)
+                borders.append(border)
+                pairs = found.where("c is null").select("a", "b")
+                failures.append(pairs.join(base, ["a", "b"], "left_anti").count())
+                if not failures[-1]:
+                    return encoded, words, found, failures
+                base = pairs
 
 
 def _told(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:

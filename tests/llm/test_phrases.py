@@ -96,3 +96,28 @@ def test_scores_beyond_64_bits(spark):
 
 def test_empty_table(spark):
     assert phrases.collocations(spark.createDataFrame([], "lang string, text string")).count() == 0
+
+
+def test_blocks_are_in_memory_one_at_a_time(spark):
+    import pyarrow.parquet as pq
+
+    df = spark.createDataFrame([("en", f"one two w{k}") for k in range(50)], "lang string, text string").coalesce(1)
+    encoded = phrases.encode(df, block=7)
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in encoded.inputFiles()]
+    groups = [m.row_group(k).num_rows for m in files for k in range(m.num_row_groups)]
+    assert sum(groups) == encoded.count() > 10 and max(groups) == 1
+
+
+@pytest.mark.parametrize(("before", "inside"), [("1k", 32 << 20), ("16m", 32 << 20), ("134217728b", 128 << 20), ("134217728", 128 << 20), ("1GB", 1 << 30)])
+def test_blocks_of_a_file_are_read_by_one_task(spark, before, inside):
+    from docquill.llm.common import whole_files
+
+    name = "spark.sql.files.maxPartitionBytes"
+    kept = spark.conf.get(name)
+    spark.conf.set(name, before)
+    try:
+        with whole_files(spark):
+            assert int(spark.conf.get(name)) == inside
+        assert spark.conf.get(name) == before
+    finally:
+        spark.conf.set(name, kept)
