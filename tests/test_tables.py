@@ -130,3 +130,22 @@ def test_compaction_cuts_a_frequent_value(spark):
 def test_report_file(spark, tmp_path):
     path = files.write_report(spark.range(3), str(tmp_path / "r"))
     assert spark.read.option("header", True).csv(path).count() == 3
+
+
+def test_status_compares_keys_of_differing_ranges_only(spark):
+    rows = [(None if n == 7 else f"k{n}", str(n), "x" * 40) for n in range(6000)] + [("k1", "1", "x" * 40), ("k2", "2", "other")]
+    index = snapshot(spark, rows)
+
+    def status(new):
+        got = changes.index_status(index, snapshot(spark, new), "k", "n")
+        return tuple(got.first()), "sha2" in got._jdf.queryExecution().optimizedPlan().toString()
+
+    # Equal rows in another order: no row is left to be compared by its key.
+    assert status(rows[::-1]) == (("n", 6002, 6002, 0, 0, 0, True), False)
+    # A copy less, a key gone, a key new, and a row without key that has other text.
+    changed = [r for r in rows[:6000] if r[0] not in (None, "k9")] + [("k2", "2", "other"), (None, "7", "y"), ("new", "1", "")]
+    assert status(changed) == (("n", 6001, 6002, 1, 2, 1, False), True)
+    assert status([(k, h, b + "!") for k, h, b in rows]) == (("n", 6002, 6002, 0, 6000, 0, False), True)
+    assert status([]) == (("n", 0, 6002, 0, 0, 6000, False), True)
+    none = snapshot(spark, [])
+    assert tuple(changes.index_status(none, none, "k", "n").first()) == ("n", 0, 0, 0, 0, 0, True)
