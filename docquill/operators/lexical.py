bm25_topk: postings are written where they are packed and read once by a search

Symptom: on the small input (0.11 GB) the query read 24,004,970 rows for 1,000 results and shuffled 486 MB; on the large input (0.53 GB) it was stopped at 2.42 GB of disk while writing the index.
Evidence: the event log shows five scans of all 4,761,900 postings (words, document counts, bounds, two rounds of scoring) for 159,181 postings of the questions' terms, four runs of the join that makes the questions, and 270 of 486 MB in a second shuffle of the postings by term that no reader makes use of.
Fix: packing tasks write their blocks' postings and count the words on the way; a search writes the postings of all its questions' terms once and counts, bounds and scores from those; questions are checkpointed before they are searched.
Effect, together with 2 more commits on this code: at 1 GB of input CPU 821 -> 684 s, shuffle 4.92 -> 1.70 GB, spill 0.00 -> 0.00 GB, read 4.87 -> 3.30 GB, longest task 8 -> 10 s, most memory of a task 179 -> 179 MB; at 6 GB of input CPU 3739 -> 2594 s, shuffle 34.69 -> 12.16 GB, spill 0.00 -> 0.00 GB, read 30.10 -> 20.01 GB, longest task 9 -> 12 s, most memory of a task 319 -> 247 MB; with hot keys, at 1 GB of input CPU 396 -> 323 s, shuffle 1.18 -> 0.41 GB, spill 0.00 -> 0.00 GB, read 1.01 -> 0.69 GB, longest task 4 -> 7 s, most memory of a task 104 -> 104 MB.

@@ -2,8 +2,8 @@
 
 A document belongs to a block by the hash of its id. A row of the postings has a term, a block and the packed ids, counts and
 lengths of the block's documents that have the term, with the largest count and the smallest length, which bound the term's
-weight there. A term of every document is many rows, one per block, and its rows lie in different files. A batch of questions
-reads the postings of its terms only; texts are neither read nor split again.
+weight there. A term of every document is many rows, one per block; a file has all rows of some blocks. A batch of questions
+reads the postings once and keeps those of its terms; all further steps read these. Texts are neither read nor split again.
 
 The k best: bounds of all blocks come from the narrow columns; each question's most promising block is scored first, its k-th
 score is a floor, and only blocks whose bound reaches it are scored then. Nothing that could be among the k best is left out.
@@ -22,19 +22,19 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
 from ..session import work_path
+from .sizes import settle
 
 # BM25 constants.
 BM25_K1 = 1.2
 BM25_B = 0.75
 DECIMALS = 9
-#: Documents of a block and bytes of their texts on average, blocks that a task packs and whose postings one writes, on average, and
-#: blocks whose postings of a term share a file.
-BLOCK_ROWS, BLOCK_BYTES, PACK_BLOCKS, FILE_BLOCKS, BLOCK_RUN = 1024, 8 << 20, 4, 8, 64
+#: Documents of a block and bytes of their texts on average, and blocks that a task packs and writes, on average.
+BLOCK_ROWS, BLOCK_BYTES, PACK_BLOCKS = 1024, 8 << 20, 4
 #: Questions of a group, and bytes of their terms and vectors.
 GROUP_ROWS, GROUP_BYTES = 2048, 16 << 20
 MERGE_GROUPS = 64
@@ -106,8 +106,8 @@ def build_text_index(corpus: DataFrame, cid: str = "chunk_id", ctext: str = "tex
     """Write the index of all texts that aren't null; with `vector` also the packed vectors of the blocks."""
     spark = corpus.sparkSession
     path = work_path(spark, "text-index")
-    told = [F.count(F.lit(1)).alias("rows"), F.count(ctext).alias("texts"), F.coalesce(F.sum(F.octet_length(ctext)), F.lit(0)).alias("bytes")]
-    size = corpus.agg(*told).first()
+    sizes = [F.count(F.lit(1)).alias("rows"), F.count(ctext).alias("texts"), F.coalesce(F.sum(F.octet_length(ctext)), F.lit(0)).alias("bytes")]
+    size = corpus.agg(*sizes).first()
     blocks = max(1, -(-size.rows // (block_rows or BLOCK_ROWS)), -(-size.bytes // BLOCK_BYTES))
     id_type = corpus.schema[cid].dataType.simpleString()
     block = F.pmod(F.xxhash64(cid), F.lit(blocks)).cast("int").alias("block")
@@ -115,15 +115,15 @@ def build_text_index(corpus: DataFrame, cid: str = "chunk_id", ctext: str = "tex
     texts = corpus.where(F.col(ctext).isNotNull()).select(F.col(cid).alias("id"), block, F.col(ctext).alias("text"))
     toks = texts.repartition(-(-blocks // PACK_BLOCKS), "block").select("id", "block", tokens(F.col("text")).alias("toks"))
     schema = f"term string, block int, ids array<{id_type}>, tfs array<int>, dls array<int>, n int, words long, top_tf int, least_dl int"
-    packed = toks.groupBy("block").applyInArrow(_packer(arrow_schema(schema)), schema)
-    packed = packed.repartition(-(-blocks // FILE_BLOCKS), "term", F.floor(F.col("block") / BLOCK_RUN))
-    packed.sortWithinPartitions("term").write.parquet(f"{path}/postings")
+    # Postings are written by the tasks that pack them: a block's lie in one file, and their words are counted on the way.
+    told = Observation()
+    packed = toks.groupBy("block").applyInArrow(_packer(arrow_schema(schema)), schema).observe(told, F.sum("words").alias("words"))
+    packed.write.parquet(f"{path}/postings")
     if vector:
         rows = corpus.where(F.col(vector).isNotNull()).select(block, F.struct(F.col(cid).alias("id"), F.col(vector).cast("array<double>").alias("v")).alias("x"))
         rows = rows.groupBy("block").agg(F.collect_list("x").alias("x"))
         rows.select("block", F.col("x.id").alias("ids"), F.flatten("x.v").alias("flat")).write.parquet(f"{path}/vectors")
-    total = spark.read.schema(schema).parquet(f"{path}/postings").agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
-    return TextIndex(spark, path, cid, id_type, size.texts, total / max(size.texts, 1), blocks, vector is not None)
+    return TextIndex(spark, path, cid, id_type, size.texts, (told.get["words"] or 0) / max(size.texts, 1), blocks, vector is not None)
 
 
 @dataclass(frozen=True)
@@ -145,10 +145,24 @@ def question_groups(queries: DataFrame, qid: str, row_bytes: Column) -> Iterator
         yield queries.where(F.pmod(F.xxhash64(qid), F.lit(parts)) == part) if parts > 1 else queries
 
 
-def _known_terms(index: TextIndex, queries: DataFrame, qid: str, qtext: str) -> DataFrame:
+def _asked_terms(queries: DataFrame, qid: str, qtext: str) -> DataFrame:
+    """(qid, term): the distinct terms of every question."""
+    return queries.select(qid, F.explode(F.array_distinct(tokens(F.col(qtext)))).alias("term"))
+
+
+def _asked_postings(index: TextIndex, queries: DataFrame, qid: str, qtext: str) -> DataFrame:
+    """The postings of all questions' terms, written once: every group counts, bounds and scores from them."""
+    terms = settle(_asked_terms(queries, qid, qtext).select("term").distinct())
+    rows = index.postings.drop("words")
+    path = work_path(index.spark, "asked-postings")
+    rows.join(terms, "term", "left_semi").select(rows.columns).write.parquet(path)
+    return index.spark.read.schema(rows.schema).parquet(path)
+
+
+def _known_terms(index: TextIndex, postings: DataFrame, queries: DataFrame, qid: str, qtext: str) -> DataFrame:
     """(qid, term, idf) of the questions' distinct terms that the index has, computed once. Questions are of bounded size."""
-    asked = queries.select(qid, F.explode(F.array_distinct(tokens(F.col(qtext)))).alias("term"))
-    df = index.postings.join(F.broadcast(asked.select("term").distinct()), "term").groupBy("term").agg(F.sum("n").alias("df"))
+    asked = _asked_terms(queries, qid, qtext)
+    df = postings.join(F.broadcast(asked.select("term").distinct()), "term").groupBy("term").agg(F.sum("n").alias("df"))
     idf = F.ln(1 + (F.lit(index.texts) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     return asked.join(df, "term").select(qid, "term", idf.alias("idf")).checkpoint()
 
@@ -222,9 +236,9 @@ def best_columns(values: np.ndarray, k: int) -> np.ndarray:
     return np.argsort(-values, axis=1, kind="stable")
 
 
-def _wanted_rows(index: TextIndex, terms: DataFrame, vectors: bool) -> DataFrame:
+def _wanted_rows(index: TextIndex, postings: DataFrame, terms: DataFrame, vectors: bool) -> DataFrame:
     """Postings of the terms, and packed vectors, as rows of one table."""
-    rows = index.postings.join(F.broadcast(terms.select("term").distinct()), "term", "left_semi")
+    rows = postings.join(F.broadcast(terms.select("term").distinct()), "term", "left_semi")
     rows = rows.select("block", "term", "ids", "tfs", "dls", F.array().cast("array<double>").alias("flat"))
     if not vectors:
         return rows
@@ -278,23 +292,24 @@ def _cast(work: Callable[[pa.Table, pa.Table], pa.Table], ddl: str) -> Callable[
 def lexical_topk(index: TextIndex, queries: DataFrame, k: int, qid: str = "query_id", qtext: str = "question") -> DataFrame:
     """(qid, cid, score, rank): the k best texts per question by BM25; texts without any of its terms are no hits."""
     out = None
+    postings = _asked_postings(index, queries, qid, qtext)
     for group in question_groups(queries, qid, F.octet_length(qtext) * 4):
-        hits = _lexical_group(index, group, k, qid, qtext)
+        hits = _lexical_group(index, postings, group, k, qid, qtext)
         out = hits if out is None else out.unionByName(hits)
     return out
 
 
-def _lexical_group(index: TextIndex, queries: DataFrame, k: int, qid: str, qtext: str) -> DataFrame:
-    terms = _known_terms(index, queries, qid, qtext)
+def _lexical_group(index: TextIndex, postings: DataFrame, queries: DataFrame, k: int, qid: str, qtext: str) -> DataFrame:
+    terms = _known_terms(index, postings, queries, qid, qtext)
     asked = _asked(index, queries, terms, qid, None)
     q_type = queries.schema[qid].dataType.simpleString()
     schema = f"{qid} {q_type}, {index.cid} {index.id_type}, score double, block int"
     numbers = index.spark.createDataFrame(list(zip(asked.ids, range(len(asked.ids)), strict=True)), f"{qid} {q_type}, number int")
     bound = F.sum(F.col("idf") * term_weight(F.col("top_tf"), F.col("least_dl"), index.mean or 1.0))
-    bounds = index.postings.select("term", "block", "top_tf", "least_dl").join(F.broadcast(terms), "term").groupBy(qid, "block").agg(bound.alias("bound"))
+    bounds = postings.select("term", "block", "top_tf", "least_dl").join(F.broadcast(terms), "term").groupBy(qid, "block").agg(bound.alias("bound"))
     bounds = bounds.join(F.broadcast(numbers), qid).checkpoint()
     first = bounds.groupBy(qid).agg(F.max_by(F.struct("block", "number"), F.struct("bound", -F.col("block"))).alias("b")).select(qid, "b.block", "b.number")
-    rows = _wanted_rows(index, terms, False)
+    rows = _wanted_rows(index, postings, terms, False)
     names = [qid, index.cid]
     top = _score(index, asked, rows, first, k, schema, names).checkpoint()
     floor = top.groupBy(qid).agg(F.min("score").alias("floor"), F.count("*").alias("n")).where(F.col("n") >= k).select(qid, "floor")
@@ -311,18 +326,19 @@ def fused_topk(index: TextIndex, queries: DataFrame, k: int, offset: int, qid: s
     the rows up to there in either are all that can come first.
     """
     out = None
+    postings = _asked_postings(index, queries, qid, qtext)
     for group in question_groups(queries, qid, F.octet_length(qtext) * 4 + F.coalesce(F.size(vector), F.lit(0)) * 8):
-        hits = _fused_group(index, group, k, offset, qid, qtext, vector)
+        hits = _fused_group(index, postings, group, k, offset, qid, qtext, vector)
         out = hits if out is None else out.unionByName(hits)
     return out
 
 
-def _fused_group(index: TextIndex, queries: DataFrame, k: int, offset: int, qid: str, qtext: str, vector: str) -> DataFrame:
+def _fused_group(index: TextIndex, postings: DataFrame, queries: DataFrame, k: int, offset: int, qid: str, qtext: str, vector: str) -> DataFrame:
     depth = 2 * k + offset
-    terms = _known_terms(index, queries, qid, qtext)
+    terms = _known_terms(index, postings, queries, qid, qtext)
     asked = _asked(index, queries, terms, qid, vector)
     cid, q_type = index.cid, queries.schema[qid].dataType.simpleString()
-    rows = _wanted_rows(index, terms, True)
+    rows = _wanted_rows(index, postings, terms, True)
     everyone = list(range(len(asked.ids)))
 
     def matrices(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:

@@ -56,6 +56,9 @@ def bm25_topk(
 ) -> DataFrame:
     """The k best rows per question by BM25; rows without any of its terms are no hits. Exact, over an index of the corpus."""
     index = index or build_text_index(corpus, cid, ctext)
+    # A search reads its questions several times; what they come from is run once.
+    shared_dir(queries.sparkSession)
+    queries = queries.select(qid, qtext).checkpoint()
     return add_carried(lexical_topk(index, queries, k, qid, qtext), corpus, qid, cid, carry)
 
 

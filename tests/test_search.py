@@ -290,3 +290,67 @@ def test_expansion_finds_the_context_so_far_once(spark, small_indexes):
     state = retrieval.multi_source_retrieve(asked(spark), small_indexes).withColumn("n", mark("query_id"))
     assert retrieval.expand_sources(state, small_indexes).count() == 2
     assert seen.value == 2
+
+
+def counted(spark):
+    """A column function that returns its argument, and the number of rows it was computed for so far."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def mark(kind):
+        def count(x):
+            seen.add(1)
+            return x
+
+        return F.udf(count, kind).asNondeterministic()
+
+    return mark, seen
+
+
+WORDS = [f"{a} {b} number {i}" for i, (a, b) in enumerate([("cat", "tree"), ("dog", "moon"), ("mat", "sun")] * 20)]
+
+
+def test_postings_are_read_once_however_many_groups_ask(spark, monkeypatch):
+    monkeypatch.setattr(lexical, "GROUP_ROWS", 2)
+    docs = spark.createDataFrame(list(enumerate(WORDS)), "chunk_id long, text string")
+    queries = spark.createDataFrame(list(enumerate(["cat moon", "dog", "sun tree 7", "number"])), "query_id long, question string")
+    index = lexical.build_text_index(docs, block_rows=10)
+    rows, whole = index.postings.count(), found(lexical.lexical_topk(index, queries, 3))
+    mark, seen = counted(spark)
+    postings = lexical.TextIndex.postings.fget
+    monkeypatch.setattr(lexical.TextIndex, "postings", property(lambda self: postings(self).withColumn("term", mark("string")("term"))))
+    assert len(list(lexical.question_groups(queries, "query_id", F.lit(1)))) == 2
+    assert found(lexical.lexical_topk(index, queries, 3)) == whole
+    assert seen.value == rows
+
+
+def test_questions_are_run_once(spark):
+    mark, seen = counted(spark)
+    docs = spark.createDataFrame(list(enumerate(WORDS)), "chunk_id long, text string")
+    queries = spark.createDataFrame(list(enumerate(["cat moon", "dog", "unknown"])), "query_id long, question string")
+    assert found(retrieval.bm25_topk(queries.withColumn("question", mark("string")("question")), docs, 3)) == found(retrieval.bm25_topk(queries, docs, 3))
+    assert seen.value == 3
+
+
+def test_a_block_is_written_by_the_task_that_packs_it(spark):
+    docs = spark.createDataFrame(list(enumerate(WORDS)), "chunk_id long, text string")
+    index = lexical.build_text_index(docs, block_rows=2)
+    files = index.postings.select("block", F.input_file_name().alias("file")).groupBy("block").agg(F.countDistinct("file").alias("n")).agg(F.max("n"), F.count("*")).first()
+    assert files[0] == 1 and files[1] > 10
+    assert index.mean == 4.0 and index.texts == 60
+    empty = lexical.build_text_index(docs.limit(0))
+    assert (empty.mean, empty.texts, empty.postings.count()) == (0.0, 0, 0)
+
+
+ODD_DOCS = [(0, "cat tree"), (0, "cat tree"), (1, None), (2, ""), (3, "tree tree"), (4, "...")]
+ODD_ASKED = [(0, "cat tree"), (0, "cat tree"), (1, None), (2, ""), (3, "moon"), (None, "tree")]
+#: A question that comes twice has its terms twice, and one without an id has none.
+ODD_HITS = [(0, 0, 2.222731, 1), (0, 3, 1.248202, 2)]
+
+
+def test_odd_rows_are_searched_as_before(spark):
+    docs = spark.createDataFrame(ODD_DOCS, "chunk_id long, text string")
+    queries = spark.createDataFrame(ODD_ASKED, "query_id long, question string")
+    got = sorted((r.query_id, r.chunk_id, round(r.score, 6), r["rank"]) for r in retrieval.bm25_topk(queries, docs, 3).collect())
+    assert got == ODD_HITS
+    assert retrieval.bm25_topk(queries.limit(0), docs, 3).count() == 0
+    assert retrieval.bm25_topk(queries, docs.limit(0), 3).count() == 0
