@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_path
@@ -74,9 +74,12 @@ def build_vector_index(corpus: DataFrame, cid: str = "chunk_id", vector: str = "
     spark = corpus.sparkSession
     path = work_path(spark, "vector-index")
     rows = corpus.where(F.col(vector).isNotNull()).select(F.col(cid).alias("id"), F.col(vector).cast("array<double>").alias("v"))
-    n = rows.count()
+    # The vectors are counted while the sample is taken.
+    counted = Observation()
+    sampled = rows.observe(counted, F.count(F.lit(1)).alias("n")).orderBy(F.xxhash64("id")).limit(SAMPLE)
+    sample = _stacked(sampled.select("v").toArrow().column("v"))
+    n = counted.get["n"]
     cells = cells or min(CELLS, max(1, int(np.sqrt(n))))
-    sample = _stacked(rows.orderBy(F.xxhash64("id")).limit(SAMPLE).select("v").toArrow().column("v"))
     centres = fit_centres(sample, cells) if n else np.zeros((1, 1))
     id_type = corpus.schema[cid].dataType.simpleString()
 
@@ -94,7 +97,7 @@ def build_vector_index(corpus: DataFrame, cid: str = "chunk_id", vector: str = "
     # At most CELLS rows.
     stats = {r.cell: r for r in told.collect()}
     sizes, low, high = (np.array([getattr(stats[c], name) if c in stats else 0 for c in range(len(centres))], float) for name in ("n", "low", "high"))
-    parts = F.broadcast(told.select("cell", F.ceil(F.col("n") / PART_ROWS).cast("int").alias("parts")))
+    parts = F.broadcast(spark.createDataFrame([(c, -(-r.n // PART_ROWS)) for c, r in stats.items()], "cell int, parts int"))
     part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part")
     packed = assigned.join(parts, "cell").select("cell", part, F.struct("id", "v").alias("x"))
     packed = packed.groupBy("cell", "part").agg(F.collect_list("x").alias("x"))

@@ -161,13 +161,13 @@ def _search_sources(
             continue
         queries, own = asked[source], sources[source]
         if source in HYBRID_SOURCES:
-            hits = hybrid_topk(queries, own.rows, k, qid=qid, qtext=query, carry=["label", "text"], index=own.index)
+            hits = hybrid_topk(queries, own.rows, k, qid=qid, qtext=query, index=own.index)
         else:
-            hits = dense_topk(queries, own.rows, k, qid=qid, carry=["label", "text"], index=own.index)
+            hits = dense_topk(queries, own.rows, k, qid=qid, index=own.index)
+        # Texts are read for hits over the cut only, and not at all if there are none.
+        hits = add_carried(score_cut(hits, cut), own.rows, qid, "chunk_id", ["label", "text"])
         parts.append(
-            score_cut(hits, cut).select(
-                qid, F.struct(F.lit(number).alias("source"), "rank", _quote(source).alias("quote")).alias("hit")
-            )
+            hits.select(qid, F.struct(F.lit(number).alias("source"), "rank", _quote(source).alias("quote")).alias("hit"))
         )
     hits = parts[0]
     for part in parts[1:]:

@@ -354,3 +354,22 @@ def test_odd_rows_are_searched_as_before(spark):
     assert got == ODD_HITS
     assert retrieval.bm25_topk(queries.limit(0), docs, 3).count() == 0
     assert retrieval.bm25_topk(queries, docs.limit(0), 3).count() == 0
+
+
+def test_vectors_are_read_twice_for_an_index(spark):
+    mark, seen = counted(spark)
+    rows = vectors(spark, np.random.default_rng(2).normal(size=(90, 4)), "chunk_id")
+    index = cells.build_vector_index(rows.withColumn("embedding", mark("array<float>")("embedding")))
+    assert seen.value == 2 * 90
+    assert int(index.sizes.sum()) == 90 and len(index.centres) == 9
+    assert index.packed.agg(F.sum(F.size("ids"))).first()[0] == 90
+
+
+def test_texts_are_read_for_hits_over_the_cut_only(spark, small_indexes, monkeypatch):
+    kept = []
+    carried = retrieval.add_carried
+    monkeypatch.setattr(retrieval, "add_carried", lambda hits, *rest: (kept.append(hits.count()) if rest[-1] else None, carried(hits, *rest))[1])
+    got = {r.query_id: r for r in retrieval.multi_source_retrieve(asked(spark), small_indexes).collect()}
+    # Of two policies and one fine, the far policy is under the cut.
+    assert kept == [1, 0, 1]
+    assert got[0].sources_queried == ["policy", "fines"] and "far" not in got[0].retrieved_context
