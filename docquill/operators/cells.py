@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_path
-from .lexical import _numpy, arrow_schema, best_columns, dense_scores, merged, question_groups
+from .lexical import _numpy, arrow_schema, best_columns, dense_scores, merged, no_hits, question_groups
 
 #: Vectors that centres are fitted on, cells at most, vectors of a packed row, rounds of k-means.
 SAMPLE, CELLS, PART_ROWS, ROUNDS = 20_000, 4096, 2048, 8
@@ -113,7 +113,7 @@ def dense_index_topk(index: VectorIndex, queries: DataFrame, k: int, qid: str =
     for group in question_groups(known, qid, F.size("v") * 8):
         hits = _group(index, group, k, qid)[0]
         out = hits if out is None else out.unionByName(hits)
-    return out
+    return no_hits(known, qid, index.cid, index.id_type) if out is None else out
 
 
 def cells_read(index: VectorIndex, queries: DataFrame, k: int, qid: str = "query_id", vector: str = "embedding") -> tuple[int, int]:
@@ -130,7 +130,7 @@ def _group(index: VectorIndex, queries: DataFrame, k: int, qid: str) -> tuple[Da
     schema = f"{qid} {q_type}, {index.cid} {index.id_type}, score double, block int"
     full = index.sizes > 0
     if not len(ids) or not full.any():
-        return index.spark.createDataFrame([], f"{qid} {q_type}, {index.cid} {index.id_type}, score double, rank int"), 0
+        return no_hits(queries, qid, index.cid, index.id_type), 0
     d = _distances(q, index.centres)
     d[:, ~full] = np.inf
     order = np.argsort(d, axis=1, kind="stable")

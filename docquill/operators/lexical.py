@@ -138,13 +138,18 @@ class Asked:
 
 
 def question_groups(queries: DataFrame, qid: str, row_bytes: Column) -> Iterator[DataFrame]:
-    """Parts of the questions of bounded number and bytes."""
+    """Parts of the questions of bounded number and bytes, none without questions."""
     size = queries.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes.cast("long")), F.lit(0)).alias("bytes")).first()
     parts = max(1, -(-size.n // GROUP_ROWS), -(-size.bytes // GROUP_BYTES))
-    for part in range(parts):
+    for part in range(parts if size.n else 0):
         yield queries.where(F.pmod(F.xxhash64(qid), F.lit(parts)) == part) if parts > 1 else queries
 
 
+def no_hits(queries: DataFrame, qid: str, cid: str, id_type: str) -> DataFrame:
+    """What a search returns that nobody asks for."""
+    return queries.sparkSession.createDataFrame([], f"{qid} {queries.schema[qid].dataType.simpleString()}, {cid} {id_type}, score double, rank int")
+
+
 def _asked_terms(queries: DataFrame, qid: str, qtext: str) -> DataFrame:
     """(qid, term): the distinct terms of every question."""
     return queries.select(qid, F.explode(F.array_distinct(tokens(F.col(qtext)))).alias("term"))
@@ -292,8 +297,11 @@ def _cast(work: Callable[[pa.Table, pa.Table], pa.Table], ddl: str) -> Callable[
 def lexical_topk(index: TextIndex, queries: DataFrame, k: int, qid: str = "query_id", qtext: str = "question") -> DataFrame:
     """(qid, cid, score, rank): the k best texts per question by BM25; texts without any of its terms are no hits."""
     out = None
+    groups = list(question_groups(queries, qid, F.octet_length(qtext) * 4))
+    if not groups:
+        return no_hits(queries, qid, index.cid, index.id_type)
     postings = _asked_postings(index, queries, qid, qtext)
-    for group in question_groups(queries, qid, F.octet_length(qtext) * 4):
+    for group in groups:
         hits = _lexical_group(index, postings, group, k, qid, qtext)
         out = hits if out is None else out.unionByName(hits)
     return out
@@ -326,8 +334,11 @@ def fused_topk(index: TextIndex, queries: DataFrame, k: int, offset: int, qid: s
     the rows up to there in either are all that can come first.
     """
     out = None
+    groups = list(question_groups(queries, qid, F.octet_length(qtext) * 4 + F.coalesce(F.size(vector), F.lit(0)) * 8))
+    if not groups:
+        return no_hits(queries, qid, index.cid, index.id_type)
     postings = _asked_postings(index, queries, qid, qtext)
-    for group in question_groups(queries, qid, F.octet_length(qtext) * 4 + F.coalesce(F.size(vector), F.lit(0)) * 8):
+    for group in groups:
         hits = _fused_group(index, postings, group, k, offset, qid, qtext, vector)
         out = hits if out is None else out.unionByName(hits)
     return out

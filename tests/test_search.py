@@ -373,3 +373,16 @@ def test_texts_are_read_for_hits_over_the_cut_only(spark, small_indexes, monkeyp
     # Of two policies and one fine, the far policy is under the cut.
     assert kept == [1, 0, 1]
     assert got[0].sources_queried == ["policy", "fines"] and "far" not in got[0].retrieved_context
+
+
+def test_a_search_that_nobody_asks_for_reads_no_index(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, t, [float(i), 1.0]) for i, t in enumerate(WORDS)], "chunk_id long, text string, embedding array<float>")
+    nobody = spark.createDataFrame([], "query_id long, question string, embedding array<float>")
+    index = lexical.build_text_index(docs, vector="embedding")
+    want = [(f.name, f.dataType) for f in retrieval.hybrid_topk(nobody.union(spark.createDataFrame([(0, "cat", [1.0, 1.0])], nobody.schema)), docs, 2, index=index).schema]
+    monkeypatch.setattr(lexical.TextIndex, "postings", property(lambda self: pytest.fail("postings are read")))
+    monkeypatch.setattr(lexical.TextIndex, "packed_vectors", property(lambda self: pytest.fail("vectors are read")))
+    got = retrieval.hybrid_topk(nobody, docs, 2, carry=["text"], index=index)
+    assert got.count() == 0 and [(f.name, f.dataType) for f in got.schema][:4] == want
+    assert retrieval.bm25_topk(nobody, docs, 2, index=index).count() == 0
+    assert retrieval.dense_topk(nobody, docs, 2).count() == 0
